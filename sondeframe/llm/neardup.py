@@ -11,11 +11,9 @@ Plan
      go through an exact prefix join (below), never through all pairs.
   4. Candidates are confirmed on full sets; confirmed links are grouped.
 
-Prefix join of large buckets, all of whose members were compared with centre c:
-order each set by (in c's set, hash).  Sets with J >= t share an element among
-the first n - ceil(t n) + 1 of this order, so joining on (c, element) between
-different components loses no link.  Edits come first in this order and are rare,
-so thousands of distant copies of one text have few partners.
+The prefix join orders the elements of these members by how many of them hold
+each, rare first.  Edits are rare, so thousands of distant copies of one text have
+few partners, and no link is lost (``_prefix_pairs``).
 
 Edge cases: null or empty texts have no set, link with nothing and are kept; rows
 with a null id are passed through with a null component and kept; repeated rows
@@ -30,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sondeframe.llm.common import limited_broadcast, written
@@ -114,31 +113,47 @@ def _verified(pairs: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
     return pairs.select("a", "b", "ta", "tb").mapInArrow(run, "u long, v long")
 
 
-def _prefixes(stars: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
-    """``(c, x, size, token)``: the prefix elements of x's set in the order that c's set gives."""
+def _elements(docs: DataFrame, shingle: int) -> DataFrame:
+    """``(x, n, token)``: every element of the sets of ``docs(x, text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left, right = _Sets(shingle), _Sets(shingle)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                c, x = part.column(0).to_pylist(), part.column(1).to_pylist()
-                sc, sx = left.of(c, part.column(2)), right.of(x, part.column(3))
-                size, tokens = [], []
-                for i, j in zip(c, x, strict=True):
-                    own = sx[j]
-                    n = len(own) - -(-num * len(own) // den) + 1 if len(own) else 0
-                    tokens.append(own[np.lexsort((own, np.isin(own, sc[i], assume_unique=True)))][:n].view(np.int64))
-                    size.append(len(own))
-                reps = [len(t) for t in tokens]
-                take = pa.array(np.repeat(np.arange(len(c)), reps))
+            for row, elements, offsets in distinct_sets(batch.column(1), shingle):
+                sizes = np.diff(offsets)
+                x = batch.column(0).slice(row, len(sizes)).take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(take), part.column(1).take(take), pa.array(np.repeat(np.array(size, np.int64), reps)),
-                     pa.array(np.concatenate(tokens) if tokens else np.zeros(0, np.int64))],
-                    ["c", "x", "size", "token"],
-                )
+                    [x, pa.array(np.repeat(sizes, sizes)), pa.array(elements.view(np.int64))], ["x", "n", "token"]
+                )
+
+    return docs.select("x", "text").mapInArrow(run, "x long, n long, token long")
 
-    return stars.select("a", "b", "ta", "tb").mapInArrow(run, "c long, x long, size long, token long")
+
+def _prefix_pairs(open_: DataFrame, texts: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
+    """Pairs ``(a, b)`` of ``open_(x, component)`` between components that may reach num / den.
+
+    Prefix and positional filters of set similarity joins: elements are ordered by
+    (documents that hold them, hash), rare first.  A pair's first common element
+    lies in the longer set's first n - ceil(t n) + 1 and in the shorter set's first
+    n - ceil(2 t / (1 + t) n) + 1 elements, and what follows it must still suffice.
+    Elements held by one document only count as positions and never join.
+    """
+    found = _elements(open_.join(texts.withColumnRenamed("id", "x"), "x"), shingle)
+    found = written(found.distinct().join(open_, "x"), "elements")
+    held = found.groupBy("token").agg(F.count("*").alias("df"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    shared = found.join(held.where("df > 1"), "token")
+    of_x = W.partitionBy("x")
+    at = F.col("n") - F.count("*").over(of_x) + F.row_number().over(of_x.orderBy("df", "token"))
+    n = F.col("n")
+    upto = lambda p, q: n - F.ceil(F.lit(p) * n / F.lit(q) - F.lit(1e-9)) + 1
+    shared = shared.withColumn("at", at).withColumn("index", F.col("at") <= upto(2 * num, num + den))
+    shared = written(shared.where((F.col("at") <= upto(num, den)) & (F.col("lo") != F.col("hi"))).select("token", "x", "n", "component", "at", "index"), "prefix")
+    one = shared.where("index").select("token", F.col("x").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("at").alias("ia"))
+    two = shared.select("token", F.col("x").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("at").alias("ib"))
+    fits = F.expr(
+        f"ca <> cb and (na < nb or (na = nb and a < b)) and {den} * na >= {num} * nb "
+        f"and {num + den} * (1 + least(na - ia, nb - ib)) >= {num} * (na + nb)"
+    )
+    return one.join(two, "token").where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -183,18 +198,9 @@ def near_duplicates(
     large = buckets.where((F.col("n") > SMALL_BUCKET) & (F.col("rep") != F.col("c"))).select("band", "hash", "c", F.col("rep").alias("x"))
     large = large.join(members.withColumnRenamed("node", "x"), "x", "left").withColumn("component", F.coalesce("component", "x"))
     apart = large.groupBy("c").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    open_ = written(large.join(apart, "c").select("c", "x", "component").distinct(), "open")
+    open_ = written(large.join(apart, "c").select("x", "component").distinct(), "open")
     if not open_.isEmpty():
-        tokens = _prefixes(_with_texts(open_.select(F.col("c").alias("a"), F.col("x").alias("b")), texts), shingle, num, den)
-        tokens = written(tokens.join(open_, ["c", "x"]), "tokens")
-        shared = tokens.groupBy("c", "token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        shared = shared.where("lo <> hi").select("c", "token")
-        tokens = tokens.join(shared, ["c", "token"])
-        one = tokens.select("c", "token", F.col("x").alias("a"), F.col("size").alias("na"), F.col("component").alias("ca"))
-        two = tokens.select("c", "token", F.col("x").alias("b"), F.col("size").alias("nb"), F.col("component").alias("cb"))
-        near = (F.lit(den) * F.least("na", "nb")) >= (F.lit(num) * F.greatest("na", "nb"))
-        more = one.join(two, ["c", "token"]).where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & near)
-        more = written(more.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
+        more = written(_prefix_pairs(open_, texts, shingle, num, den).join(pairs, ["a", "b"], "left_anti"), "pairs")
         found = written(_verified(_with_texts(more, texts), shingle, num, den), "links")
         if not found.isEmpty():
             members = connected_components(links.unionByName(found))

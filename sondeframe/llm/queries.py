@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sondeframe.llm.common import table
 from sondeframe.llm.neardup import near_duplicates
+from sondeframe.llm.quality import quality
+from sondeframe.llm.urlfilter import judge_urls
 
 
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,7 +15,17 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("id", "doc_id")
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"))
+
+
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
+    "op4_url_filters": op4_url_filters,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op9_quality_rules": op9_quality_rules,
 }
 ORACLE: dict[str, str] = {}

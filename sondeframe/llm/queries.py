@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sondeframe.llm.common import table
+from sondeframe.llm import tokencounts
+from sondeframe.llm.common import table, work_path
+from sondeframe.llm.idfile import round_trip
 from sondeframe.llm.neardup import near_duplicates
+from sondeframe.llm.packing import pack
 from sondeframe.llm.quality import quality
+from sondeframe.llm.tokens import public_path
 from sondeframe.llm.urlfilter import judge_urls
 
 
@@ -23,7 +27,26 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    versions = {f"{n}@1": (public_path(f"{n}.json"), kind) for n, kind in (("byte_bpe_50k", "byte"), ("word_bpe_49k", "word"))}
+    counted = tokencounts.count_tokens(table(spark, sf_dir, "documents").select("source", "lang", "text"), versions)
+    rollup = work_path(spark, "rollup")
+    tokencounts.commit(tokencounts.inserts(counted), rollup, "documents")
+    return tokencounts.totals(spark, rollup)
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_path("byte_bpe_50k.json"), "byte", capacity=2048, end_id=0)
+
+
+def op6_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), public_path("word_bpe_49k.json"), "word", end_id=1, vocab=49_408)
+
+
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
+    "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_token_id_output": op6_token_id_output,
     "op4_url_filters": op4_url_filters,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_quality_rules": op9_quality_rules,

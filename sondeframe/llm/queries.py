@@ -12,6 +12,7 @@ from sondeframe.llm.packing import pack
 from sondeframe.llm.quality import quality
 from sondeframe.llm.tokens import public_path
 from sondeframe.llm.urlfilter import judge_urls
+from sondeframe.llm.warczip import archive_round_trip
 
 
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +44,12 @@ def op6_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), public_path("word_bpe_49k.json"), "word", end_id=1, vocab=49_408)
 
 
+def op10_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(table(spark, sf_dir, "pages"), least_bytes=0)
+
+
 QUERIES = {
+    "op10_warc_archives": op10_warc_archives,
     "op1_token_counts": op1_token_counts,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_token_id_output": op6_token_id_output,

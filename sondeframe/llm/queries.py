@@ -11,6 +11,7 @@ from sondeframe.llm.neardup import near_duplicates
 from sondeframe.llm.packing import pack
 from sondeframe.llm.quality import quality
 from sondeframe.llm.tokens import public_path
+from sondeframe.llm.toxicity import toxicity
 from sondeframe.llm.urlfilter import judge_urls
 from sondeframe.llm.warczip import archive_round_trip
 
@@ -48,7 +49,12 @@ def op10_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages"), least_bytes=0)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op7_toxicity": op7_toxicity,
     "op10_warc_archives": op10_warc_archives,
     "op1_token_counts": op1_token_counts,
     "op5_best_fit_packing": op5_best_fit_packing,

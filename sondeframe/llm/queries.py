@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sondeframe.llm import tokencounts
+from sondeframe.llm.ann import nearest
 from sondeframe.llm.common import table, work_path
 from sondeframe.llm.idfile import round_trip
 from sondeframe.llm.neardup import near_duplicates
 from sondeframe.llm.packing import pack
 from sondeframe.llm.quality import quality
+from sondeframe.llm.spviterbi import encoded
 from sondeframe.llm.tokens import public_path
 from sondeframe.llm.toxicity import toxicity
 from sondeframe.llm.urlfilter import judge_urls
@@ -53,7 +56,17 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, top=20)
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded(table(spark, sf_dir, "documents"), public_path("piece_bpe_32k.model"), with_ids=False)
+
+
 QUERIES = {
+    "op2_sentencepiece": op2_sentencepiece,
+    "op3_nearest_neighbours": op3_nearest_neighbours,
     "op7_toxicity": op7_toxicity,
     "op10_warc_archives": op10_warc_archives,
     "op1_token_counts": op1_token_counts,

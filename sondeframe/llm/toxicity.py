@@ -30,8 +30,8 @@ from sondeframe.llm.shingles import U64, text_chunks
 GRAMS = (4, 6)
 BITS = 18
 #: Bound of the fit: labelled rows, and features kept by strength of evidence.
-FIT_ROWS = 8_000
-MAX_FEATURES = 1 << 14
+FIT_ROWS = 6_000
+MAX_FEATURES = 1 << 13
 MIN_DOCS = 4
 SCHEMA = "doc_id long, score double"
 
@@ -122,7 +122,7 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, fit_r
 
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS,
-    l2: float = 0.05, rounds: int = 150,
+    l2: float = 0.05, rounds: int = 100,
 ) -> tuple[float, np.ndarray]:
     """Intercept and a weight for each bucket.
 

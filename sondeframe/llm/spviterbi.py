@@ -9,8 +9,9 @@ are committed and forgotten.  Among equal scores the path whose last piece start
 earliest wins.
 
 Where no piece holds a white-space mark after another character, a mark is always
-such a boundary, so words are independent; their ids are remembered in a bounded
-table.
+such a boundary, and so is the start of punctuation that no piece holds after a
+letter.  The units between them are independent; their ids are remembered in a
+bounded table.
 
 Edge cases: null and empty texts have no ids and decode to the empty string; texts
 decode to themselves except for what the model's own normaliser changes and U+2581,
@@ -32,7 +33,8 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-MAX_UNITS = 250_000
+MAX_UNITS = 400_000
+_NONE = float("-inf")
 
 
 class Vocabulary:
@@ -56,6 +58,11 @@ class Vocabulary:
             self.prefixes[p] = (i, self.scores[i])
         self.longest = max(len(self.pieces[i]) for i in normal)
         self.unknown_score = min(self.scores[i] for i in normal) - UNKNOWN_PENALTY
+        # Characters that no piece holds after another one (but the mark or their like): each run of them starts a unit.
+        self.breaks = set("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\n")
+        inner = {(a, b) for i in normal for a, b in itertools.pairwise(self.pieces[i])}
+        while odd := {b for a, b in inner if b in self.breaks and a not in self.breaks and a != MARK}:
+            self.breaks -= odd
         self.mark_cuts = not any(re.search(f"[^{MARK}]{MARK}", self.pieces[i]) for i in normal)
         self.text_of = [MARK.join(self.pieces[i].split(MARK)).replace(MARK, " ") if not sp.is_control(i) else "" for i in range(len(self.pieces))]
 
@@ -75,41 +82,42 @@ class StreamingViterbi:
 
     def _relax(self, upto: int) -> None:
         """Extend from every boundary before ``upto``; boundary i + 1 is then final once i is done."""
-        text, prefixes, score, back = self.text, self.v.prefixes, self.score, self.back
-        low = self.v.unknown_score
+        text, score, back = self.text, self.score, self.back
+        get, low, longest, n = self.v.prefixes.get, self.v.unknown_score, self.v.longest, len(self.text)
+        more = n + 1 - len(score)
+        score += [_NONE] * more
+        back += [(-1, -1)] * more
         for start in range(self.at, upto):
-            base, end, alone = score[start], start, False
-            while end < len(text):
-                end += 1
-                found = prefixes.get(text[start:end], 0)
-                if found == 0:
+            base, alone = score[start], False
+            for end in range(start + 1, min(start + longest, n) + 1):
+                found = get(text[start:end], False)
+                if found is False:
                     break
                 if found is not None:
-                    alone = alone or end == start + 1
-                    self._offer(end, base + found[1], start, found[0])
-            if not alone:
-                self._offer(start + 1, base + low, start, -1)
+                    if end == start + 1:
+                        alone = True
+                    value = base + found[1]
+                    if value > score[end]:
+                        score[end], back[end] = value, (start, found[0])
+            if not alone and base + low > score[start + 1]:
+                score[start + 1], back[start + 1] = base + low, (start, -1)
         self.at = max(self.at, upto)
 
-    def _offer(self, end: int, value: float, start: int, piece: int) -> None:
-        score, back = self.score, self.back
-        while len(score) <= end:
-            score.append(float("-inf"))
-            back.append((-1, -1))
-        if value > score[end]:
-            score[end], back[end] = value, (start, piece)
-
     def _path(self, end: int) -> list[int]:
         ids: list[int] = []
         while end > 0:
             start, piece = self.back[end]
-            ids[:0] = self.v.unknown_ids(self.text[start:end]) if piece < 0 else [piece]
+            if piece < 0:
+                ids += reversed(self.v.unknown_ids(self.text[start:end]))
+            else:
+                ids.append(piece)
             end = start
+        ids.reverse()
         return ids
 
     def _converged(self) -> int:
         """The last boundary that the best paths of all alive boundaries share."""
-        alive = {i for i in range(self.at, len(self.score)) if self.score[i] > float("-inf")}
+        alive = {i for i in range(self.at, len(self.score)) if self.score[i] > _NONE}
         while len(alive) > 1:
             last = max(alive)
             alive.remove(last)
@@ -134,14 +142,16 @@ class StreamingViterbi:
     def finish(self) -> list[int]:
         self._relax(len(self.text))
         out = self._path(len(self.text))
-        self.__init__(self.v)
+        self.text, self.at, self.score, self.back = "", 0, [0.0], [(-1, -1)]
         return out
 
 
 class Encoder:
     def __init__(self, path: str, max_units: int = MAX_UNITS) -> None:
         self.v = Vocabulary(path)
-        self.units = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+").findall if self.v.mark_cuts else (lambda t: [t])
+        b = re.escape("".join(sorted(self.v.breaks)))
+        words = f"(?:{MARK}+[{b}]*|[{b}]+)[^{MARK}{b}]*|[^{MARK}{b}]+" if b else f"{MARK}+[^{MARK}]*|[^{MARK}]+"
+        self.units = re.compile(words).findall if self.v.mark_cuts else (lambda t: [t])
         self.viterbi = StreamingViterbi(self.v)
         self.max_units, self.young, self.old = max_units, {}, {}
 

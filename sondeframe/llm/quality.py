@@ -140,5 +140,11 @@ def quality(docs: DataFrame, rules: Sequence[Rule] = RULES, id_col: str = "doc_i
 
 
 def keep_quality(docs: DataFrame, rules: Sequence[Rule] = RULES, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that pass, with their columns."""
-    return measures(docs, text_col).where(~base_failed() & compiled(rules)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` that pass, with their columns.
+
+    The row number keeps the optimiser from moving the filter below the measures,
+    which would copy their expressions into each of its terms.
+    """
+    df = measures(docs, text_col).withColumn("_row", F.monotonically_increasing_id())
+    passed = ~base_failed() & compiled(rules) & (F.col("_row") >= 0)
+    return df.where(passed).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -187,7 +187,8 @@ def read_id_files(manifest: DataFrame, folder: str) -> DataFrame:
                         at += n
                 yield _rows(out)
 
-    return files.repartition("uri").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    # A file is one row, so a number of partitions is given: it would else be one small partition.
+    return files.repartition(max(1, manifest.count()), "uri").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def _rows(out: list[list]) -> pa.RecordBatch:

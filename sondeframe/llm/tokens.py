@@ -22,6 +22,8 @@ import os
 import re
 from array import array
 
+import numpy as np
+
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _ODD = re.compile("[\\x1c-\\x1f]|<\\|")
 _SIMPLE = re.compile("[\\t-\\r -~\xa1\xbf\xc0-\xd6\xd8-\xf6\xf8-\xff]*")
@@ -40,7 +42,7 @@ _CUTS = {
     "none": (lambda t: [t], lambda t: [t]),
 }
 #: Units in each of the two generations.
-MAX_UNITS = 250_000
+MAX_UNITS = 600_000
 #: Texts are cut into units in runs of about this many characters.
 RUN_CHARS = 1 << 20
 
@@ -55,8 +57,24 @@ class UnitEncoder:
         self.max_units = max_units
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-
-    def _learn(self, units: set[str]) -> None:
+        # Where words end in a piece of their own kind, many words go through the library in one text.
+        ends = [i for piece, i in self.tokenizer.get_vocab().items() if piece.endswith("</w>")] if kind == "word" else []
+        self.ends = np.zeros(self.tokenizer.get_vocab_size() if ends else 0, bool)
+        self.ends[ends] = True
+
+    def _in_one(self, units: list[str]) -> bool:
+        """Encode simple words as one text; False when the ids don't fall apart into as many words."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(units)], add_special_tokens=False)[0].ids, np.uint32)
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) != len(units) or cuts[-1] != len(ids):
+            return False
+        at, data = 0, ids.tobytes()
+        for unit, end in zip(units, (4 * cuts).tolist(), strict=True):
+            self.young[unit] = data[at:end]
+            at = end
+        return True
+
+    def _learn(self, units: set[str], simple: bool = False) -> None:
         new = []
         for unit in units.difference(self.young):
             ids = self.old.get(unit)
@@ -64,13 +82,17 @@ class UnitEncoder:
                 new.append(unit)
             else:
                 self.young[unit] = ids
+        if simple and len(self.ends):
+            new = [u for at in range(0, len(new), 4096) if not self._in_one(new[at : at + 4096]) for u in new[at : at + 4096]]
         for e, unit in zip(self.tokenizer.encode_batch_fast(new, add_special_tokens=False), new, strict=True):
             self.young[unit] = array("I", e.ids).tobytes()
 
     def _run(self, texts: list[str]) -> list[bytes]:
-        odd = {i for i, t in enumerate(texts) if _ODD.search(t)}
-        cut = [() if i in odd else (self.simple if _SIMPLE.fullmatch(t) else self.any)(t) for i, t in enumerate(texts)]
-        self._learn(set(itertools.chain.from_iterable(cut)))
+        simple = [_SIMPLE.fullmatch(t) is not None for t in texts]
+        odd = {i for i, t in enumerate(texts) if ("<|" in t if simple[i] else _ODD.search(t))}
+        cut = [() if i in odd else (self.simple if simple[i] else self.any)(t) for i, t in enumerate(texts)]
+        self._learn(set(itertools.chain.from_iterable(c for c, s in zip(cut, simple, strict=True) if s)), True)
+        self._learn(set(itertools.chain.from_iterable(c for c, s in zip(cut, simple, strict=True) if not s)))
         get = self.young.__getitem__
         out = [b"".join(map(get, u)) for u in cut]
         for i in odd:

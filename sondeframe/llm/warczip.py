@@ -263,7 +263,8 @@ def read_packages(manifest: DataFrame, block: int = 4 << 20) -> DataFrame:
                         yield fetch(group)
 
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    return manifest.select("uri").repartition("uri").mapInArrow(run, schema)
+    # A package is one row, so a number of partitions is given: it would else be one small partition.
+    return manifest.select("uri").repartition(max(1, manifest.count()), "uri").mapInArrow(run, schema)
 
 
 def archive_round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:

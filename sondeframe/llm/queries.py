@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sondeframe.llm import tokencounts
+from sondeframe.llm import oracle, tokencounts
 from sondeframe.llm.ann import nearest
 from sondeframe.llm.common import table, work_path
 from sondeframe.llm.idfile import round_trip
@@ -76,4 +76,8 @@ QUERIES = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_quality_rules": op9_quality_rules,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_minhash_near_dedup": oracle.OP8,
+    "op9_quality_rules": oracle.OP9,
+    "op10_warc_archives": oracle.OP10,
+}

@@ -20,7 +20,7 @@ DERIVED = {
     "site": ("customer", {
         "id": "c_custkey", "lon": "22 + cast((c_custkey * 37) % 1400 as double) / 100", "lat": "30 + cast((c_custkey * c_custkey) % 701 as double) / 100",
     }, {}),
-    "hourly": ("events", {"cell": "cast(user_id % 16 as int)", "ts": "ts", "t2m": "273.15 + value / 10", "swvl1": "value / 1000", "e": "-value / 1e6", "tp": "value / 1e5"}, {}),
+    "hourly": ("events", {"cell": "cast(user_id % 16 as int)", "ts": "ts", "t2m": "273.15 + value / 10", "swvl1": "value / 997", "e": "-value / 99991", "tp": "value / 9973"}, {}),
     "scene": ("orders", {
         "id": "concat('HLS.', case when o_orderkey % 2 = 0 then 'S30' else 'L30' end, '.T36RUU.', date_format(o_orderdate, 'yyyyDDD'), 'T082611.v2.0')",
         "day": "cast(o_orderdate as date)", "cloud": "case when o_orderkey % 11 = 0 then null else o_totalprice % 100 end", "k": "o_orderkey",

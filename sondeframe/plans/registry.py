@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sondeframe import config as C
 from sondeframe.functions import geo, indices, names, sampling, utm
 from sondeframe.operators import aggregates as A
-from sondeframe.operators import catalog, dataset, grid, joins, splits
+from sondeframe.operators import catalog, dataset, grid, joins, labels, splits
 from sondeframe.operators import windows as Wn
 from sondeframe.plans.derived import derived, monthly, monthly_sql, sql
 from sondeframe.streaming import fold
@@ -448,8 +448,8 @@ def roi_tiles(spark, d):
 @query()
 def tile_labels(spark, d):
     pixels = grid.utm_template(derived(spark, d, "site").where("id % 100 = 0"), size=32)
-    labels = spark.range(98 * 400).select((F.col("id") / 280).cast("int").alias("lat_i"), (F.col("id") % 280).cast("int").alias("lon_i"), (F.col("id") % 4).cast("int").alias("cls"))
-    return grid.nearest_label(pixels, labels, 30, 0.05, 140, 22, 0.05, 280).groupBy("id", "cls").agg(F.count("*").alias("n"))
+    source = spark.range(98 * 400).select((F.col("id") / 280).cast("int").alias("lat_i"), (F.col("id") % 280).cast("int").alias("lon_i"), (F.col("id") % 4).cast("int").alias("cls"))
+    return grid.nearest_label(pixels, source, 30, 0.05, 140, 22, 0.05, 280).groupBy("id", "cls").agg(F.count("*").alias("n"))
 
 
 @query(f"select sample_id from {sql('indexed')} where split in ('train', 'val', 'test', 'ood')")
@@ -510,3 +510,33 @@ def streamed_doy_fold(spark, d):
     daily = A.hourly_to_daily(derived(spark, d, "hourly"), ["cell"], "ts", "t2m").withColumn("doy", F.dayofyear("day"))
     out = fold.fold_moments(daily.select("cell", "doy", F.col("tmax").alias("value")), ["cell", "doy"])
     return out.select("cell", "doy", "n", F.round("s1", 5).alias("s1"))
+
+
+_TMAX = "(select cast(o_custkey % 20 as int) cell, cast(o_orderdate as date) dd, avg(20 + o_totalprice % 25) tmax from orders group by 1, 2)"
+_VEG = "(select cast(l_suppkey % 20 as int) cell, cast(date_trunc('month', l_shipdate) as date) dd, avg(l_quantity / 50) ndvi, avg(290 + l_discount * 300) lst from lineitem group by 1, 2)"
+
+
+@query(f"""with d as (select cast(unnest(generate_series(make_date(1996, 1, 1), make_date(1996, 12, 31), interval 16 day)) as date) dd),
+ k as (select dd, cast(year(dd - to_months(m)) * 100 + month(dd - to_months(m)) as int) ym from (select dd, cast(date_trunc('month', dd) as date) from d) t(dd, md), (select unnest([0, 1, 2]) m)),
+ b as materialized {_BAL}, v as materialized {_VEG},
+ w as (select cell, dd, sum(wb) wb3 from k join b using (ym) group by 1, 2 having count(wb) = 3),
+ bs as (select cell, ym % 100 mm, avg(r) wb_mean, stddev_pop(r) wb_std from (select cell, ym, case when count(wb) over o = 3 then sum(wb) over o end r from b window o as (partition by cell order by ym rows between 2 preceding and current row)) group by 1, 2),
+ t as materialized {_TMAX},
+ ts as (select cell, doy, sum(s1) / sum(n) mean, sqrt(greatest(sum(s2) / sum(n) - power(sum(s1) / sum(n), 2), 0)) std from (select cell, cast((dayofyear(dd) - 1 + k + 366) % 366 + 1 as int) doy, sum(tmax) s1, sum(tmax * tmax) s2, count(*) n
+  from t, (select unnest(generate_series(-15, 15)) k) group by 1, 2) group by 1, 2),
+ lim as (select cell, min(ndvi) ndvi_lo, max(ndvi) ndvi_hi, min(lst) lst_lo, max(lst) lst_hi from v group by 1),
+ n as (select w.cell, w.dd, arg_min(ndvi, abs(v.dd - w.dd) * 1000000 + (v.dd - date '1990-01-01')) ndvi, arg_min(lst, abs(v.dd - w.dd) * 1000000 + (v.dd - date '1990-01-01')) lst from w join v on v.cell = w.cell and year(v.dd) = year(w.dd) group by 1, 2),
+ i as (select w.cell, w.dd, case when wb_std > 0 then (wb3 - wb_mean) / wb_std end spei, case when std > 0 then (tmax - mean) / std end tmax_z, 0.5 * {_RATIO.format('ndvi - ndvi_lo', 'ndvi_hi - ndvi_lo')} + 0.5 * {_RATIO.format('lst_hi - lst', 'lst_hi - lst_lo')} vhi
+  from w left join bs on bs.cell = w.cell and bs.mm = month(w.dd) left join t on t.cell = w.cell and t.dd = w.dd left join ts on ts.cell = w.cell and ts.doy = dayofyear(w.dd) left join n on n.cell = w.cell and n.dd = w.dd left join lim on lim.cell = w.cell)
+ select cell, dd as "day", round(spei, 4) spei3, round(tmax_z, 4) tmax_z, round(vhi, 4) vhi, {_MASKED} cls from i""")
+def label_grid(spark, d):
+    dates = spark.range(1).select(F.explode(F.expr("sequence(date'1996-01-01', date'1996-12-31', interval 16 days)")).alias("day"))
+    precip, pet = monthly(spark, d, "precip"), monthly(spark, d, "pet")
+    balance = precip.join(pet, ["cell", "ym"]).withColumn("wb", F.col("precip") - F.col("pet"))
+    o, line = spark.read.parquet(f"{d}/orders.parquet"), spark.read.parquet(f"{d}/lineitem.parquet")
+    tmax = o.groupBy((F.col("o_custkey") % 20).cast("int").alias("cell"), F.to_date("o_orderdate").alias("day")).agg(F.avg(20 + F.col("o_totalprice") % 25).alias("tmax"))
+    veg = line.groupBy((F.col("l_suppkey") % 20).cast("int").alias("cell"), F.trunc("l_shipdate", "month").alias("day")).agg(F.avg(F.col("l_quantity") / 50).alias("ndvi"), F.avg(290 + F.col("l_discount") * 300).alias("lst"))
+    limits = veg.groupBy("cell").agg(F.min("ndvi").alias("ndvi_lo"), F.max("ndvi").alias("ndvi_hi"), F.min("lst").alias("lst_lo"), F.max("lst").alias("lst_hi"))
+    stats = Wn.circular_doy(A.doy_moments(tmax, ["cell"], F.dayofyear("day"), F.col("tmax")), ["cell"])
+    out = labels.build_labels(dates, balance, Wn.water_balance(precip, pet, ["cell"]), tmax, stats, veg.withColumnRenamed("ndvi", "v"), veg.withColumnRenamed("lst", "v"), limits)
+    return out.select("cell", "day", *[F.round(x, 4).alias(x) for x in ("spei3", "tmax_z", "vhi")], "cls")

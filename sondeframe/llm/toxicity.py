@@ -6,12 +6,20 @@ smoothed document counts in toxic and other training texts, and a logistic
 regression with an L2 penalty is fitted on the scaled features.  Rare or
 uninformative features are left out of the fit.
 
+Toxic is a score of at least 0.5.  The fit alone would call few documents toxic, as
+most labels are clean and weak evidence in a rare language stays below one half; so
+its intercept is moved.  Each training row is scored by a model that saw neither the
+row nor its copies (``FOLDS`` folds by text, features chosen anew in each), and the
+intercept moves until at most ``MAX_FALSE`` of the clean training rows would be
+called toxic.  Scores rank as before, but are no probabilities.
+
 Only text enters a score.  The fit uses at most ``FIT_ROWS`` labelled rows, drawn
 by a hash of the id, with weights that restore the true class shares; everything
 else covers whole texts of all rows.
 
 Edge cases: null and empty texts score the intercept; without labelled rows of both
-classes every score is the share of toxic labels (0 without labels); null labels
+classes every score is the share of toxic labels (0 without labels); folds that leave
+one class only are not scored, and without scores of both classes the intercept stays; null labels
 and null ids teach nothing; repeated label rows count once for each.
 """
 
@@ -33,6 +41,9 @@ BITS = 18
 FIT_ROWS = 6_000
 MAX_FEATURES = 1 << 13
 MIN_DOCS = 4
+#: Folds of the training rows, and the share of clean ones that may score as toxic out of fold.
+FOLDS = 5
+MAX_FALSE = 0.005
 SCHEMA = "doc_id long, score double"
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -79,6 +90,16 @@ def features(texts: pa.Array) -> Iterator[list[np.ndarray]]:
             yield [distinct(made[n][a : max(a, b - n + 1)]) for n in GRAMS]
 
 
+def _shift(z: np.ndarray, toxic: np.ndarray) -> float:
+    """The cut of out-of-fold scores that at most ``MAX_FALSE`` of the clean rows reach, half way to the next toxic one."""
+    clean, bad = np.sort(z[toxic == 0])[::-1], np.sort(z[toxic == 1])
+    if not len(clean) or not len(bad):
+        return 0.0
+    last = clean[int(MAX_FALSE * len(clean))]
+    above = bad[bad > last]
+    return float((last + above[0]) / 2) if len(above) else float(np.nextafter(last, np.inf))
+
+
 def _logistic(sets: list[np.ndarray], scale: np.ndarray, toxic: np.ndarray, weight: np.ndarray, l2: float, rounds: int) -> tuple[float, np.ndarray]:
     """Adam on the weighted logistic loss with an L2 penalty; intercept and weights of scaled features."""
     rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
@@ -103,7 +124,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, fit_rows: int) -> DataFrame:
-    """``(text, toxic, weight)``: at most ``fit_rows`` labelled rows that are not held out, half of each class at most."""
+    """``(text, toxic, weight, fold)``: at most ``fit_rows`` labelled rows that are not held out, half of each class at most."""
     labels = labels.select(F.col(id_col).cast("long").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
     labels = labels.where(F.col("toxic").isin(0, 1) & F.coalesce(~held_out(F.col("_id")), F.lit(False)))
     sizes = {r["toxic"]: r["count"] for r in labels.groupBy("toxic").count().collect()}
@@ -113,11 +134,12 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, fit_r
         part = labels.where(F.col("toxic") == kind).orderBy(F.xxhash64("_id"), "_id").limit(take)
         parts.append(part.withColumn("weight", F.lit(n / take)))
     if not parts:
-        return docs.sparkSession.createDataFrame([], "text string, toxic int, weight double")
+        return docs.sparkSession.createDataFrame([], "text string, toxic int, weight double, fold int")
     chosen = written(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]), "labels")
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("text"))
     # At most fit_rows ids: a proven bound for the broadcast.
-    return written(texts.join(F.broadcast(chosen), "_id").select("text", "toxic", "weight"), "sample")
+    fold = F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold")
+    return written(texts.join(F.broadcast(chosen), "_id").select("text", "toxic", "weight", fold), "sample")
 
 
 def fit(
@@ -126,49 +148,87 @@ def fit(
 ) -> tuple[float, np.ndarray]:
     """Intercept and a weight for each bucket.
 
-    Executors turn the sampled texts into counts and then into the kept features;
-    the driver holds ``MAX_FEATURES`` counts and the kept feature lists only.
+    Executors turn the sampled texts into counts by fold and then into the kept
+    features; the driver holds ``MAX_FEATURES`` counts for the model and for each fold
+    left out, and the kept feature lists only.
     """
     size = len(GRAMS) << BITS
     table = np.zeros(size)
     rows = sample(docs, labels, id_col, text_col, fit_rows)
-    totals = {r["toxic"]: r["w"] for r in rows.groupBy("toxic").agg(F.sum("weight").alias("w")).collect()}
-    if len(totals) < 2:
-        share = min(max(1.0 if 1 in totals else 0.0, 1e-9), 1 - 1e-9)
+    found = rows.groupBy("toxic", "fold").agg(F.count("*").alias("n"), F.max("weight").alias("weight")).collect()
+    sizes, weight = np.zeros((2, FOLDS)), np.ones(2)  # the weight is one for each class
+    for r in found:
+        sizes[r["toxic"], r["fold"]], weight[r["toxic"]] = r["n"], r["weight"]
+    totals = weight * sizes.sum(1)
+    if not totals.all():
+        share = min(max(1.0 if totals[1] else 0.0, 1e-9), 1 - 1e-9)
         return float(np.log(share / (1 - share))), table
 
+    names = [f"{c}{k}" for c in "qp" for k in range(FOLDS)]
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((3, size))
+        sums = np.zeros((2 * FOLDS, size), np.int32)
         for batch in batches:
-            for kind, weight, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), features(batch.column(0)), strict=True):
-                for x in found:
-                    sums[kind, x] += weight
-                    sums[2, x] += 1
-        there = np.flatnonzero(sums[2])
-        yield pa.RecordBatch.from_arrays([pa.array(there), *(pa.array(r[there]) for r in sums)], ["f", "q", "p", "n"])
-
-    counts = rows.mapInArrow(count, "f long, q double, p double, n double").groupBy("f").agg(*[F.sum(c).alias(c) for c in "qpn"])
-    ratio = F.log((F.col("p") + 1) / (totals[1] + 2)) - F.log((F.col("q") + 1) / (totals[0] + 2))
-    kept = counts.where(F.col("n") >= MIN_DOCS).select("f", ratio.alias("r"), (F.abs(ratio) * F.sqrt("n")).alias("e"))
-    kept = kept.orderBy(F.desc("e"), "f").limit(MAX_FEATURES).collect()
-    if not kept:
-        return float(np.log(totals[1] / totals[0])), table
-    keep, ratios = np.array([r["f"] for r in kept]), np.array([r["r"] for r in kept])
+            for kind, fold, made in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist(), features(batch.column(0)), strict=True):
+                for x in made:
+                    sums[kind * FOLDS + fold, x] += 1
+        there = np.flatnonzero(sums.any(0))
+        yield pa.RecordBatch.from_arrays([pa.array(there), *(pa.array(r[there].astype(np.int64)) for r in sums)], ["f", *names])
+
+    counts = rows.mapInArrow(count, ", ".join(f"{c} long" for c in ["f", *names])).groupBy("f").agg(*[F.sum(c).alias(c) for c in names])
+    counts = written(counts, "counts")
+
+    def strongest(out: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """Features kept, and their log ratios, without the rows of fold ``out``."""
+        use = [k for k in range(FOLDS) if k != out]
+        q, p = (sum((F.col(f"{c}{k}") for k in use), F.lit(0)) for c in "qp")
+        n0, n1 = weight * sizes[:, use].sum(1)
+        ratio = F.log((p * float(weight[1]) + 1) / float(n1 + 2)) - F.log((q * float(weight[0]) + 1) / float(n0 + 2))
+        kept = counts.where(p + q >= MIN_DOCS).select("f", ratio.alias("r"), (F.abs(ratio) * F.sqrt(p + q)).alias("e"))
+        kept = kept.orderBy(F.desc("e"), "f").limit(MAX_FEATURES).collect()
+        return np.array([r["f"] for r in kept], np.int64), np.array([r["r"] for r in kept], float)
+
+    scored = [k for k in range(FOLDS) if sizes[:, k].any() and (sizes.sum(1) > sizes[:, k]).all()]
+    chosen = {k: strongest(k) for k in [None, *scored]}
+    keep = np.unique(np.concatenate([f for f, _ in chosen.values()]))
 
     def restrict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         column = np.full(size, -1, np.int32)
         column[keep] = np.arange(len(keep), dtype=np.int32)
         for batch in batches:
-            found = [column[np.concatenate(x)] for x in features(batch.column(0))]
-            found = pa.array([x[x >= 0].tobytes() for x in found], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), found], ["toxic", "weight", "f"])
+            made = [column[np.concatenate(x)] for x in features(batch.column(0))]
+            made = pa.array([x[x >= 0].tobytes() for x in made], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), batch.column(3), made], ["toxic", "weight", "fold", "f"])
 
-    data = rows.mapInArrow(restrict, "toxic int, weight double, f binary").collect()  # at most fit_rows
+    data = rows.mapInArrow(restrict, "toxic int, weight double, fold int, f binary").collect()  # at most fit_rows
     sets = [np.frombuffer(r["f"], np.int32) for r in data]
-    scale = ratios / np.sqrt(max(1.0, sum(map(len, sets)) / len(sets)))
-    b, w = _logistic(sets, scale, np.array([r["toxic"] for r in data], float), np.array([r["weight"] for r in data]), l2, rounds)
-    table[keep] = w * scale
-    return b, table
+    toxic, weights, folds = np.array([r["toxic"] for r in data], float), np.array([r["weight"] for r in data]), np.array([r["fold"] for r in data])
+
+    def model(out: int | None) -> tuple[float, np.ndarray]:
+        """Intercept and weights of the features in ``keep``, without the rows of fold ``out``."""
+        use = np.flatnonzero(folds != (-1 if out is None else out))
+        at = np.searchsorted(keep, chosen[out][0])
+        if not len(at):
+            n0, n1 = (weights[use] * (toxic[use] == c) for c in (0, 1))
+            return float(np.log(n1.sum() / n0.sum())), np.zeros(len(keep))
+        column = np.full(len(keep), -1, np.int32)
+        column[at] = np.arange(len(at), dtype=np.int32)
+        own = [x[x >= 0] for x in (column[sets[i]] for i in use)]
+        scale = chosen[out][1] / np.sqrt(max(1.0, sum(map(len, own)) / len(own)))
+        b, w = _logistic(own, scale, toxic[use], weights[use], l2, rounds)
+        full = np.zeros(len(keep))
+        full[at] = w * scale
+        return b, full
+
+    b, w = model(None)
+    z = np.full(len(data), np.nan)
+    for k in scored:
+        bk, wk = model(k)
+        for i in np.flatnonzero(folds == k):
+            z[i] = bk + wk[sets[i]].sum()
+    there = ~np.isnan(z)
+    table[keep] = w
+    return b - _shift(z[there], toxic[there]), table
 
 
 def score(docs: DataFrame, model: tuple[float, np.ndarray], text_col: str = "text", carry: list[str] | None = None) -> DataFrame:

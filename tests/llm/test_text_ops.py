@@ -1,3 +1,4 @@
+import os
 import re
 import zlib
 from array import array
@@ -13,7 +14,7 @@ from sondeframe.llm.packing import match_runs, pack
 from sondeframe.llm.quality import quality
 from sondeframe.llm.spviterbi import Encoder, StreamingViterbi, encoded
 from sondeframe.llm.tokens import UnitEncoder, public_path
-from sondeframe.llm.toxicity import toxicity
+from sondeframe.llm.toxicity import _shift, toxicity
 
 TEXT = st.text(st.sampled_from(list("abZ .,'st\n\t19éÀß|#<$|>½ \u0301\x1c\u2003ü中")) | st.characters(codec="utf-8"), max_size=60)
 _made = {}
@@ -196,3 +197,26 @@ def test_toxicity_learns(spark, odd_docs):
     assert np.mean([r.predicted == truth[r.doc_id] for r in held]) > 0.97
     odd = toxicity(odd_docs, labels.where("false")).collect()
     assert len(odd) == 10 and all(r.score < 1e-6 for r in odd)
+
+
+def test_toxicity_recall_by_language(spark):
+    """On held-out labels of the real table: most toxic rows of every language, and hardly any clean one."""
+    folder = "/root/testdata/sf0.1"
+    if not os.path.isdir(folder):
+        pytest.skip("no test data")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").join(labels, "doc_id", "left_semi").select("doc_id", "lang", "text")
+    got = {r.doc_id: r.predicted for r in toxicity(docs, labels).where("held_out").collect()}
+    rows = [(r.lang, r.toxic, got[r.doc_id]) for r in docs.drop("text").join(labels, "doc_id").collect() if r.doc_id in got]
+    recall = lambda lang=None: np.mean([p for g, t, p in rows if t == 1 and lang in (None, g)])
+    by = {g: recall(g) for g in {r[0] for r in rows}}
+    assert len(rows) > 800 and recall() >= 0.8 and min(by.values()) >= 0.6, by
+    assert np.mean([p for _, t, p in rows if t == 0]) <= 0.01
+
+
+def test_toxicity_cut_keeps_its_bound():
+    rng = np.random.default_rng(5)
+    clean, bad = rng.normal(-4, 1, 2000), rng.normal(-1, 1, 300)
+    cut = _shift(np.concatenate((clean, bad)), np.repeat([0.0, 1.0], [2000, 300]))
+    assert 5 <= (clean >= cut).sum() <= 10 and (bad >= cut).mean() > 0.5
+    assert _shift(clean, np.zeros(2000)) == 0.0

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sondeframe.llm import oracle, tokencounts
 from sondeframe.llm.ann import nearest
-from sondeframe.llm.common import table, work_path
+from sondeframe.llm.common import table, work_path, written
 from sondeframe.llm.idfile import round_trip
 from sondeframe.llm.neardup import near_duplicates
 from sondeframe.llm.packing import pack
@@ -35,9 +35,21 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = {f"{n}@1": (public_path(f"{n}.json"), kind) for n, kind in (("byte_bpe_50k", "byte"), ("word_bpe_49k", "word"))}
     counted = tokencounts.count_tokens(table(spark, sf_dir, "documents").select("source", "lang", "text"), versions)
-    rollup = work_path(spark, "rollup")
-    tokencounts.commit(tokencounts.inserts(counted), rollup, "documents")
-    return tokencounts.totals(spark, rollup)
+    rollup, compacted = work_path(spark, "rollup"), work_path(spark, "rollup")
+    # Texts are tokenized once: the feed's sums and one document of each group.
+    sums = F.count("*").alias("d_docs"), F.sum("n_tokens").alias("d_tokens"), F.min("n_tokens").alias("n_tokens")
+    feed = written(counted.groupBy(*tokencounts.KEYS).agg(*sums), "feed")
+    inserts, one = feed.drop("n_tokens"), feed.select(*tokencounts.KEYS, "n_tokens")
+    tokencounts.commit(inserts, rollup, "documents")
+    # That document leaves, enters again with another count, and is revised back: the totals stay.
+    more = one.withColumn("n_tokens", F.col("n_tokens") + 1)
+    tokencounts.commit(tokencounts.deletes(one), rollup, "delete")
+    tokencounts.commit(tokencounts.inserts(more), rollup, "insert")
+    tokencounts.compact(spark, rollup, compacted)
+    tokencounts.commit(inserts, compacted, "documents")  # a retry after compaction
+    tokencounts.commit(tokencounts.revisions(more, one), compacted, "revise")
+    tokencounts.commit(tokencounts.revisions(more, one), compacted, "revise")
+    return tokencounts.totals(spark, compacted)
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

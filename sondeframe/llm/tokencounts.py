@@ -5,9 +5,10 @@ batch, in a folder of its own named by the batch id.  Totals are sums of deltas,
 inserts (+1), deletes (-1) and revised counts (the difference of tokens, no
 document) never touch earlier batches.  Committing a batch id again replaces its
 folder by the same rows: a retried batch counts once.  ``compact`` folds committed
-batches into one and remembers their ids.
+batches into one and lists their ids in a table beside it; a batch listed there is
+skipped when it is committed again.
 
-Edge cases: a null text has no tokens; null sources and languages are groups of
+Edge cases: "base" is no batch id, as it names the folded batch; a null text has no tokens; null sources and languages are groups of
 their own; totals that return to zero stay as zero rows; repeated rows each count.
 """
 
@@ -25,6 +26,7 @@ from sondeframe.llm.files import open_fs
 from sondeframe.llm.tokens import encoder
 
 KEYS = ["source", "lang", "tokenizer"]
+BASE = "base"
 DELTA = "source string, lang string, tokenizer string, d_docs long, d_tokens long"
 
 
@@ -64,20 +66,41 @@ def _batches(rollup: str) -> list[str]:
     return sorted(x.base_name for x in found if x.base_name.startswith("batch="))
 
 
+def _folded(spark: SparkSession, rollup: str) -> DataFrame:
+    """``(batch_id)`` of the batches that the base holds."""
+    system, path = open_fs(f"{rollup}/folded")
+    there = system.get_file_info(path).type == fs.FileType.Directory
+    return spark.read.schema("batch_id string").parquet(f"{rollup}/folded") if there else spark.createDataFrame([], "batch_id string")
+
+
 def commit(changes: DataFrame, rollup: str, batch_id: str) -> None:
-    """Commit signed changes under ``batch_id``; committing the same batch again changes nothing."""
+    """Commit signed changes under ``batch_id``; committing the same batch again changes nothing, also when it is folded."""
+    if batch_id == BASE:
+        raise ValueError(f"{BASE} is the name of the folded batch")
+    if not _folded(changes.sparkSession, rollup).where(F.col("batch_id") == batch_id).isEmpty():
+        return
     sums = changes.groupBy(*KEYS).agg(F.sum("d_docs").alias("d_docs"), F.sum("d_tokens").alias("d_tokens"))
     sums.coalesce(1).write.mode("overwrite").parquet(f"{rollup}/batch={batch_id}")
 
 
-def totals(spark: SparkSession, rollup: str) -> DataFrame:
-    """``(source, lang, tokenizer, n_docs, n_tokens)`` over the committed batches."""
-    paths = [f"{rollup}/{b}" for b in _batches(rollup)]
+def _sums(spark: SparkSession, paths: list[str]) -> DataFrame:
     deltas = spark.read.schema(DELTA).parquet(*paths) if paths else spark.createDataFrame([], DELTA)
     return deltas.groupBy(*KEYS).agg(F.sum("d_docs").alias("n_docs"), F.sum("d_tokens").alias("n_tokens"))
 
 
+def totals(spark: SparkSession, rollup: str) -> DataFrame:
+    """``(source, lang, tokenizer, n_docs, n_tokens)`` over the committed batches."""
+    return _sums(spark, [f"{rollup}/{b}" for b in _batches(rollup)])
+
+
 def compact(spark: SparkSession, rollup: str, into: str) -> None:
-    """Write the present totals as the first batch of a new rollup folder."""
-    sums = totals(spark, rollup).select(*KEYS, F.col("n_docs").alias("d_docs"), F.col("n_tokens").alias("d_tokens"))
-    sums.coalesce(1).write.mode("overwrite").parquet(f"{into}/batch=base")
+    """Write the present totals as the first batch of a new rollup folder, with the ids of all batches in it.
+
+    The ids are written first: a compaction that fails between them has no base and is run again.
+    """
+    ids = [b.removeprefix("batch=") for b in _batches(rollup)]
+    new = spark.createDataFrame([(b,) for b in ids if b != BASE], "batch_id string")
+    _folded(spark, rollup).unionByName(new).coalesce(1).write.mode("overwrite").parquet(f"{into}/folded")
+    paths = [f"{rollup}/batch={b}" for b in ids]
+    sums = _sums(spark, paths).select(*KEYS, F.col("n_docs").alias("d_docs"), F.col("n_tokens").alias("d_tokens"))
+    sums.coalesce(1).write.mode("overwrite").parquet(f"{into}/batch={BASE}")

@@ -12,6 +12,7 @@ from sondeframe.llm import tokencounts
 from sondeframe.llm.idfile import decode_data, encode_block, round_trip
 from sondeframe.llm.packing import match_runs, pack
 from sondeframe.llm.quality import quality
+from sondeframe.llm.queries import op1_token_counts
 from sondeframe.llm.spviterbi import Encoder, StreamingViterbi, encoded
 from sondeframe.llm.tokens import UnitEncoder, public_path
 from sondeframe.llm.toxicity import _shift, toxicity
@@ -220,3 +221,33 @@ def test_toxicity_cut_keeps_its_bound():
     cut = _shift(np.concatenate((clean, bad)), np.repeat([0.0, 1.0], [2000, 300]))
     assert 5 <= (clean >= cut).sum() <= 10 and (bad >= cut).mean() > 0.5
     assert _shift(clean, np.zeros(2000)) == 0.0
+
+
+def test_folded_batches_are_not_counted_again(spark, tmp_path):
+    counted = spark.createDataFrame([("a", "en", "v", 5), ("a", "en", "v", 7), (None, "de", "v", 2)], "source string, lang string, tokenizer string, n_tokens long")
+    first, second, third = (f"file://{tmp_path}/{x}" for x in "abc")
+    shown = lambda rollup: {(r.source, r.lang): (r.n_docs, r.n_tokens) for r in tokencounts.totals(spark, rollup).collect()}
+    tokencounts.commit(tokencounts.inserts(counted), first, "b1")
+    tokencounts.compact(spark, first, second)
+    tokencounts.commit(tokencounts.inserts(counted), second, "b1")
+    want = {("a", "en"): (2, 12), (None, "de"): (1, 2)}
+    assert shown(second) == want
+    for _ in range(2):
+        tokencounts.commit(tokencounts.deletes(counted.where("n_tokens = 7")), second, "b2")
+    tokencounts.compact(spark, second, third)
+    for batch in ("b1", "b2"):
+        tokencounts.commit(tokencounts.inserts(counted), third, batch)
+    assert shown(third) == {("a", "en"): (1, 5), (None, "de"): (1, 2)}
+    with pytest.raises(ValueError):
+        tokencounts.commit(tokencounts.inserts(counted), third, "base")
+
+
+def test_op1_totals_are_the_plain_sums(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    versions = {f"{n}@1": (public_path(f"{n}.json"), kind) for n, kind in (("byte_bpe_50k", "byte"), ("word_bpe_49k", "word"))}
+    want = {}
+    for r in tokencounts.count_tokens(docs, versions).collect():
+        n = want.setdefault((r.source, r.lang, r.tokenizer), [0, 0])
+        n[0], n[1] = n[0] + 1, n[1] + r.n_tokens
+    got = {(r.source, r.lang, r.tokenizer): [r.n_docs, r.n_tokens] for r in op1_token_counts(spark, sf).collect()}
+    assert got == want

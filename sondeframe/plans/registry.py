@@ -447,7 +447,9 @@ def roi_tiles(spark, d):
 
 @query()
 def tile_labels(spark, d):
-    pixels = grid.utm_template(derived(spark, d, "site").where("id % 100 = 0"), size=32)
+    # A site becomes 224 x 224 rows: spread them before; a stated number is not coalesced.
+    sites = derived(spark, d, "site").repartition(4 * spark.sparkContext.defaultParallelism, "id")
+    pixels = grid.utm_template(sites, size=C.PATCH)
     source = spark.range(98 * 400).select((F.col("id") / 280).cast("int").alias("lat_i"), (F.col("id") % 280).cast("int").alias("lon_i"), (F.col("id") % 4).cast("int").alias("cls"))
     return grid.nearest_label(pixels, source, 30, 0.05, 140, 22, 0.05, 280).groupBy("id", "cls").agg(F.count("*").alias("n"))
 

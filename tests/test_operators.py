@@ -1,5 +1,6 @@
 import datetime as dt
 import math
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,8 @@ from sondeframe.functions import geo, indices, names, sampling, utm
 from sondeframe.operators import aggregates as A
 from sondeframe.operators import dataset, grid, joins, splits
 from sondeframe.operators import windows as Wn
+from sondeframe.plans import registry
+from sondeframe.plans.derived import derived
 from sondeframe.sources import readers, sinks
 from sondeframe.streaming import fold
 
@@ -125,3 +128,14 @@ def test_violations_name_the_column(spark):
     row = spark.createDataFrame([("a", 200.0, 30.0, 0.1, 0.9, "delta", "train"), ("b", 30.0, 30.0, 0.1, 0.9, "delta", "train"), ("c", None, 30.0, 0.1, 0.9, "sea", "train")],
         "sample_id string, center_lon double, center_lat double, cloud_pct double, valid_pct double, region string, split string")
     assert {r.sample_id: r.problems for r in dataset.violations(row).collect()} == {"a": ["center_lon"], "c": ["center_lon", "region"]}
+
+
+def test_tile_labels_cover_whole_patches(spark, tmp_path):
+    """Every site, every pixel of its patch, against a label picked pixel by pixel."""
+    spark.createDataFrame([(1,), (7,), (100,)], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
+    got = {(r.id, r.cls): r.n for r in registry.QUERIES["tile_labels"](spark, str(tmp_path)).collect()}
+    want = Counter()
+    for p in grid.utm_template(derived(spark, str(tmp_path), "site"), size=224).select("id", "lon", "lat").collect():
+        iy, ix = math.floor((p.lat - 30) / 0.05 + 0.5), math.floor((p.lon - 22) / 0.05 + 0.5)
+        want[p.id, (iy * 280 + ix) % 4 if 0 <= iy < 140 and 0 <= ix < 280 else 255] += 1
+    assert sum(want.values()) == 3 * 224 * 224 and got == dict(want)

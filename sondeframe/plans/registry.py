@@ -357,6 +357,23 @@ def one_scene_per_window(spark, d):
     return catalog.one_per_window(s, starts, links).select("window", "id", "day")
 
 
+def _composite_starts(years: DataFrame, name: str) -> DataFrame:
+    """Each sixteenth day from the first of January, of every ``year`` in the table."""
+    y = years.where("year is not null").distinct()
+    return y.select(F.explode(F.sequence(F.make_date("year", F.lit(1), F.lit(1)), F.make_date("year", F.lit(12), F.lit(31)), F.expr("interval 16 days"))).alias(name))
+
+
+_ALL_STARTS = f"(select cast(unnest(generate_series(make_date(y, 1, 1), make_date(y, 12, 31), interval 16 day)) as date) w from (select distinct cast(year(day) as int) y from {sql('scene')} where day is not null))"
+
+
+@query(f"""with s as (select * from {sql('scene')}), first as (select k, min(w) w from s join {_ALL_STARTS} on w <= day and day < w + 16 group by 1)
+ select w as "window", id, day as "day" from (select w, s.*, row_number() over (partition by w order by coalesce(cloud, 100), day, id) rn, substr(id, 5, 3) se from s join first using (k)) where rn = 1 and se = 'S30'""")
+def one_scene_per_window_all_years(spark, d):
+    s = derived(spark, d, "scene")
+    links = F.when(names.sensor_of(F.col("id")) == "S30", F.lit("x"))
+    return catalog.one_per_window(s, _composite_starts(s.select(F.year("day").alias("year")), "start"), links).select("window", "id", "day")
+
+
 @query(f"""select day as "day", min(id) id from {sql('scene')} where substr(id, 5, 3) = 'S30' group by 1""")
 def first_scene_per_date(spark, d):
     return catalog.first_per_date(derived(spark, d, "scene"), F.when(names.sensor_of(F.col("id")) == "S30", F.lit("x"))).select("day", "id")
@@ -532,7 +549,10 @@ _VEG = "(select cast(l_suppkey % 20 as int) cell, cast(date_trunc('month', l_shi
   from w left join bs on bs.cell = w.cell and bs.mm = month(w.dd) left join t on t.cell = w.cell and t.dd = w.dd left join ts on ts.cell = w.cell and ts.doy = dayofyear(w.dd) left join n on n.cell = w.cell and n.dd = w.dd left join lim on lim.cell = w.cell)
  select cell, dd as "day", round(spei, 4) spei3, round(tmax_z, 4) tmax_z, round(vhi, 4) vhi, {_MASKED} cls from i""")
 def label_grid(spark, d):
-    dates = spark.range(1).select(F.explode(F.expr("sequence(date'1996-01-01', date'1996-12-31', interval 16 days)")).alias("day"))
+    return _label_grid(spark, d, spark.range(1).select(F.explode(F.expr("sequence(date'1996-01-01', date'1996-12-31', interval 16 days)")).alias("day")))
+
+
+def _label_grid(spark, d, dates):
     precip, pet = monthly(spark, d, "precip"), monthly(spark, d, "pet")
     balance = precip.join(pet, ["cell", "ym"]).withColumn("wb", F.col("precip") - F.col("pet"))
     o, line = spark.read.parquet(f"{d}/orders.parquet"), spark.read.parquet(f"{d}/lineitem.parquet")
@@ -542,3 +562,13 @@ def label_grid(spark, d):
     stats = Wn.circular_doy(A.doy_moments(tmax, ["cell"], F.dayofyear("day"), F.col("tmax")), ["cell"])
     out = labels.build_labels(dates, balance, Wn.water_balance(precip, pet, ["cell"]), tmax, stats, veg.withColumnRenamed("ndvi", "v"), veg.withColumnRenamed("lst", "v"), limits)
     return out.select("cell", "day", *[F.round(x, 4).alias(x) for x in ("spei3", "tmax_z", "vhi")], "cls")
+
+
+_DATES_1996 = "select cast(unnest(generate_series(make_date(1996, 1, 1), make_date(1996, 12, 31), interval 16 day)) as date) dd"
+_DATES_ALL = "select cast(unnest(generate_series(make_date(y, 1, 1), make_date(y, 12, 31), interval 16 day)) as date) dd from (select cast(year(o_orderdate) as int) y from orders union select cast(year(l_shipdate) as int) from lineitem) where y is not null"
+
+
+@query(ORACLE["label_grid"].replace(_DATES_1996, _DATES_ALL))
+def label_grid_all_years(spark, d):
+    years = [spark.read.parquet(f"{d}/{t}.parquet").select(F.year(c).alias("year")) for t, c in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"))]
+    return _label_grid(spark, d, _composite_starts(years[0].union(years[1]), "day"))

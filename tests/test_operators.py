@@ -139,3 +139,7 @@ def test_tile_labels_cover_whole_patches(spark, tmp_path):
         iy, ix = math.floor((p.lat - 30) / 0.05 + 0.5), math.floor((p.lon - 22) / 0.05 + 0.5)
         want[p.id, (iy * 280 + ix) % 4 if 0 <= iy < 140 and 0 <= ix < 280 else 255] += 1
     assert sum(want.values()) == 3 * 224 * 224 and got == dict(want)
+
+
+def test_all_years_have_windows_and_labels():
+    assert "1996" not in registry.ORACLE["label_grid_all_years"] and "1996" not in registry.ORACLE["one_scene_per_window_all_years"]

@@ -412,6 +412,19 @@ def meteo_coverage(spark, d):
     return dataset.coverage(series, ["t2m", "tp"]).join(n, "sample_id").select("sample_id", r6("coverage", "coverage"), "days")
 
 
+_DAILY = f"(select cell, cast(ts as date) dd, avg(t2m) t2m, max(t2m) tmax, min(t2m) tmin, avg(swvl1) swvl1, sum(e) e, sum(tp) tp from {sql('hourly')} group by 1, 2)"
+
+
+@query(f"""with daily as materialized {_DAILY}, s as (select cast(c_custkey as varchar) sample_id, cast(c_custkey % 16 as int) cell, unnest(generate_series(date '2024-01-20' + cast(c_custkey % 10 as int) - 89, date '2024-01-20' + cast(c_custkey % 10 as int), interval 1 day)) dd from customer)
+ select sample_id, round((count(t2m) + count(tmax) + count(tmin) + count(swvl1) + count(e) + count(tp)) / 540, 6) coverage, cast(count(*) as bigint) "days" from s left join daily on daily.cell = s.cell and daily.dd = s.dd group by 1""")
+def meteo_coverage_all_samples(spark, d):
+    s = spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").cast("string").alias("sample_id"), (F.col("c_custkey") % 16).cast("int").alias("cell"),
+        F.expr("date_add(date'2024-01-20', cast(c_custkey % 10 as int))").alias("end"))
+    series = dataset.meteo_series(s, A.daily_channels(derived(spark, d, "hourly"), ["cell"], "ts"), ["cell"])
+    n = series.groupBy("sample_id").agg(F.count("*").alias("days"))
+    return dataset.coverage(series, ["t2m", "tmax", "tmin", "swvl1", "e", "tp"]).join(n, "sample_id").select("sample_id", r6("coverage", "coverage"), "days")
+
+
 @query(f"""select patch, round(coalesce(count(*) filter (red <> -9999) / count(*), 0), 6) valid_pct, round(coalesce(count(*) filter (fmask <> 255 and fmask & 14 <> 0) / nullif(count(*) filter (fmask <> 255), 0), 1), 6) cloud_pct
  from {sql('fmask')} group by 1 having count(*) filter (red <> -9999) / count(*) >= 0.5""")
 def patch_quality(spark, d):

@@ -141,5 +141,13 @@ def test_tile_labels_cover_whole_patches(spark, tmp_path):
     assert sum(want.values()) == 3 * 224 * 224 and got == dict(want)
 
 
+def test_meteo_coverage_takes_every_sample_and_channel(spark, tmp_path):
+    """A gap in one channel counts, of a customer of any number."""
+    spark.createDataFrame([(1,), (2,)], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(1, dt.datetime(2024, 1, 5), 3.0), (2, dt.datetime(2024, 1, 6), None)], "user_id long, ts timestamp, value double").write.parquet(f"{tmp_path}/events.parquet")
+    got = {r.sample_id: (r.coverage, r.days) for r in registry.QUERIES["meteo_coverage_all_samples"](spark, str(tmp_path)).collect()}
+    assert got == {"1": (round(6 / 540, 6), 90), "2": (0.0, 90)}
+
+
 def test_all_years_have_windows_and_labels():
     assert "1996" not in registry.ORACLE["label_grid_all_years"] and "1996" not in registry.ORACLE["one_scene_per_window_all_years"]

@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,3 +46,16 @@ def limited_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def by_bytes(batches: Iterator[pa.RecordBatch], column: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in slices of about ``limit`` bytes of one string column, however many rows a batch holds."""
+    for batch in batches:
+        texts = batch.column(column)
+        wide = pa.types.is_large_string(texts.type)
+        ends = np.frombuffer(texts.buffers()[1], np.int64 if wide else np.int32)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1)
+        row = 0
+        while row < batch.num_rows:
+            upto = max(row + 1, int(np.searchsorted(ends, ends[row] + limit, side="right")) - 1)
+            yield batch.slice(row, upto - row)
+            row = upto

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sondeframe.llm.common import work_path, written
+from sondeframe.llm.common import by_bytes, work_path, written
 from sondeframe.llm.files import new_file, open_fs, read_at
 from sondeframe.llm.tokens import encoder
 
@@ -86,14 +86,9 @@ def _tokenised(docs: DataFrame, tokenizer: str, kind: str, end_id: int, dtype: n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer, kind)
-        for batch in batches:
-            at, held, size = 0, [], 0
-            for ids in encode.encode(batch.column(1).to_pylist()):
-                held.append(np.frombuffer(ids + end, np.uint32).astype(dtype).tobytes())
-                size += len(held[-1])
-                if size > 4 << 20 or at + len(held) == batch.num_rows:
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(held)), pa.array(held, pa.binary())], ["doc_id", "ids"])
-                    at, held, size = at + len(held), [], 0
+        for batch in by_bytes(batches, 1):
+            held = [np.frombuffer(ids + end, np.uint32).astype(dtype).tobytes() for ids in encode.encode(batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(held, pa.binary())], ["doc_id", "ids"])
 
     source = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
     return source.mapInArrow(run, "doc_id long, ids binary")

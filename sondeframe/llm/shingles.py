@@ -25,8 +25,8 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: Text is hashed in pieces of about this many bytes, so that the scratch
 #: arrays stay small whatever the Arrow batch holds.
-CHUNK_BYTES = 2 << 20
-_powers: dict[str, np.ndarray] = {}
+CHUNK_BYTES = 1 << 19
+_powers: dict[str, np.ndarray] = {}  # at most 16 bytes for each of 2 * CHUNK_BYTES
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -40,12 +40,17 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers.get("p", ())) < n:
-        for name, base in (("p", _BASE), ("i", _BASE_INV)):
-            steps = np.full(n, base, dtype=U64)
-            steps[0] = 1
-            _powers[name] = np.multiply.accumulate(steps)
-    return _powers["p"][:n], _powers["i"][:n]
+    """Powers of the base and its inverse; those beyond the kept bound (a giant word) are made anew."""
+    if len(_powers.get("p", ())) >= n:
+        return _powers["p"][:n], _powers["i"][:n]
+    made = {}
+    for name, base in (("p", _BASE), ("i", _BASE_INV)):
+        steps = np.full(n, base, dtype=U64)
+        steps[0] = 1
+        made[name] = np.multiply.accumulate(steps)
+    if n <= 2 * CHUNK_BYTES:
+        _powers.update(made)
+    return made["p"], made["i"]
 
 
 def text_chunks(texts: pa.Array, limit: int = CHUNK_BYTES):
@@ -71,10 +76,30 @@ def text_chunks(texts: pa.Array, limit: int = CHUNK_BYTES):
         row = end
 
 
+def _long_word_hashes(data: np.ndarray) -> np.ndarray:
+    """Word hashes of one long text, taken in slices that end at white space (or after a giant word)."""
+    parts, at = [], 0
+    while at < len(data):
+        end = min(len(data), at + CHUNK_BYTES)
+        if end < len(data):
+            gaps = np.flatnonzero(_SPACE[data[at:end]])[-1:]
+            while not len(gaps) and end < len(data):  # a giant word: up to the first white space after it
+                step = data[end : end + CHUNK_BYTES]
+                gaps = np.flatnonzero(_SPACE[step])[:1] + (end - at)
+                end += len(step)
+            end = at + int(gaps[0]) + 1 if len(gaps) else len(data)
+        parts.append(word_hashes(data[at:end], np.array([0, end - at]))[0])
+        at = end
+    return np.concatenate(parts)
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word of a piece, and the word offsets of its rows."""
     n = len(data)
     rows = len(offsets) - 1
+    if rows == 1 and n > CHUNK_BYTES and _SPACE[data[: n - 1]].any():
+        found = _long_word_hashes(data)
+        return found, np.array([0, len(found)])
     if n == 0:
         return np.zeros(0, U64), np.zeros(rows + 1, np.int64)
     low = _LOWER[data]
@@ -122,6 +147,12 @@ def distinct_sets(texts: pa.Array, k: int):
     """For each piece: first row, concatenated sorted distinct shingle hashes, row offsets."""
     for row, data, offsets in text_chunks(texts):
         words, word_offsets = word_hashes(data, offsets)
+        if len(words) > CHUNK_BYTES and len(offsets) == 2:  # one long text: shingles in runs that overlap by k - 1 words
+            cuts = range(0, len(words) - k + 1, CHUNK_BYTES)
+            runs = [words[c : c + CHUNK_BYTES + k - 1] for c in cuts]
+            one = np.unique(np.concatenate([np.unique(shingle_hashes(r, np.array([0, len(r)]), k)[0]) for r in runs]))
+            yield row, one, np.array([0, len(one)])
+            continue
         hashes, at = shingle_hashes(words, word_offsets, k)
         if len(hashes) == 0:
             yield row, hashes, at

@@ -2,9 +2,10 @@
 
 Features are the distinct hashed n-grams (of bytes, A-Z lower-cased, runs of white
 space as one space) of a text.  Each feature is scaled by the log ratio of its
-smoothed document counts in toxic and other training texts, and a logistic
-regression with an L2 penalty is fitted on the scaled features.  Rare or
-uninformative features are left out of the fit.
+smoothed document counts in toxic and other training texts, as far as that ratio
+exceeds ``MARGIN`` standard errors of its own: what chance explains scales by zero.
+A logistic regression with an L2 penalty is fitted on the scaled features.  All
+buckets take part, however many there are.
 
 Toxic is a score of at least 0.5.  The fit alone would call few documents toxic, as
 most labels are clean and weak evidence in a rare language stays below one half; so
@@ -17,7 +18,8 @@ Only text enters a score.  The fit uses at most ``FIT_ROWS`` labelled rows, draw
 by a hash of the id, with weights that restore the true class shares; everything
 else covers whole texts of all rows.
 
-Edge cases: null and empty texts score the intercept; without labelled rows of both
+Edge cases: a label whose id several rows hold teaches the smallest of their texts, so
+the bound holds for texts too; columns other than id and text play no part and may have any name; null and empty texts score the intercept; without labelled rows of both
 classes every score is the share of toxic labels (0 without labels); folds that leave
 one class only are not scored, and without scores of both classes the intercept stays; null labels
 and null ids teach nothing; repeated label rows count once for each.
@@ -35,12 +37,14 @@ from pyspark.sql import functions as F
 from sondeframe.llm.common import written
 from sondeframe.llm.shingles import U64, text_chunks
 
-GRAMS = (4, 6)
+GRAMS = (4, 6, 8)
 BITS = 18
-#: Bound of the fit: labelled rows, and features kept by strength of evidence.
+#: Bound of the fit: labelled rows.
 FIT_ROWS = 6_000
-MAX_FEATURES = 1 << 13
-MIN_DOCS = 4
+#: Standard errors that a log ratio must exceed, its smoothing in toxic rows, and the size of the scaled features.
+MARGIN = 3.0
+SMOOTHING = 0.3
+SIZE = 2.0
 #: Folds of the training rows, and the share of clean ones that may score as toxic out of fold.
 FOLDS = 5
 MAX_FALSE = 0.005
@@ -52,7 +56,7 @@ _FOLD[9:14] = 32
 
 
 def _buckets(data: np.ndarray, n: int) -> np.ndarray:
-    """Bucket of the n-gram that starts at each byte; each n has a half of the table."""
+    """Bucket of the n-gram that starts at each byte; each n has a part of the table of its own."""
     h = np.zeros(len(data) - n + 1, U64)
     for j in range(n):
         h *= U64(0x100000001B3)
@@ -101,18 +105,30 @@ def _shift(z: np.ndarray, toxic: np.ndarray) -> float:
 
 
 def _logistic(sets: list[np.ndarray], scale: np.ndarray, toxic: np.ndarray, weight: np.ndarray, l2: float, rounds: int) -> tuple[float, np.ndarray]:
-    """Adam on the weighted logistic loss with an L2 penalty; intercept and weights of scaled features."""
-    rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    """Adam on the weighted logistic loss with an L2 penalty; intercept and weights of scaled features.
+
+    The features are held by row and, sorted, by feature, so each pass sums runs.
+    """
+    sizes = np.array([len(x) for x in sets])
     index = np.concatenate(sets)
+    by_feature = np.argsort(index, kind="stable")
+    row_of = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)[by_feature]
+    there, feature_starts = np.unique(index[by_feature], return_index=True)
+    filled = np.flatnonzero(sizes)
+    row_starts = (np.cumsum(sizes) - sizes)[filled]
     share = (toxic * weight).sum() / weight.sum()
-    value = scale[index]
     w, b = np.zeros(len(scale)), float(np.log(share / (1 - share)))
     total = weight.sum()
     m = v = np.zeros(len(scale) + 1)
     for t in range(1, rounds + 1):
-        z = np.bincount(rows, value * w[index], len(sets)) + b
+        z = np.full(len(sets), b)
+        if len(index):
+            z[filled] += np.add.reduceat((scale * w).astype(np.float32)[index], row_starts)
         err = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - toxic)
-        g = np.append(np.bincount(index, value * err[rows], len(scale)) + l2 * w, err.sum()) / total
+        slope = l2 * w
+        if len(index):
+            slope[there] += scale[there] * np.add.reduceat(err.astype(np.float32)[row_of], feature_starts)
+        g = np.append(slope, err.sum()) / total
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         step = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-9)
         w, b = w - step[:-1], b - float(step[-1])
@@ -136,21 +152,22 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, fit_r
     if not parts:
         return docs.sparkSession.createDataFrame([], "text string, toxic int, weight double, fold int")
     chosen = written(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]), "labels")
-    texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("text"))
-    # At most fit_rows ids: a proven bound for the broadcast.
+    texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    # At most fit_rows ids, a proven bound for the broadcasts, and one text for each of them.
+    texts = texts.join(F.broadcast(chosen.select("_id").distinct()), "_id").groupBy("_id").agg(F.min("text").alias("text"))
     fold = F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold")
     return written(texts.join(F.broadcast(chosen), "_id").select("text", "toxic", "weight", fold), "sample")
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS,
-    l2: float = 0.05, rounds: int = 100,
+    l2: float = 0.05, rounds: int = 40,
 ) -> tuple[float, np.ndarray]:
     """Intercept and a weight for each bucket.
 
-    Executors turn the sampled texts into counts by fold and then into the kept
-    features; the driver holds ``MAX_FEATURES`` counts for the model and for each fold
-    left out, and the kept feature lists only.
+    Executors turn the sampled texts into counts by fold and then into the features
+    whose scale is not zero; the driver holds at most a scale for each bucket, for the
+    model and for each fold left out, and those features of at most ``fit_rows`` rows.
     """
     size = len(GRAMS) << BITS
     table = np.zeros(size)
@@ -173,23 +190,32 @@ def fit(
                 for x in made:
                     sums[kind * FOLDS + fold, x] += 1
         there = np.flatnonzero(sums.any(0))
-        yield pa.RecordBatch.from_arrays([pa.array(there), *(pa.array(r[there].astype(np.int64)) for r in sums)], ["f", *names])
-
-    counts = rows.mapInArrow(count, ", ".join(f"{c} long" for c in ["f", *names])).groupBy("f").agg(*[F.sum(c).alias(c) for c in names])
-    counts = written(counts, "counts")
+        yield pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), *(pa.array(r[there]) for r in sums)], ["f", *names])
 
-    def strongest(out: int | None) -> tuple[np.ndarray, np.ndarray]:
-        """Features kept, and their log ratios, without the rows of fold ``out``."""
-        use = [k for k in range(FOLDS) if k != out]
-        q, p = (sum((F.col(f"{c}{k}") for k in use), F.lit(0)) for c in "qp")
-        n0, n1 = weight * sizes[:, use].sum(1)
-        ratio = F.log((p * float(weight[1]) + 1) / float(n1 + 2)) - F.log((q * float(weight[0]) + 1) / float(n0 + 2))
-        kept = counts.where(p + q >= MIN_DOCS).select("f", ratio.alias("r"), (F.abs(ratio) * F.sqrt(p + q)).alias("e"))
-        kept = kept.orderBy(F.desc("e"), "f").limit(MAX_FEATURES).collect()
-        return np.array([r["f"] for r in kept], np.int64), np.array([r["r"] for r in kept], float)
+    counts = rows.coalesce(4).mapInArrow(count, "f int, " + ", ".join(f"{c} int" for c in names)).groupBy("f").agg(*[F.sum(c).alias(c) for c in names])
 
     scored = [k for k in range(FOLDS) if sizes[:, k].any() and (sizes.sum(1) > sizes[:, k]).all()]
-    chosen = {k: strongest(k) for k in [None, *scored]}
+    models = [None, *scored]
+
+    def scales(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The scale of each feature for each model, without the fold left out: its ratio beyond the margin, or zero."""
+        for batch in batches:
+            q, p = (np.stack([batch.column(1 + i * FOLDS + k).to_numpy() for k in range(FOLDS)]).astype(float) for i in (0, 1))
+            made = []
+            for out in models:
+                use = [k for k in range(FOLDS) if k != out]
+                (n0, n1), b, a = sizes[:, use].sum(1), q[use].sum(0), p[use].sum(0)
+                ratio = np.log(a / n1 + SMOOTHING / n1) - np.log(b / n0 + SMOOTHING / n1)
+                made.append(np.sign(ratio) * np.maximum(0, np.abs(ratio) - MARGIN * np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))))
+            some = np.flatnonzero(np.any(made, 0))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(some)), *(pa.array(x[some]) for x in made)], ["f", *shown])
+
+    shown = [f"s{i}" for i in range(len(models))]
+    found = counts.mapInArrow(scales, "f int, " + ", ".join(f"{c} double" for c in shown)).toPandas().sort_values("f")
+    chosen = {}
+    for i, k in enumerate(models):
+        part = found[found[f"s{i}"] != 0]
+        chosen[k] = part["f"].to_numpy(np.int64), part[f"s{i}"].to_numpy(float)
     keep = np.unique(np.concatenate([f for f, _ in chosen.values()]))
 
     def restrict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +240,7 @@ def fit(
         column = np.full(len(keep), -1, np.int32)
         column[at] = np.arange(len(at), dtype=np.int32)
         own = [x[x >= 0] for x in (column[sets[i]] for i in use)]
-        scale = chosen[out][1] / np.sqrt(max(1.0, sum(map(len, own)) / len(own)))
+        scale = SIZE * chosen[out][1] / np.sqrt(max(1.0, sum(map(len, own)) / len(own)))
         b, w = _logistic(own, scale, toxic[use], weights[use], l2, rounds)
         full = np.zeros(len(keep))
         full[at] = w * scale

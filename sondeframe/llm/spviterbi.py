@@ -2,21 +2,28 @@
 
 The best segmentation maximises the sum of the vocabulary's piece scores; a code
 point that no piece covers costs the smallest score less 10 and becomes byte pieces
-(or the unknown id).  Text arrives in any chunks.  The search keeps the nodes of the
-open window only: the last ``max piece length`` boundaries are alive, and whenever
-the best paths of all alive boundaries pass through one boundary, the ids before it
-are committed and forgotten.  Among equal scores the path whose last piece starts
-earliest wins.
+(or the unknown id).  Among equal scores the path whose last piece starts earliest
+wins.
 
-Where no piece holds a white-space mark after another character, a mark is always
-such a boundary, and so is the start of punctuation that no piece holds after a
-letter.  The units between them are independent; their ids are remembered in a
-bounded table.
+Text arrives in chunks.  Only the open window is kept: a boundary is final once
+``longest`` characters (the maximum piece length) follow it, and where all surviving
+backpointer paths meet in one boundary, the ids before it are committed and
+forgotten.  ``Encoder`` runs the search in numpy over all texts of a run at once:
+
+1. pieces are looked up level by level, the n-grams that continue no piece drop out;
+2. a boundary that no piece found here spans is one where every path meets: it is
+   committed whatever the scores, so stretches between such boundaries are lanes,
+   and all lanes take their i-th boundary together;
+3. a lane beyond ``LANE`` characters goes through ``StreamingViterbi``, which follows
+   the backpointers of its window to the boundary where they meet.
+
+A text beyond ``CHUNK`` characters goes in slices, with the part after its last
+committed boundary carried over, so memory doesn't grow with the text.
 
 Edge cases: null and empty texts have no ids and decode to the empty string; texts
 decode to themselves except for what the model's own normaliser changes and U+2581,
 which is the white-space mark; rows with null ids and repeated rows are encoded
-like any other; other columns are not read.
+like any other; other columns are not read, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,13 +34,21 @@ import zlib
 from array import array
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sondeframe.llm.common import by_bytes
+
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-MAX_UNITS = 400_000
+#: Characters of a lane, and of the runs that are searched at once.
+LANE = 64
+CHUNK = 1 << 18
+_BETWEEN = 0xFFFFFFFF  # no code point
+_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+_SLICE_END = re.compile("[A-Za-z] (?=[A-Za-z])")
 _NONE = float("-inf")
 
 
@@ -58,14 +73,46 @@ class Vocabulary:
             self.prefixes[p] = (i, self.scores[i])
         self.longest = max(len(self.pieces[i]) for i in normal)
         self.unknown_score = min(self.scores[i] for i in normal) - UNKNOWN_PENALTY
-        # Characters that no piece holds after another one (but the mark or their like): each run of them starts a unit.
-        self.breaks = set("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\n")
-        inner = {(a, b) for i in normal for a, b in itertools.pairwise(self.pieces[i])}
-        while odd := {b for a, b in inner if b in self.breaks and a not in self.breaks and a != MARK}:
-            self.breaks -= odd
-        self.mark_cuts = not any(re.search(f"[^{MARK}]{MARK}", self.pieces[i]) for i in normal)
+        self._build()
         self.text_of = [MARK.join(self.pieces[i].split(MARK)).replace(MARK, " ") if not sp.is_control(i) else "" for i in range(len(self.pieces))]
 
+    def _build(self) -> None:
+        """A hash table of all prefixes: key, piece id (-1 where it is no piece) and score, probed in line."""
+        keys = np.array([self.key(p) for p in self.prefixes], np.uint64)
+        if len(np.unique(keys)) != len(keys):
+            raise ValueError("two prefixes share a key")
+        self.bits = max(10, int(len(keys) * 8 - 1).bit_length())
+        self.keys = np.zeros((1 << self.bits) + 64, np.uint64)
+        self.table_id = np.full(len(self.keys), -1, np.int32)
+        self.table_score = np.zeros(len(self.keys))
+        self.depth = 1
+        for key, found in zip(keys.tolist(), self.prefixes.values(), strict=True):
+            at = home = (key * int(_MULTIPLIER) & 0xFFFFFFFFFFFFFFFF) >> (64 - self.bits)
+            while self.keys[at]:
+                at += 1
+            self.keys[at], self.depth = key, max(self.depth, at - home + 1)
+            if found is not None:
+                self.table_id[at], self.table_score[at] = found
+
+    @staticmethod
+    def key(text: str) -> int:
+        """A polynomial of the code points, never 0."""
+        h = 0
+        for c in text:
+            h = (h * 0x100000001B3 + ord(c) + 1) & 0xFFFFFFFFFFFFFFFF
+        return h or 1
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Slots of the keys in the table, or -1."""
+        at = ((keys * _MULTIPLIER) >> np.uint64(64 - self.bits)).astype(np.int64)
+        out = np.where(self.keys[at] == keys, at, -1)
+        open_ = np.flatnonzero((out < 0) & (self.keys[at] != 0))
+        for step in range(1, self.depth):
+            there = self.keys[at[open_] + step]
+            out[open_[there == keys[open_]]] = at[open_[there == keys[open_]]] + step
+            open_ = open_[(there != keys[open_]) & (there != 0)]
+        return out
+
     def unknown_ids(self, char: str) -> list[int]:
         return [self.byte_ids[b] for b in char.encode()] if len(self.byte_ids) == 256 else [self.unknown]
 
@@ -147,31 +194,145 @@ class StreamingViterbi:
 
 
 class Encoder:
-    def __init__(self, path: str, max_units: int = MAX_UNITS) -> None:
-        self.v = Vocabulary(path)
-        b = re.escape("".join(sorted(self.v.breaks)))
-        words = f"(?:{MARK}+[{b}]*|[{b}]+)[^{MARK}{b}]*|[^{MARK}{b}]+" if b else f"{MARK}+[^{MARK}]*|[^{MARK}]+"
-        self.units = re.compile(words).findall if self.v.mark_cuts else (lambda t: [t])
-        self.viterbi = StreamingViterbi(self.v)
-        self.max_units, self.young, self.old = max_units, {}, {}
+    """Encodes many texts at once; holds no state but the vocabulary."""
+
+    def __init__(self, path: str, chunk: int = CHUNK) -> None:
+        self.v, self.chunk = Vocabulary(path), chunk
+
+    def _pieces(self, cps: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each length n from 1: starts, ids (-1: unknown character) and scores of the pieces in ``cps``, where ``_BETWEEN`` stands between texts."""
+        v, out = self.v, []
+        alive = np.flatnonzero(cps != _BETWEEN)
+        keys = np.zeros(len(alive), np.uint64)
+        for n in range(1, v.longest + 1):
+            inside = alive + n <= len(cps)
+            alive, keys = alive[inside], keys[inside]
+            cp = cps[alive + (n - 1)].astype(np.uint64)
+            text = cp != _BETWEEN
+            keys = keys * np.uint64(0x100000001B3) + cp + np.uint64(1)
+            slot = np.where(text, v.find(np.maximum(keys, np.uint64(1))), -1)
+            ids = np.where(slot >= 0, v.table_id[slot], -1)
+            there = ids >= 0
+            if n == 1:
+                out.append((alive, ids, np.where(there, v.table_score[slot], v.unknown_score)))
+            else:
+                out.append((alive[there], ids[there], v.table_score[slot[there]]))
+            on = slot >= 0
+            alive, keys = alive[on], keys[on]
+            if not len(alive):
+                break
+        return out
+
+    def _solve(self, cps: np.ndarray, last: bool) -> tuple[np.ndarray, np.ndarray, int]:
+        """``(ids, ends, cut)``: ids committed, the boundary that each ends at, and the last committed boundary.
+
+        Unless ``last``, boundaries within a piece's length of the end are not final.
+        """
+        n, v = len(cps), self.v
+        found = self._pieces(cps)
+        reach = np.arange(1, n + 1)
+        for length, (start, _, _) in enumerate(found, 1):
+            reach[start] = start + length
+        met = np.flatnonzero(np.maximum.accumulate(reach) == np.arange(1, n + 1)) + 1  # no piece spans these
+        if not last:
+            met = met[met <= n - v.longest]
+        if not len(met):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64), 0
+        cut = int(met[-1])
+        lane_start = np.concatenate(([0], met[:-1]))
+        width = met - lane_start
+        first = np.repeat(lane_start, width)  # of each character before the cut
+        short = np.repeat(width <= LANE, width)
+        best, back, piece = np.full(cut + 1, _NONE), np.full(cut + 1, -1, np.int64), np.full(cut + 1, -1, np.int32)
+        best[lane_start] = 0.0
+        groups = []
+        for length, (start, ids, score) in enumerate(found, 1):
+            use = start < cut
+            use[use] = short[start[use]]
+            start, ids, score = start[use], ids[use], score[use]
+            place = (start + length - first[start]).astype(np.uint16)
+            order = np.argsort(place, kind="stable")
+            groups.append((length, start[order], ids[order], score[order], np.searchsorted(place[order], np.arange(LANE + 2))))
+        # A lane's end is the next one's start, so its best is kept apart.
+        value = best.copy()
+        value[lane_start] = _NONE
+        for i in range(1, min(LANE, int(width.max())) + 1):
+            for length, start, ids, score, at in reversed(groups):  # the earliest start first
+                a, b = at[i], at[i + 1]
+                if length > i or a == b:
+                    continue
+                s = start[a:b]
+                base = value[s] if length < i else 0.0  # a lane's start costs nothing
+                total = base + score[a:b]
+                better = total > value[s + length]
+                s, total = s[better], total[better]
+                value[s + length], back[s + length], piece[s + length] = total, s, ids[a:b][better]
+        counts = np.zeros(cut + 1, np.int64)
+        here, floor = met[width <= LANE], lane_start[width <= LANE]
+        while len(here):
+            counts[here] = 1
+            here = back[here]
+            on = here > floor
+            here, floor = here[on], floor[on]
+        own: dict[int, list[int]] = {}
+        for end in np.flatnonzero((counts > 0) & (piece < 0)).tolist():
+            own[end] = v.unknown_ids(chr(cps[end - 1])) if cps[end - 1] != _BETWEEN else []
+        for a, b in zip(lane_start[width > LANE].tolist(), met[width > LANE].tolist(), strict=True):
+            stream = StreamingViterbi(v)
+            own[b] = stream.feed("".join(map(chr, cps[a:b].tolist()))) + stream.finish()
+        for end, ids in own.items():
+            counts[end] = len(ids)
+        ends = np.repeat(np.arange(cut + 1), counts)
+        ids = piece[ends].astype(np.uint32)
+        if own:
+            stops = np.cumsum(counts)
+            for end, some in own.items():
+                ids[stops[end] - counts[end] : stops[end]] = some
+        return ids, ends, cut
+
+    def _long(self, text: str) -> bytes:
+        """A text in slices of about ``chunk`` characters; what follows the last committed boundary is carried over."""
+        out, at, held = [], 0, np.zeros(0, np.uint32)
+        while at < len(text):
+            found = _SLICE_END.search(text, at + self.chunk)
+            upto = found.end() if found else len(text)
+            # The space before the next slice is the mark that the normaliser puts before it.
+            part = text[at:upto] if upto == len(text) else text[at : upto - 1]
+            cps = np.concatenate((held, np.frombuffer(self.v.processor.normalize(part).encode("utf-32-le"), np.uint32)))
+            ids, _, cut = self._solve(cps, upto == len(text))
+            out.append(ids.tobytes())
+            held, at = cps[cut:], upto
+        return b"".join(out)
 
-    def _ids(self, unit: str) -> list[int]:
-        return self.viterbi.feed(unit) + self.viterbi.finish()
+    def _run(self, texts: list[str]) -> Iterator[bytes]:
+        normal = [np.frombuffer(self.v.processor.normalize(t).encode("utf-32-le"), np.uint32) for t in texts]
+        gap = np.array([_BETWEEN], np.uint32)
+        cps = np.concatenate([x for t in normal for x in (t, gap)])
+        ids, ends, _ = self._solve(cps, True)
+        at = 0
+        stops = np.searchsorted(ends, np.cumsum([len(t) + 1 for t in normal]), side="right").tolist()
+        for stop in stops:
+            yield ids[at:stop].tobytes()
+            at = stop
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """Unsigned 32-bit ids of each text."""
+        run: list[str] = []
+        size = 0
         for text in texts:
-            units = self.units(self.v.processor.normalize(text)) if text else []
-            # A text's new words are learned at once; a very long text goes in slices.
-            parts = []
-            for at in range(0, len(units), 100_000):
-                part = units[at : at + 100_000]
-                for unit in set(part).difference(self.young):
-                    self.young[unit] = self.old.get(unit) or array("I", self._ids(unit)).tobytes()
-                parts.append(b"".join(map(self.young.__getitem__, part)))
-                if len(self.young) > self.max_units:
-                    self.old, self.young = self.young, {}
-            yield b"".join(parts)
+            if text and len(text) > 2 * self.chunk:
+                if run:
+                    yield from self._run(run)
+                run, size = [], 0
+                yield self._long(text)
+                continue
+            run.append(text or "")
+            size += len(run[-1])
+            if size > self.chunk:
+                yield from self._run(run)
+                run, size = [], 0
+        if run:
+            yield from self._run(run)
 
     def decode(self, ids: bytes) -> str:
         ids = array("I", ids)
@@ -194,18 +355,16 @@ def encoded(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
         if model not in _encoders:
             _encoders[model] = Encoder(model)
         e = _encoders[model]
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = part.column(1).to_pylist()
-                ids = list(e.encode(texts))
-                decoded = [e.decode(x) for x in ids]
-                columns = [
-                    part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([zlib.crc32(x) for x in ids], pa.int64()),
-                    pa.array([len(x) for x in decoded], pa.int64()), pa.array([a == (b or "") for a, b in zip(decoded, texts, strict=True)]),
-                ]
-                names = ["doc_id", "n_tokens", "ids_crc32", "n_chars_decoded", "round_trip"]
-                yield pa.RecordBatch.from_arrays(columns + ([pa.array(ids, pa.binary())] if with_ids else []), names + (["ids"] if with_ids else []))
+        for part in by_bytes(batches, 1, 1 << 20):
+            texts = part.column(1).to_pylist()
+            ids = list(e.encode(texts))
+            decoded = [e.decode(x) for x in ids]
+            columns = [
+                part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([zlib.crc32(x) for x in ids], pa.int64()),
+                pa.array([len(x) for x in decoded], pa.int64()), pa.array([a == (b or "") for a, b in zip(decoded, texts, strict=True)]),
+            ]
+            names = ["doc_id", "n_tokens", "ids_crc32", "n_chars_decoded", "round_trip"]
+            yield pa.RecordBatch.from_arrays(columns + ([pa.array(ids, pa.binary())] if with_ids else []), names + (["ids"] if with_ids else []))
 
     source = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
     schema = "doc_id long, n_tokens long, ids_crc32 long, n_chars_decoded long, round_trip boolean"

@@ -1,20 +1,29 @@
 """Token counts: delta-maintained rollups by source, language and tokenizer version.
 
 A change feed of signed rows becomes one small table of additive deltas for each
-batch, in a folder of its own named by the batch id.  Totals are sums of deltas, so
-inserts (+1), deletes (-1) and revised counts (the difference of tokens, no
-document) never touch earlier batches.  Committing a batch id again replaces its
-folder by the same rows: a retried batch counts once.  ``compact`` folds committed
-batches into one and lists their ids in a table beside it; a batch listed there is
-skipped when it is committed again.
+batch.  Totals are sums of deltas, so inserts (+1), deletes (-1) and revised counts
+(the difference of tokens, no document) never touch earlier batches.
+
+A batch is written under a name of the attempt's own and published by moving a
+marker file, named by the batch id, into ``commits``; totals read what markers name
+and nothing else, so an attempt in flight or dead halfway is never seen.  A marker
+holds a digest of the batch's sums: committing a known id again with equal sums
+changes nothing, with other sums it is an error.  ``compact`` folds committed batches
+into one and carries their ids, by which they are skipped from then on.  One committer at a time works on a
+rollup; a lost one is followed by another that commits the same batch again.
 
 Edge cases: "base" is no batch id, as it names the folded batch; a null text has no tokens; null sources and languages are groups of
-their own; totals that return to zero stay as zero rows; repeated rows each count.
+their own; totals that return to zero stay as zero rows; repeated rows each count; an
+empty batch is committed like any other; columns of the documents called ``tokenizer``
+or ``n_tokens`` give way to the new ones.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +31,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sondeframe.llm.common import by_bytes
 from sondeframe.llm.files import open_fs
 from sondeframe.llm.tokens import encoder
 
@@ -33,12 +43,13 @@ DELTA = "source string, lang string, tokenizer string, d_docs long, d_tokens lon
 def count_tokens(docs: DataFrame, tokenizers: dict[str, tuple[str, str]], text_col: str = "text") -> DataFrame:
     """``docs`` columns other than the text, with ``tokenizer`` (a version name) and ``n_tokens``; one row for each version."""
     keep = [F.col(f"`{c}`") for c in docs.columns if c != text_col and c not in ("tokenizer", "n_tokens")]
+    width = len(keep)
     source = docs.select(*keep, F.col(f"`{text_col}`").cast("string").alias("_text"))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in source.drop("_text").schema] + ["tokenizer string", "n_tokens long"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
+        for batch in by_bytes(batches, width):
+            texts = batch.column(width).to_pylist()
             for name, (path, kind) in tokenizers.items():
                 n = np.fromiter((len(ids) // 4 for ids in encoder(path, kind).encode(texts)), np.int64, len(texts))
                 columns = [*batch.columns[:-1], pa.array([name] * len(texts), pa.string()), pa.array(n)]
@@ -60,47 +71,74 @@ def revisions(before: DataFrame, after: DataFrame) -> DataFrame:
     return deletes(before).unionByName(inserts(after))
 
 
-def _batches(rollup: str) -> list[str]:
-    system, path = open_fs(rollup)
+def _markers(rollup: str) -> dict[str, dict]:
+    """batch id -> ``path``, ``digest`` and, of the base, ``folded``."""
+    system, path = open_fs(f"{rollup}/commits")
     found = system.get_file_info(fs.FileSelector(path, allow_not_found=True))
-    return sorted(x.base_name for x in found if x.base_name.startswith("batch="))
+    out = {}
+    for x in found:
+        if x.base_name.endswith(".json"):
+            with system.open_input_stream(x.path) as f:
+                out[unquote(x.base_name[:-5])] = json.loads(f.read())
+    return out
+
+
+def _publish(rollup: str, batch_id: str, marker: dict) -> None:
+    system, path = open_fs(f"{rollup}/commits")
+    system.create_dir(path, recursive=True)
+    name = f"{path}/{uuid.uuid4().hex}.open"
+    with system.open_output_stream(name) as f:
+        f.write(json.dumps(marker).encode())
+    system.move(name, f"{path}/{quote(batch_id, safe='')}.json")
+
 
+def _attempt(df: DataFrame, rollup: str) -> str:
+    name = f"data/{uuid.uuid4().hex}"
+    df.coalesce(1).write.parquet(f"{rollup}/{name}")  # one row a group
+    return name
 
-def _folded(spark: SparkSession, rollup: str) -> DataFrame:
+
+def _folded(spark: SparkSession, rollup: str, markers: dict[str, dict]) -> DataFrame:
     """``(batch_id)`` of the batches that the base holds."""
-    system, path = open_fs(f"{rollup}/folded")
-    there = system.get_file_info(path).type == fs.FileType.Directory
-    return spark.read.schema("batch_id string").parquet(f"{rollup}/folded") if there else spark.createDataFrame([], "batch_id string")
+    schema = "batch_id string"
+    return spark.read.schema(schema).parquet(f"{rollup}/{markers[BASE]['folded']}") if BASE in markers else spark.createDataFrame([], schema)
 
 
-def commit(changes: DataFrame, rollup: str, batch_id: str) -> None:
-    """Commit signed changes under ``batch_id``; committing the same batch again changes nothing, also when it is folded."""
+def commit(changes: DataFrame, rollup: str, batch_id: str) -> bool:
+    """Commit signed changes under ``batch_id``; False when it is committed already, also when it is folded."""
     if batch_id == BASE:
         raise ValueError(f"{BASE} is the name of the folded batch")
-    if not _folded(changes.sparkSession, rollup).where(F.col("batch_id") == batch_id).isEmpty():
-        return
+    spark, markers = changes.sparkSession, _markers(rollup)
+    if not _folded(spark, rollup, markers).where(F.col("batch_id") == batch_id).isEmpty():
+        return False
     sums = changes.groupBy(*KEYS).agg(F.sum("d_docs").alias("d_docs"), F.sum("d_tokens").alias("d_tokens"))
-    sums.coalesce(1).write.mode("overwrite").parquet(f"{rollup}/batch={batch_id}")
-
-
-def _sums(spark: SparkSession, paths: list[str]) -> DataFrame:
+    name = _attempt(sums, rollup)
+    made = spark.read.schema(DELTA).parquet(f"{rollup}/{name}").agg(F.count("*"), F.bit_xor(F.xxhash64(*KEYS, "d_docs", "d_tokens"))).first()
+    digest = f"{made[0]}:{made[1]}"
+    known = markers[batch_id]["digest"] if batch_id in markers else None
+    if known is None:
+        _publish(rollup, batch_id, {"path": name, "digest": digest})
+        return True
+    if known != digest:
+        raise ValueError(f"batch {batch_id} is committed with other sums")
+    return False
+
+
+def _sums(spark: SparkSession, rollup: str, markers: dict[str, dict]) -> DataFrame:
+    paths = [f"{rollup}/{m['path']}" for m in markers.values()]
     deltas = spark.read.schema(DELTA).parquet(*paths) if paths else spark.createDataFrame([], DELTA)
     return deltas.groupBy(*KEYS).agg(F.sum("d_docs").alias("n_docs"), F.sum("d_tokens").alias("n_tokens"))
 
 
 def totals(spark: SparkSession, rollup: str) -> DataFrame:
     """``(source, lang, tokenizer, n_docs, n_tokens)`` over the committed batches."""
-    return _sums(spark, [f"{rollup}/{b}" for b in _batches(rollup)])
+    return _sums(spark, rollup, _markers(rollup))
 
 
 def compact(spark: SparkSession, rollup: str, into: str) -> None:
-    """Write the present totals as the first batch of a new rollup folder, with the ids of all batches in it.
-
-    The ids are written first: a compaction that fails between them has no base and is run again.
-    """
-    ids = [b.removeprefix("batch=") for b in _batches(rollup)]
-    new = spark.createDataFrame([(b,) for b in ids if b != BASE], "batch_id string")
-    _folded(spark, rollup).unionByName(new).coalesce(1).write.mode("overwrite").parquet(f"{into}/folded")
-    paths = [f"{rollup}/batch={b}" for b in ids]
-    sums = _sums(spark, paths).select(*KEYS, F.col("n_docs").alias("d_docs"), F.col("n_tokens").alias("d_tokens"))
-    sums.coalesce(1).write.mode("overwrite").parquet(f"{into}/batch={BASE}")
+    """Publish the present totals as the base of a new rollup folder, with the ids of all batches in it."""
+    markers = _markers(rollup)
+    new = spark.createDataFrame([(b,) for b in markers if b != BASE], "batch_id string")
+    folded = _attempt(_folded(spark, rollup, markers).unionByName(new), into)
+    sums = _sums(spark, rollup, markers).select(*KEYS, F.col("n_docs").alias("d_docs"), F.col("n_tokens").alias("d_tokens"))
+    _publish(into, BASE, {"path": _attempt(sums, into), "digest": "", "folded": folded})

@@ -10,7 +10,9 @@ range-reads single records.
 Edge cases: a null payload is an empty one; a null URL is written as
 ``urn:missing``; packages, members and central directories beyond 4 GiB or 65535
 entries use ZIP64; a null page id is dropped to the end of its group, so it is the
-response only when all ids are null; repeated rows are separate records.
+response only when all ids are null; repeated rows are separate records, so each row that
+has the smallest id of its payload is a response; other columns are not read, whatever their names; an
+empty table gives no package.
 """
 
 from __future__ import annotations
@@ -35,6 +37,9 @@ _EOCD, _EOCD64, _LOC64 = b"PK\x05\x06", b"PK\x06\x06", b"PK\x06\x07"
 _CENTRAL, _LOCAL = b"PK\x01\x02", b"PK\x03\x04"
 _MAX32, _MAX16 = 0xFFFFFFFF, 0xFFFF
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
+#: Groups of the rows that share one payload, and the most payloads that are split so: those of more than 1 / LARGE_ROWS of the repeated rows.
+SALTS = 64
+LARGE_ROWS = 10_000
 
 
 class ZipWriter:
@@ -154,21 +159,31 @@ def _base32_sha1(payload: bytes) -> str:
 def plan_records(pages: DataFrame, least_bytes: int, id_col: str, url_col: str, body_col: str) -> DataFrame:
     """Rows with ``record_type`` and ``refers_to``; equal payloads meet by SHA-1 and length only.
 
-    The smallest id of a payload comes from partial minima and an equi-join, so a
-    payload that a third of all pages share is no hot task.
+    A first pass writes the digests; only payloads that occur twice or more give a
+    row, the smallest id, from partial minima.  Each row then meets its payload's
+    decision under a salt of its own id, so a payload that a third of all pages share
+    is spread over ``SALTS`` groups (its decision is copied to each).
     """
     body = F.encode(F.coalesce(F.col(body_col).cast("string"), F.lit("")), "UTF-8")
     rows = pages.select(
         F.col(id_col).cast("long").alias("page_id"), F.regexp_replace(F.coalesce(F.col(url_col), F.lit("urn:missing")), r"[\r\n]+", "%0A").alias("url"),
         body.alias("payload"), F.octet_length(body).cast("long").alias("payload_bytes"), F.sha1(body).alias("_sha1"),
     )
+    salt = F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).alias("_salt")
     firsts = rows.where(F.col("payload_bytes") >= least_bytes).groupBy("_sha1", "payload_bytes").agg(F.min("page_id").alias("first"), F.count("*").alias("_n"))
-    firsts = firsts.where("_n > 1 and first is not null").select("_sha1", "payload_bytes", "first")
-    out = rows.join(firsts, ["_sha1", "payload_bytes"], "left")
+    firsts = written(firsts.where("_n > 1 and first is not null"), "firsts")
+    # Small groups need no salt; large ones, of which there are at most LARGE_ROWS, get all of them.
+    least = max(SALTS, (firsts.agg(F.sum("_n")).first()[0] or 0) // LARGE_ROWS)
+    salts = F.when(F.col("_n") > least, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    spread = firsts.select("_sha1", "payload_bytes", "first", F.explode(salts).alias("_salt"))
+    large = F.broadcast(firsts.where(F.col("_n") > least).select("_sha1", "payload_bytes", F.lit(1).alias("_large")))
+    rows = rows.join(large, ["_sha1", "payload_bytes"], "left").withColumn("_salt", F.when(F.col("_large") == 1, salt).otherwise(0))
+    out = rows.join(spread, ["_sha1", "payload_bytes", "_salt"], "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return out.select(
         "page_id", "url", "payload_bytes", F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-        F.when(revisit, F.col("first")).alias("refers_to"), "payload",
+        F.when(revisit, F.col("first")).alias("refers_to"), F.when(revisit, F.lit(b"")).otherwise(F.col("payload")).alias("payload"),
+        F.when(revisit, F.col("_sha1")).alias("sha1"),
     )
 
 
@@ -194,12 +209,13 @@ def write_packages(
             made.append((uri, len(index), z.at))
 
         for batch in batches:
-            for page_id, url, n, kind, refers, payload in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for page_id, url, n, kind, refers, payload, sha1 in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if z is None:
                     uri, out = new_file(folder, ".wacz")
                     z, index = ZipWriter(out), []
                     z.begin(ARCHIVE)
-                packed = gzip.compress(warc_record(kind, page_id, url, _base32_sha1(payload), n, refers, payload), 1, mtime=0)
+                digest = base64.b32encode(bytes.fromhex(sha1)).decode() if sha1 else _base32_sha1(payload)
+                packed = gzip.compress(warc_record(kind, page_id, url, digest, n, refers, payload), 1, mtime=0)
                 index.append(json.dumps({"page_id": page_id, "offset": z.size, "length": len(packed)}).encode() + b"\n")
                 z.write(packed)
                 if len(index) == records_per_package:

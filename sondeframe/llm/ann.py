@@ -8,13 +8,15 @@ with lookup tables and the best ``rerank`` of each block are scored exactly.
 
 Cells and codebooks are fitted on at most ``FIT_ROWS`` vectors; every vector is
 indexed.  The number of cells probed is the smallest that reaches ``coverage`` of
-the true neighbours on the sample.  Cells are packed in blocks of about
+the true neighbours on the sample; a query whose cells hold too few vectors for its
+neighbours probes more of them.  Cells are packed in blocks of about
 ``BLOCK_ROWS`` vectors and queries in blocks of ``QUERY_ROWS``, so a crowded cell is
 many small tasks.
 
 Edge cases: vectors that are null, zero, of another length than most, or hold null
 or non-finite components take no part; ties go to the smaller id; queries without
-any candidate give no rows; repeated ids are separate candidates, never of themselves.
+any candidate give no rows; repeated ids are separate candidates, never of themselves,
+and ask once; columns other than those named are read by ``queries`` only.
 """
 
 from __future__ import annotations
@@ -47,8 +49,11 @@ class Model:
         c = self.centres
         return np.argmin((c * c).sum(1)[None, :] - 2 * x @ c.T, axis=1)
 
-    def probes(self, q: np.ndarray) -> np.ndarray:
-        return np.argsort(-(q @ self.centres.T), axis=1, kind="stable")[:, : self.probe]
+    def probes(self, q: np.ndarray, held: np.ndarray, need: np.ndarray) -> list[list[int]]:
+        """The best cells of each query: ``probe`` of them, and more until they hold ``need`` vectors (``held`` by cell)."""
+        order = np.argsort(-(q @ self.centres.T), axis=1, kind="stable")
+        enough = (np.cumsum(held[order], axis=1) < need[:, None]).sum(1) + 1
+        return [row[: max(self.probe, n)].tolist() for row, n in zip(order, enough.tolist(), strict=True)]
 
     def encode(self, x: np.ndarray, cells: np.ndarray, sweeps: int = 2) -> np.ndarray:
         """(n, parts) codes by coordinate descent on the score-aware loss."""
@@ -177,10 +182,22 @@ def nearest(
                 x = np.stack(pdf["v"].to_list())
                 cells = model.cells(x)
                 codes = pack_codes(model.encode(x, cells))
-                yield pd.DataFrame({"vec_id": pdf["vec_id"], "cell": cells, "code": [c.tobytes() for c in codes], "v": [r.tobytes() for r in x], "q": pdf["q"],
-                                    "probes": [p if q else [] for p, q in zip(model.probes(x).tolist(), pdf["q"], strict=True)]})
+                yield pd.DataFrame({"vec_id": pdf["vec_id"], "cell": cells, "code": [c.tobytes() for c in codes], "v": [r.tobytes() for r in x], "q": pdf["q"]})
 
-    indexed = written(rows.mapInPandas(index, "vec_id long, cell int, code binary, v binary, q boolean, probes array<int>"), "indexed")
+    indexed = written(rows.mapInPandas(index, "vec_id long, cell int, code binary, v binary, q boolean"), "indexed")
+    held = np.zeros(len(shared.value.centres), np.int64)
+    for r in indexed.groupBy("cell").count().collect():  # at most one row a cell
+        held[r["cell"]] = r["count"]
+
+    def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                x = np.frombuffer(b"".join(pdf["v"])).reshape(len(pdf), -1)
+                yield pdf[["vec_id", "v"]].assign(probes=shared.value.probes(x, held, pdf["own"].to_numpy() + top))
+
+    # A query id that several rows hold is asked once, by the smallest of its vectors (as bytes).
+    queries_ = indexed.groupBy("vec_id").agg(F.min(F.when(F.col("q"), F.col("v"))).alias("v"), F.count("*").alias("own")).where("v is not null")
+    queries_ = queries_.mapInPandas(probe, "vec_id long, v binary, probes array<int>")
 
     def packed(part: DataFrame, size: int, names: list[str]) -> DataFrame:
         """One row for each block of a cell: ids and arrays as bytes; blocks are dealt by a hash of the id."""
@@ -191,7 +208,7 @@ def nearest(
         return folded.select("cell", *[F.col(f"rows.{n}").alias(n) for n in ("vec_id", *names)])
 
     candidates = packed(indexed.select("vec_id", "cell", "code", "v"), BLOCK_ROWS, ["code", "v"])
-    asked = packed(indexed.where("q").select("vec_id", F.explode("probes").alias("cell"), "v"), QUERY_ROWS, ["v"])
+    asked = packed(queries_.select("vec_id", F.explode("probes").alias("cell"), "v"), QUERY_ROWS, ["v"])
     asked = asked.select("cell", F.col("vec_id").alias("qid"), F.col("v").alias("qv"))
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -27,6 +27,17 @@ def test_warc_round_trip(spark, least):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
 
 
+def test_hot_payload_is_split(spark):
+    pages = spark.range(3000).selectExpr("id as page_id", "concat('http://h/', id) as url", "case when id % 3 = 0 then 'same' else concat('p', id % 500) end as html", "1 as _salt")
+    planned = warczip.plan_records(pages, 0, "page_id", "url", "html")
+    got = {r.page_id: r.refers_to for r in planned.select("page_id", "refers_to").collect()}
+    rows, first = [(r.page_id, r.html) for r in pages.collect()], {}
+    for i, h in sorted(rows):
+        first.setdefault(h, i)
+    assert got == {i: (first[h] if first[h] != i else None) for i, h in rows}
+    assert warczip.archive_round_trip(pages.where("false")).count() == 0
+
+
 def test_zip_reader_takes_other_writers_and_zip64():
     f = io.BytesIO()
     with zipfile.ZipFile(f, "w") as z:
@@ -72,6 +83,16 @@ def test_nearest_recall_and_odd_vectors(spark):
     assert ann.nearest(df.where("vec_id in (0, 20)"), F.lit(True)).count() == 2
 
 
+def test_nearest_gives_every_query_its_number(spark):
+    """Outlying and repeated queries among many copies: still min(top, candidates) rows each, of distinct ids."""
+    rng = np.random.default_rng(3)
+    rows = [(i, [1.0, 0.0, 0.0, 0.001 * (i % 7)]) for i in range(1, 1200)] + [(2000 + i, (rng.normal(size=4) * 50).tolist()) for i in range(40)]
+    rows += [(2000, rows[1199][1])] * 2
+    df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<double>, cell int")
+    got = ann.nearest(df, F.col("vec_id") % 20 == 0, top=20).groupBy("query_id").agg(F.count("*").alias("n"), F.max("rank").alias("last"), F.min("rank").alias("first")).collect()
+    assert {r.query_id for r in got} == {i for i, _ in rows if i % 20 == 0} and {(r.n, r.first, r.last) for r in got} == {(20, 1, 20)}
+
+
 def brute_url(url):
     rest = url.split("://", 1)[1] if url and "://" in url else ""
     cut = min([rest.find(c) for c in "/?#" if c in rest] or [len(rest)])

@@ -4,18 +4,19 @@ import zlib
 from array import array
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from sondeframe.llm import tokencounts
 from sondeframe.llm.idfile import decode_data, encode_block, round_trip
-from sondeframe.llm.packing import match_runs, pack
+from sondeframe.llm.packing import _band_end, best_fit, pack, sweep_plan
 from sondeframe.llm.quality import quality
 from sondeframe.llm.queries import op1_token_counts
 from sondeframe.llm.spviterbi import Encoder, StreamingViterbi, encoded
 from sondeframe.llm.tokens import UnitEncoder, public_path
-from sondeframe.llm.toxicity import _shift, toxicity
+from sondeframe.llm.toxicity import _shift, features, fit, sample, toxicity
 
 TEXT = st.text(st.sampled_from(list("abZ .,'st\n\t19éÀß|#<$|>½ \u0301\x1c\u2003ü中")) | st.characters(codec="utf-8"), max_size=60)
 _made = {}
@@ -71,31 +72,118 @@ def test_viterbi_is_best_and_streams(text, size):
     assert out + s.finish() == list(array("I", ids))
 
 
+def brute_path(v, text):
+    """Best total and ids over all segmentations, unknown characters too; the earliest start wins a tie."""
+    best, back = [0.0] + [float("-inf")] * len(text), [None] * (len(text) + 1)
+    for end in range(1, len(text) + 1):
+        for start in range(end):
+            found = v.prefixes.get(text[start:end]) or ((None, v.unknown_score) if end == start + 1 else None)
+            if found and best[start] + found[1] > best[end]:
+                best[end], back[end] = best[start] + found[1], (start, found[0])
+    ids, end = [], len(text)
+    while end:
+        start, piece = back[end]
+        ids = ([piece] if piece is not None else [v.byte_ids[b] for b in text[start:end].encode()]) + ids
+        end = start
+    return ids
+
+
+@settings(max_examples=120, deadline=None)
+@given(texts=st.lists(TEXT | st.text("ab-=", max_size=200), max_size=5), chunk=st.integers(1, 40))
+def test_viterbi_matches_brute_force_in_any_chunks(texts, chunk):
+    e = made("sp", lambda: Encoder(public_path("piece_bpe_32k.model")))
+    small = Encoder.__new__(Encoder)
+    small.v, small.chunk = e.v, chunk
+    want = [brute_path(e.v, e.v.processor.normalize(t)) for t in texts]
+    assert [list(array("I", x)) for x in e.encode(texts)] == want
+    assert [list(array("I", x)) for x in small.encode(texts)] == want
+
+
 def test_sentencepiece_odd_rows(spark, odd_docs):
     got = encoded(odd_docs, public_path("piece_bpe_32k.model"), with_ids=False).collect()
     assert len(got) == 10 and all(r.round_trip for r in got) and {r.n_tokens for r in got if r.doc_id in (2, 3)} == {0}
 
 
+def brute_sweep(docs, slots):
+    """Largest first, slots before documents; a document takes the slot put on the stack last."""
+    stack, pairs = [], {}
+    for value, kind, i in sorted([(-v, 0, i) for i, v in enumerate(slots)] + [(-v, 1, i) for i, v in enumerate(docs)]):
+        if kind == 0:
+            stack.append(i)
+        elif stack:
+            pairs[i] = stack.pop()
+            assert slots[pairs[i]] >= -value
+    return pairs
+
+
 @settings(max_examples=100, deadline=None)
-@given(st.dictionaries(st.integers(1, 64), st.integers(1, 40), max_size=30))
-def test_match_runs(counts):
-    slots = match_runs(counts, 64)
-    placed, ranks = {}, {}
-    for length, a, b, seq, offset in slots:
-        ranks.setdefault(length, []).append((a, b))
-        for i in range(b - a):
-            placed.setdefault(seq + i, []).append((offset, length))
-    for length, n in counts.items():
-        spans = sorted(ranks[length])
-        assert spans[0][0] == 0 and spans[-1][1] == n and all(p[1] == q[0] for p, q in zip(spans, spans[1:], strict=False))
-    for items in placed.values():
+@given(st.lists(st.integers(1, 12), max_size=30), st.lists(st.integers(1, 12), max_size=30))
+def test_sweep_plan_counts_what_a_stack_matches(docs, slots):
+    pairs = brute_sweep(docs, slots)
+    plan = sweep_plan({v: docs.count(v) for v in docs}, {v: slots.count(v) for v in slots}, 12)
+    for value, before, after, placed in plan:
+        assert placed == sum(docs[i] == value for i in pairs) and after - before == slots.count(value)
+        assert before == sum(v > value for v in slots) - sum(docs[i] > value for i in pairs)
+
+
+def brute_rounds(lengths, capacity, ratio):
+    """Sequences opened by the same rounds in plain Python."""
+    rest, gaps, n = sorted((v for v in lengths if v < capacity), reverse=True), [], sum(v == capacity for v in lengths)
+    while rest:
+        low = _band_end(rest[0], capacity, ratio)
+        band, rest = [v for v in rest if v > low], [v for v in rest if v <= low]
+        while band:
+            most, least = max(band), min(band)
+            if not any(g >= least for g in gaps):
+                need = -(-len(band) // (capacity // most))
+                gaps, n = gaps + [capacity] * need, n + need
+            slots = [i for i, g in enumerate(gaps) if g >= least for _ in range(max(1, g // most))]
+            pairs = brute_sweep(band, [gaps[i] for i in slots])
+            for d, k in pairs.items():
+                gaps[slots[k]] -= band[d]
+            band = [v for i, v in enumerate(band) if i not in pairs]
+    return n
+
+
+def best_fit_decreasing(lengths, capacity):
+    gaps = []
+    for v in sorted(lengths, reverse=True):
+        fits = [i for i, g in enumerate(gaps) if g >= v]
+        if fits:
+            gaps[min(fits, key=gaps.__getitem__)] -= v
+        else:
+            gaps.append(capacity - v)
+    return len(gaps)
+
+
+def test_best_fit_matches_plain_rounds(spark):
+    rng = np.random.default_rng(4)
+    lengths = [*rng.integers(1, 65, 250).tolist(), *[64] * 5, *[17] * 60, *[1, 1, 2]]  # ties, and one length that many share
+    items = spark.createDataFrame([(i, v, "x") for i, v in enumerate(lengths)], "_row long, length long, gap string")
+    got = best_fit(items, 64).collect()
+    assert len(got) == len(lengths) and got[0].gap == "x" and sorted(r.length for r in got) == sorted(lengths)
+    by = {}
+    for r in got:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for held in by.values():
         at = 0
-        for offset, length in sorted(items):
+        for offset, length in sorted(held):
             assert offset == at
             at += length
         assert at <= 64
-    total = sum(k * n for k, n in counts.items())
-    assert len(placed) <= 11 / 9 * -(-total // 64) + 1 + sum(n for k, n in counts.items() if k > 32)
+    assert len(by) == brute_rounds(lengths, 64, 0.75) <= 1.02 * best_fit_decreasing(lengths, 64) + 1
+
+
+def test_pieces_match_the_library(spark, odd_docs):
+    """Starts, lengths and checksums of every piece, from the tokenizer's own ids."""
+    tk = UnitEncoder(public_path("byte_bpe_50k.json"), "byte").tokenizer
+    want = []
+    for r in odd_docs.collect():
+        ids = [*tk.encode(r.text or "", add_special_tokens=False).ids, 0]
+        cuts = [0, *range((len(ids) - 1) % 512 + 1, len(ids) + 1, 512)]
+        want += [(r.doc_id, i, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())) for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
+    got = [(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in pack(odd_docs, public_path("byte_bpe_50k.json"), capacity=512).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want))
 
 
 def test_pack_odd_rows(spark, odd_docs):
@@ -251,3 +339,46 @@ def test_op1_totals_are_the_plain_sums(spark, sf):
         n[0], n[1] = n[0] + 1, n[1] + r.n_tokens
     got = {(r.source, r.lang, r.tokenizer): [r.n_docs, r.n_tokens] for r in op1_token_counts(spark, sf).collect()}
     assert got == want
+
+
+def test_commits_are_published_whole(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "en", "v", 5, "clash"), (None, None, "v", 2, "clash")], "source string, lang string, tokenizer string, n_tokens long, d_docs string")
+    rollup = f"file://{tmp_path}/r"
+    tokencounts.inserts(rows).write.parquet(f"{rollup}/data/dead-attempt")  # never published
+    assert tokencounts.commit(tokencounts.inserts(rows), rollup, "x/1 y") and not tokencounts.commit(tokencounts.inserts(rows), rollup, "x/1 y")
+    assert sorted((r.n_docs, r.n_tokens) for r in tokencounts.totals(spark, rollup).collect()) == [(1, 2), (1, 5)]
+    with pytest.raises(ValueError):
+        tokencounts.commit(tokencounts.deletes(rows), rollup, "x/1 y")
+    assert tokencounts.commit(tokencounts.inserts(rows.where("false")), rollup, "empty")
+    tokencounts.compact(spark, rollup, f"{rollup}2")
+    assert not tokencounts.commit(tokencounts.inserts(rows), f"{rollup}2", "x/1 y")
+
+
+def test_toxicity_sample_is_bounded(spark):
+    """One id that thousands of rows hold teaches one text."""
+    docs = spark.range(4000).selectExpr("1L as doc_id", "concat('text ', id) as text", "'x' as _score").unionByName(
+        spark.createDataFrame([(i, f"other {i}", "y") for i in range(2, 30)], "doc_id long, text string, _score string"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 30)], "doc_id long, toxic int")
+    got = sample(docs, labels, "doc_id", "text", 6).collect()
+    assert len(got) <= 6 and {r.toxic for r in got} == {0, 1}
+    assert len([r for r in sample(docs, labels.where("doc_id in (1, 2, 3)"), "doc_id", "text", 6).collect() if r.text.startswith("text ")]) <= 1
+    assert toxicity(docs.where("doc_id > 1"), labels).count() == 28 and toxicity(docs.where("false"), labels).count() == 0
+
+
+def test_toxicity_scores_match_a_plain_recount(spark):
+    """Ratios and scores recomputed with dictionaries from the n-grams of the texts."""
+    rng = np.random.default_rng(6)
+    words = ["".join(rng.choice(list("abcdefgh"), 4)) for _ in range(40)]
+    rows = [(i, " ".join(rng.choice(words, 12)) + (" vilest word" if i % 3 == 0 else ""), int(i % 3 == 0)) for i in range(300)]
+    docs, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    b, table = fit(docs, labels)
+    train = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    sets = dict(zip([r[0] for r in rows], [set(np.concatenate(f).tolist()) for f in features(pa.array([r[1] for r in rows]))], strict=True))
+    n1 = sum(r[2] for r in train)
+    n0 = len(train) - n1
+    for f in set().union(*sets.values()):
+        p, q = (sum(f in sets[r[0]] for r in train if r[2] == c) for c in (1, 0))
+        ratio = np.log(p / n1 + 0.3 / n1) - np.log(q / n0 + 0.3 / n1)
+        assert (table[f] != 0) <= (abs(ratio) > 3 * np.sqrt(1 / (p + 0.5) + 1 / (q + 0.5)))
+    for r in toxicity(docs, labels).collect():
+        assert abs(r.score - 1 / (1 + np.exp(-(b + sum(table[f] for f in sets[r.doc_id]))))) < 1e-5

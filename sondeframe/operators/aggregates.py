@@ -116,3 +116,25 @@ def independent_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """``(dimension, value, n)``: a count for each value of each column, in one pass."""
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("dimension"), F.col(c).cast("string").alias("value")) for c in columns])).alias("p")
     return df.select(pairs).groupBy("p.dimension", "p.value").agg(F.count("*").alias("n"))
+
+
+def daily_mean(df: DataFrame, keys: list[str], ts: str, value: str) -> DataFrame:
+    return df.groupBy(*keys, F.to_date(ts).alias("day")).agg(F.avg(value).alias(value))
+
+
+def tile_summary(index: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows, mean cloud and mean valid share by key."""
+    return index.groupBy(*keys).agg(F.count("*").alias("n"), F.avg("cloud_pct").alias("cloud_pct"), F.avg("valid_pct").alias("valid_pct"))
+
+
+def pooled_weights(labels: DataFrame, cls: Column, scheme: str = "median_freq") -> DataFrame:
+    """Class counts over all tiles, their weights and the compound share of the pool."""
+    out = class_weights(class_histogram(labels, cls), scheme)
+    total = out.agg(F.sum("n").alias("_t"), F.sum(F.when(F.col("cls") == C.COMPOUND, F.col("n")).otherwise(0)).alias("_c"))
+    return out.join(F.broadcast(total)).select("cls", "n", "weight", F.coalesce(F.try_divide("_c", "_t"), F.lit(0.0)).alias("compound_fraction"))  # one row
+
+
+def land_coverage(labels: DataFrame, keys: list[str], cls: Column) -> DataFrame:
+    """``(keys, pixels, labelled, coverage)``: the share of pixels that hold a class."""
+    there = F.coalesce(cls.isin(*CLASSES), F.lit(False))
+    return labels.groupBy(*keys).agg(F.count("*").alias("pixels"), F.count_if(there).alias("labelled"), F.avg(there.cast("double")).alias("coverage"))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sondeframe import config as C
-from sondeframe.functions import names
+from sondeframe.functions import geo, names
 from sondeframe.operators.windows import first_of
 
 BANDS = {"S30": C.BANDS_S30, "L30": C.BANDS_L30}
@@ -18,6 +20,15 @@ def search(items: DataFrame, tile: str, start: str, end: str, cloud_max: float =
     return items.where(near).where(names.part(F.col("id"), 2) == tile).orderBy("day", "id")
 
 
+def search_all(collections: list[DataFrame], tile: str, start: str, end: str, box=None, cloud_max: float = 50.0, most: int | None = None) -> DataFrame:
+    """``search`` over several collections at once, in a box ``(w, s, e, n)`` of the items' points, at most ``most`` items."""
+    items = reduce(DataFrame.unionByName, collections)
+    if box:
+        items = items.where(geo.in_box(F.col("lon"), F.col("lat"), box))
+    found = search(items, tile, start, end, cloud_max)
+    return found.limit(most) if most is not None else found
+
+
 def window_of(day: Column, starts: Column, days: int = 16) -> Column:
     """The first window ``[w, w + days)`` that holds the day, of an array of starts."""
     return F.array_min(F.filter(starts, lambda w: (w <= day) & (day < F.date_add(w, days))))

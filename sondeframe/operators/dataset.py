@@ -57,6 +57,11 @@ def members(index: DataFrame) -> tuple[DataFrame, DataFrame]:
     return index.where(inside), index.where(~inside).groupBy("split").agg(F.count("*").alias("n"))
 
 
+def inside(index: DataFrame, keep_outside: bool = False) -> DataFrame:
+    """Rows within the area of interest, unless those outside are wanted too; an unknown split is outside."""
+    return index if keep_outside else index.where(F.coalesce(F.col("split") != "none", F.lit(False)))
+
+
 def violations(index: DataFrame) -> DataFrame:
     """Rows that break a bound or an enumeration: ``(sample_id, problems)``."""
     rules = {
@@ -79,6 +84,40 @@ def temporal_leaks(index: DataFrame) -> DataFrame:
     return df.groupBy("day").agg(F.count_distinct("part").alias("parts")).where("parts > 1")
 
 
+def dates_in_both(index: DataFrame, near: str = "test", far: str = "train") -> DataFrame:
+    """Dates that samples of two splits share."""
+    df = index.where(F.col("split").isin(near, far)).groupBy("day").agg(F.count_distinct("split").alias("parts"), F.count("*").alias("n"))
+    return df.where("parts > 1").select("day", "n")
+
+
+def dense_series(samples: DataFrame, sources: list[DataFrame], keys: list[str], channels: list[str], length: int = C.METEO_DAYS) -> DataFrame:
+    """``(sample_id, days, meteo)``: one array of ``length`` rows of channels, the oldest day first, absent values NULL.
+
+    Each daily source joins the spine of days by itself, so a source without a day
+    leaves its own channels NULL only.
+    """
+    line = samples.select("sample_id", *keys, F.explode(trailing_days(F.col("end"), length)).alias("day"))
+    for source in sources:
+        line = line.join(source, [*keys, "day"], "left")
+    rows = F.array_sort(F.collect_list(F.struct("day", F.array(*[F.col(c).cast("float") for c in channels]).alias("v"))))
+    packed = line.groupBy("sample_id").agg(rows.alias("_r"))  # `length` rows for each sample
+    return packed.select("sample_id", F.col("_r.day").alias("days"), F.col("_r.v").alias("meteo"))
+
+
+def acceptance(index: DataFrame) -> DataFrame:
+    """``(check, found, passed)`` for the schema, the distance of test and train, and their dates."""
+    kinds = {"schema": violations(index), "spatial": spatial_leaks(index), "temporal": dates_in_both(index)}
+    parts = [df.agg(F.count("*").alias("found")).select(F.lit(k).alias("check"), "found", (F.col("found") == 0).alias("passed")) for k, df in kinds.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def require_accepted(index: DataFrame) -> None:
+    """Raise when any check of ``acceptance`` finds something."""
+    bad = [r for r in acceptance(index).collect() if not r["passed"]]  # three rows at most
+    if bad:
+        raise ValueError(", ".join(f"{r['check']}: {r['found']}" for r in bad))
+
+
 def new_rows(found: DataFrame, known: DataFrame) -> DataFrame:
     """What isn't yet in the index, once each."""
     return found.dropDuplicates(["sample_id"]).join(known.select("sample_id"), "sample_id", "left_anti")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sondeframe import config as C
@@ -90,3 +90,32 @@ def squares_in_box(spark: SparkSession, box, step: float = 0.05, buffer: float =
     points = spark.range(nx * ny).select((w + (F.col("id") % nx) * step).alias("lon"), (s + F.floor(F.col("id") / nx) * step).alias("lat"))
     tile = utm.mgrs_square(F.col("lon"), F.col("lat"))
     return points.groupBy(tile.alias("tile")).agg(*[F.round(f(c), 4).alias(a) for a, f, c in (("w", F.min, "lon"), ("s", F.min, "lat"), ("e", F.max, "lon"), ("n", F.max, "lat"))])
+
+
+def box_pixels(boxes: DataFrame, x: tuple[float, float, int], y: tuple[float, float, int]) -> DataFrame:
+    """``boxes`` with ``xi, yi`` for each pixel centre inside ``(w, s, e, n)``, bounds included.
+
+    An axis is (first centre, step, count).  A box that holds no centre on either axis
+    gets the one pixel nearest to its own centre (the smaller index of two as near), so
+    every box has a pixel.  Index ranges are exploded: no pixel table is joined.
+    """
+
+    def span(low: str, high: str, axis: tuple[float, float, int]) -> Column:
+        first, step, n = axis
+        centre = lambda i: F.lit(first) + i * F.lit(step)
+        a = F.greatest(F.lit(0).cast("long"), F.floor((F.col(low) - first) / step) - 1)
+        b = F.least(F.lit(n - 1).cast("long"), F.ceil((F.col(high) - first) / step) + 1)
+        inside = lambda i: (centre(i) >= F.col(low)) & (centre(i) <= F.col(high))
+        return F.when(a <= b, F.filter(F.sequence(a, b), inside)).otherwise(F.array().cast("array<bigint>"))
+
+    def nearest(low: str, high: str, axis: tuple[float, float, int]) -> Column:
+        first, step, n = axis
+        middle = (F.col(low) + F.col(high)) / 2
+        i = F.greatest(F.lit(0).cast("long"), F.least(F.lit(n - 2).cast("long"), F.floor((middle - first) / step)))
+        return F.when(F.abs(middle - (first + i * step)) <= F.abs(middle - (first + (i + 1) * step)), i).otherwise(i + 1)
+
+    df = boxes.withColumn("_xs", span("w", "e", x)).withColumn("_ys", span("s", "n", y))
+    held = (F.size("_xs") > 0) & (F.size("_ys") > 0)
+    df = df.withColumn("xi", F.explode(F.when(held, F.col("_xs")).otherwise(F.array(nearest("w", "e", x)))))
+    df = df.withColumn("yi", F.explode(F.when(held, F.col("_ys")).otherwise(F.array(nearest("s", "n", y)))))
+    return df.drop("_xs", "_ys")

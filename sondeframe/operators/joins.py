@@ -34,10 +34,20 @@ def as_of_small(left: DataFrame, dates: DataFrame, on: str, out: str) -> DataFra
 
 
 def nearest_date(left: DataFrame, right: DataFrame, keys: list[str], day: str, path: str) -> DataFrame:
-    """The right row nearest in days in either direction; ties go to the smaller path."""
-    gap = F.abs(F.datediff(F.col("l." + day), F.col("r." + day)))
-    joined = left.alias("l").join(right.alias("r"), keys)
-    return joined.groupBy(*[F.col(k) for k in keys], F.col("l." + day).alias(day)).agg(F.min_by(F.col("r." + path), F.struct(gap, F.col("r." + path))).alias(path))
+    """The right row nearest in days in either direction; ties go to the smaller path.
+
+    Two as-of passes over a union, back and forth: linear in both sides, no pair is
+    formed.  A key without right rows gives no rows.
+    """
+    marks = right.groupBy(*keys, day).agg(F.min(path).alias("_path"))
+    marks = marks.select(*keys, F.col(day).alias("_day"), F.struct(F.col(day).alias("d"), F.col("_path").alias("p")).alias("_mark"), F.lit(0).alias("_side"))
+    rows = left.select(*keys, F.col(day).alias("_day"), F.lit(None).cast(marks.schema["_mark"].dataType).alias("_mark"), F.lit(1).alias("_side")).distinct()
+    back = W.partitionBy(*keys).orderBy("_day", "_side").rowsBetween(W.unboundedPreceding, 0)
+    on = W.partitionBy(*keys).orderBy(F.desc("_day"), "_side").rowsBetween(W.unboundedPreceding, 0)
+    both = rows.unionByName(marks).withColumn("_a", F.last("_mark", True).over(back)).withColumn("_b", F.last("_mark", True).over(on)).where("_side = 1")
+    gap = lambda m: F.when(F.col(m).isNotNull(), F.struct(F.abs(F.datediff("_day", F.col(m)["d"])).alias("n"), F.col(m)["p"].alias("p")))
+    near = F.least(gap("_a"), gap("_b"))
+    return both.where("_a is not null or _b is not null").select(*keys, F.col("_day").alias(day), near["p"].alias(path))
 
 
 def grid_index(value: Column, first: float, step: float, n: int) -> Column:
@@ -55,22 +65,22 @@ def boxes_to_points(boxes: DataFrame, points: DataFrame, box_id: str, cell: floa
 
 
 def pairs_within(near: DataFrame, far: DataFrame, km: float = C.BUFFER_KM) -> DataFrame:
-    """``(near_id, far_id, km)`` closer than ``km``, from tables ``(id, lon, lat)``.
+    """``(near_id, far_id, km)`` closer than ``km``, from tables ``(id, lon, lat)``, anywhere on the globe.
 
-    Latitudes below 60 degrees: far points are bucketed so that one ring of
-    neighbour buckets suffices, near points look into nine, and the exact distance
-    decides.  Longitudes are not wrapped at 180 degrees.
+    Points are dealt to cubes with edges of ``km`` around the globe's centre.  A chord is
+    no longer than its arc, so partners lie in the same or a neighbouring cube, at the
+    poles and across 180 degrees too; near points look into 27 and the exact distance decides.
     """
-    high = km / 111.0
-    wide = 2.05 * high
-    at = lambda c, size: F.floor(F.col(c) / size)
+    lon, lat = F.radians("lon"), F.radians("lat")
+    axes = {"_x": F.cos(lat) * F.cos(lon), "_y": F.cos(lat) * F.sin(lon), "_z": F.sin(lat)}
+    cube = {k: F.floor(v * C.EARTH_KM / km) for k, v in axes.items()}
     ring = F.sequence(F.lit(-1), F.lit(1))
-    a = near.select(F.col("id").alias("near_id"), F.col("lon").alias("lon1"), F.col("lat").alias("lat1"), at("lon", wide).alias("x"), at("lat", high).alias("y"))
-    a = a.withColumn("dx", F.explode(ring)).withColumn("dy", F.explode(ring))
-    a = a.select("near_id", "lon1", "lat1", (F.col("x") + F.col("dx")).alias("_x"), (F.col("y") + F.col("dy")).alias("_y"))
-    b = far.select(F.col("id").alias("far_id"), F.col("lon").alias("lon2"), F.col("lat").alias("lat2"), at("lon", wide).alias("_x"), at("lat", high).alias("_y"))
+    a = near.select(F.col("id").alias("near_id"), F.col("lon").alias("lon1"), F.col("lat").alias("lat1"), *[v.alias(k) for k, v in cube.items()])
+    for k in cube:
+        a = a.withColumn("_d", F.explode(ring)).withColumn(k, F.col(k) + F.col("_d"))
+    b = far.select(F.col("id").alias("far_id"), F.col("lon").alias("lon2"), F.col("lat").alias("lat2"), *[v.alias(k) for k, v in cube.items()])
     d = geo.haversine_km(F.col("lon1"), F.col("lat1"), F.col("lon2"), F.col("lat2"))
-    return a.join(b, ["_x", "_y"]).withColumn("km", d).where(F.col("km") < km).select("near_id", "far_id", "km")
+    return a.join(b, list(cube)).withColumn("km", d).where(F.col("km") < km).select("near_id", "far_id", "km")
 
 
 def months_must_match(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -79,6 +89,13 @@ def months_must_match(left: DataFrame, right: DataFrame) -> DataFrame:
     return a.exceptAll(b).unionByName(b.exceptAll(a))
 
 
+def require_same_months(left: DataFrame, right: DataFrame) -> None:
+    """Raise, with at most ten of them named, when one of two monthly series has months that the other lacks."""
+    odd = months_must_match(left, right).orderBy("ym").limit(10).collect()
+    if odd:
+        raise ValueError(f"months without a partner: {[r['ym'] for r in odd]}")
+
+
 def work_left(tiles: DataFrame, years: DataFrame, done: DataFrame, labelled: DataFrame) -> DataFrame:
     """Tile-year pairs to do: a product of two short lists, less what is done or has no labels."""
     return tiles.join(F.broadcast(years)).join(done, ["tile", "year"], "left_anti").join(labelled, "year", "left_semi")

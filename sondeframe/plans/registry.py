@@ -585,3 +585,6 @@ _DATES_ALL = "select cast(unnest(generate_series(make_date(y, 1, 1), make_date(y
 def label_grid_all_years(spark, d):
     years = [spark.read.parquet(f"{d}/{t}.parquet").select(F.year(c).alias("year")) for t, c in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"))]
     return _label_grid(spark, d, _composite_starts(years[0].union(years[1]), "day"))
+
+
+from sondeframe.plans import more  # noqa: E402, F401  (registers its queries)

@@ -82,3 +82,13 @@ def parse_years(text: str) -> list[int]:
     """``2017-2019,2024`` to a list."""
     spans = [list(map(int, p.split("-"))) for p in text.split(",")]
     return [y for s in spans for y in range(s[0], s[-1] + 1)]
+
+
+def read_table(spark: SparkSession, path: str, kind: str, schema: str) -> DataFrame:
+    """A Parquet, CSV (with a header) or JSON-lines table of a known schema, with the usual names and no NaN."""
+    reader = spark.read.schema(schema)
+    if kind == "csv":
+        reader = reader.option("header", True)
+    elif kind not in ("parquet", "json"):
+        raise ValueError(f"no such kind of table: {kind}")
+    return no_nan(normalise_names(reader.format(kind).load(path)))

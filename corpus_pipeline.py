@@ -21,7 +21,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the threshold table."""
+    """Documents that pass the base rules and the threshold table; null and empty texts fail, null ids and repeated rows are judged like any other."""
     return keep_quality(docs)
 
 
@@ -31,7 +31,10 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group at 0.8 on five-word shingles; those without an id or words stay."""
+    """The document of smallest id of each group at 0.8 on five-word shingles; those without an id or words stay.
+
+    A document is its id: repeated rows of a kept id all stay, and rows that share an id count as one document.
+    """
     kept = near_duplicates(docs, shingle=5, num=80, den=100, bands=32, rows=5)
     kept = written(kept.where("kept and id is not null").select(F.col("id").alias("doc_id")).distinct(), "kept")
     alone = docs.where("doc_id is null")
@@ -39,7 +42,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 2048 tokens in sequences."""
+    """Pieces of at most 2048 tokens in sequences; every row is packed, an empty table gives no rows."""
     return pack(docs, public_path("byte_bpe_50k.json"), "byte", capacity=2048, end_id=0)
 
 

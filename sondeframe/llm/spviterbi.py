@@ -45,7 +45,7 @@ MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Characters of a lane, and of the runs that are searched at once.
 LANE = 64
-CHUNK = 1 << 18
+CHUNK = 1 << 16
 _BETWEEN = 0xFFFFFFFF  # no code point
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _SLICE_END = re.compile("[A-Za-z] (?=[A-Za-z])")
@@ -75,13 +75,17 @@ class Vocabulary:
         self.unknown_score = min(self.scores[i] for i in normal) - UNKNOWN_PENALTY
         self._build()
         self.text_of = [MARK.join(self.pieces[i].split(MARK)).replace(MARK, " ") if not sp.is_control(i) else "" for i in range(len(self.pieces))]
+        self.byte_of = {i: b for b, i in self.byte_ids.items() if b >= 0x80}
+        self.text_of = [chr(int(p[3:-1], 16)) if sp.is_byte(i) else t for i, (p, t) in enumerate(zip(self.pieces, self.text_of, strict=True))]
+        self.high = np.zeros(len(self.pieces), bool)
+        self.high[list(self.byte_of)] = True
 
     def _build(self) -> None:
         """A hash table of all prefixes: key, piece id (-1 where it is no piece) and score, probed in line."""
         keys = np.array([self.key(p) for p in self.prefixes], np.uint64)
         if len(np.unique(keys)) != len(keys):
             raise ValueError("two prefixes share a key")
-        self.bits = max(10, int(len(keys) * 8 - 1).bit_length())
+        self.bits = max(10, int(len(keys) * 4 - 1).bit_length())
         self.keys = np.zeros((1 << self.bits) + 64, np.uint64)
         self.table_id = np.full(len(self.keys), -1, np.int32)
         self.table_score = np.zeros(len(self.keys))
@@ -335,13 +339,15 @@ class Encoder:
             yield from self._run(run)
 
     def decode(self, ids: bytes) -> str:
-        ids = array("I", ids)
-        text_of, byte = self.v.text_of, {i: bytes([b]) for b, i in self.v.byte_ids.items()}
-        if byte and any(i in byte for i in set(ids)):
-            runs = itertools.groupby(ids, lambda i: i in byte)
-            text = "".join(b"".join(byte[i] for i in run).decode("utf-8", "replace") if raw else "".join(text_of[i] for i in run) for raw, run in runs)
+        # An ASCII byte piece is a character of its own; only runs of other bytes are put together.
+        numbers = np.frombuffer(ids, np.uint32)
+        text_of, high = self.v.text_of, self.v.high
+        if high[numbers].any():
+            byte = self.v.byte_of
+            runs = itertools.groupby(numbers.tolist(), byte.__contains__)
+            text = "".join(bytes(map(byte.__getitem__, run)).decode("utf-8", "replace") if raw else "".join(map(text_of.__getitem__, run)) for raw, run in runs)
         else:
-            text = "".join(map(text_of.__getitem__, ids))
+            text = "".join(map(text_of.__getitem__, numbers.tolist()))
         return text[1:] if text.startswith(" ") else text  # the mark put before every text
 
 

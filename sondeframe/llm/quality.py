@@ -14,7 +14,8 @@ Measures
   stop_ratio, dup_line_ratio, repeat_ratio (each of words or lines).
 
 Edge cases: a null or empty text has zeros everywhere and fails the base rule;
-ratios of nothing are 0; a null id is kept as it is; extra columns stay out.
+ratios of nothing are 0; a null id is kept as it is; extra columns stay out; a text of
+50 words or more in a language other than the four has few stop words and fails that row.
 """
 
 from __future__ import annotations
@@ -140,11 +141,12 @@ def quality(docs: DataFrame, rules: Sequence[Rule] = RULES, id_col: str = "doc_i
 
 
 def keep_quality(docs: DataFrame, rules: Sequence[Rule] = RULES, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that pass, with their columns.
+    """The rows of ``docs`` that pass, with their columns, held in a struct meanwhile so that any names may occur.
 
     The row number keeps the optimiser from moving the filter below the measures,
     which would copy their expressions into each of its terms.
     """
-    df = measures(docs, text_col).withColumn("_row", F.monotonically_increasing_id())
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("held"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    df = measures(held).withColumn("_row", F.monotonically_increasing_id())
     passed = ~base_failed() & compiled(rules) & (F.col("_row") >= 0)
-    return df.where(passed).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return df.where(passed).select("held.*")

@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from sondeframe.llm import tokencounts
 from sondeframe.llm.idfile import decode_data, encode_block, round_trip
 from sondeframe.llm.packing import _band_end, best_fit, pack, sweep_plan
-from sondeframe.llm.quality import quality
+from sondeframe.llm.quality import keep_quality, quality
 from sondeframe.llm.queries import op1_token_counts
 from sondeframe.llm.spviterbi import Encoder, StreamingViterbi, encoded
 from sondeframe.llm.tokens import UnitEncoder, public_path
@@ -382,3 +382,11 @@ def test_toxicity_scores_match_a_plain_recount(spark):
         assert (table[f] != 0) <= (abs(ratio) > 3 * np.sqrt(1 / (p + 0.5) + 1 / (q + 0.5)))
     for r in toxicity(docs, labels).collect():
         assert abs(r.score - 1 / (1 + np.exp(-(b + sum(table[f] for f in sets[r.doc_id]))))) < 1e-5
+
+
+def test_quality_keeps_columns_of_any_name(spark):
+    good = "the cat sat on the mat and the dog ran off to a house by the sea"
+    docs = spark.createDataFrame([(1, good, 5, "a", "b"), (2, "one two", 6, "a", "b"), (None, good, 7, None, None), (3, None, 8, "", "")], "doc_id long, text string, _q int, _w string, held string")
+    got = keep_quality(docs)
+    assert got.columns == docs.columns and sorted(r["_q"] for r in got.collect()) == [5, 7]
+    assert keep_quality(docs.where("false")).count() == 0 and quality(docs.where("false")).count() == 0

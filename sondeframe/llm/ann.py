@@ -7,11 +7,13 @@ is what changes large inner products.  A query scans the codes of its best cells
 with lookup tables and the best ``rerank`` of each block are scored exactly.
 
 Cells and codebooks are fitted on at most ``FIT_ROWS`` vectors; every vector is
-indexed.  The number of cells probed is the smallest that reaches ``coverage`` of
-the true neighbours on the sample; a query whose cells hold too few vectors for its
-neighbours probes more of them.  Cells are packed in blocks of about
-``BLOCK_ROWS`` vectors and queries in blocks of ``QUERY_ROWS``, so a crowded cell is
-many small tasks.
+indexed.  The number of cells grows with the rows, one for about ``CELL_ROWS``: a
+cell is a first centre and, beyond what the sample can place, a second one for the
+residual.  The true neighbours of ``ASKED`` sampled vectors among all rows (one exact
+pass, linear in the rows) set the number of cells probed: the smallest that holds
+``COVERAGE`` of them.  A query whose cells hold too few vectors for its neighbours
+probes more of them.  Cells are packed in blocks of about ``BLOCK_ROWS`` vectors and
+queries in blocks of ``QUERY_ROWS``, so a crowded cell is many small tasks.
 
 Edge cases: vectors that are null, zero, of another length than most, or hold null
 or non-finite components take no part; ties go to the smaller id; queries without
@@ -32,6 +34,10 @@ from pyspark.sql import functions as F
 from sondeframe.llm.common import written
 
 FIT_ROWS = 20_000
+CELL_ROWS = 1_024
+MAX_CENTRES = 1_024  # on each of the two levels
+ASKED = 256
+COVERAGE = 0.985
 BLOCK_ROWS = 8_192
 QUERY_ROWS = 512
 SUB = 2  # dimensions a code
@@ -40,24 +46,54 @@ THRESHOLD = 0.2
 
 
 class Model:
-    """Coarse centres, codebooks (parts, 16, SUB), the loss weight and the cells to probe."""
+    """Two levels of centres, codebooks (parts, 16, SUB), the loss weight, rows by cell and the cells to probe."""
 
-    def __init__(self, centres: np.ndarray, books: np.ndarray, eta: float, probe: int) -> None:
-        self.centres, self.books, self.eta, self.probe = centres, books, eta, probe
+    def __init__(self, first: np.ndarray, second: np.ndarray, books: np.ndarray, eta: float) -> None:
+        self.first, self.second, self.books, self.eta = first, second, books, eta
+        self.size = len(first) * len(second)
+        self.held, self.probe = np.ones(self.size, np.int64), self.size
 
     def cells(self, x: np.ndarray) -> np.ndarray:
-        c = self.centres
-        return np.argmin((c * c).sum(1)[None, :] - 2 * x @ c.T, axis=1)
-
-    def probes(self, q: np.ndarray, held: np.ndarray, need: np.ndarray) -> list[list[int]]:
-        """The best cells of each query: ``probe`` of them, and more until they hold ``need`` vectors (``held`` by cell)."""
-        order = np.argsort(-(q @ self.centres.T), axis=1, kind="stable")
-        enough = (np.cumsum(held[order], axis=1) < need[:, None]).sum(1) + 1
-        return [row[: max(self.probe, n)].tolist() for row, n in zip(order, enough.tolist(), strict=True)]
+        a = _closest(x, self.first)
+        return a * len(self.second) + _closest(x - self.first[a], self.second)
+
+    def centres(self, cells: np.ndarray) -> np.ndarray:
+        return self.first[cells // len(self.second)] + self.second[cells % len(self.second)]
+
+    def scores(self, q: np.ndarray) -> np.ndarray:
+        """(queries, cells): inner products with the cells' centres; an empty cell has -inf."""
+        s = ((q @ self.first.T)[:, :, None] + (q @ self.second.T)[:, None, :]).reshape(len(q), -1)
+        return np.where(self.held > 0, s, -np.inf)
+
+    def probes(self, q: np.ndarray, need: np.ndarray) -> list[list[int]]:
+        """The best cells of each query: ``probe`` of them, and more until they hold ``need`` vectors."""
+        out: list[list[int]] = []
+        step = max(1, (4 << 20) // self.size)
+        for at in range(0, len(q), step):
+            s, p = self.scores(q[at : at + step]), min(self.probe, self.size)
+            while True:
+                best = np.argpartition(-s, p - 1, axis=1)[:, :p]
+                best = np.take_along_axis(best, np.argsort(-np.take_along_axis(s, best, 1), axis=1, kind="stable"), 1)
+                sums = np.cumsum(self.held[best], axis=1)
+                if p == self.size or (sums[:, -1] >= need[at : at + step]).all():
+                    break
+                p = min(2 * p, self.size)
+            enough = (sums < need[at : at + step, None]).sum(1) + 1
+            out += [row[: max(self.probe, n)].tolist() for row, n in zip(best, enough.tolist(), strict=True)]
+        return out
+
+    def calibrate(self, q: np.ndarray, of: np.ndarray, near: np.ndarray, coverage: float) -> None:
+        """Probe as many cells as hold ``coverage`` of the true neighbours: ``near`` is a cell, ``of`` its query in ``q``."""
+        places = np.zeros(len(of), np.int64)
+        for i in np.unique(of):
+            s, mine = self.scores(q[i : i + 1])[0], of == i
+            places[mine] = len(s) - np.searchsorted(np.sort(s), s[near[mine]], side="left")
+        if len(places):
+            self.probe = int(min(self.size, np.quantile(places, coverage, method="higher")))
 
     def encode(self, x: np.ndarray, cells: np.ndarray, sweeps: int = 2) -> np.ndarray:
         """(n, parts) codes by coordinate descent on the score-aware loss."""
-        t = _pad(x - self.centres[cells]).reshape(len(x), -1, SUB)
+        t = _pad(x - self.centres(cells)).reshape(len(x), -1, SUB)
         u = _pad(x / np.linalg.norm(x, axis=1, keepdims=True)).reshape(len(x), -1, SUB)
         return _assign(t, u, self.books, self.eta, None, sweeps)
 
@@ -97,25 +133,42 @@ def _assign(t: np.ndarray, u: np.ndarray, books: np.ndarray, eta: float, codes:
     return codes
 
 
+def _closest(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    norms = (c * c).sum(1)[None, :]
+    parts = [np.argmin(norms - 2 * x[at : at + 2048] @ c.T, axis=1) for at in range(0, len(x), 2048)]
+    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+
+
+def _largest(scores: np.ndarray, m: int) -> np.ndarray:
+    """(queries, m): the places of the ``m`` largest of each row, rising; of equal ones the first."""
+    least = np.partition(scores, scores.shape[1] - m, axis=1)[:, scores.shape[1] - m, None]
+    more, equal = scores > least, scores == least
+    equal &= np.cumsum(equal, axis=1) <= m - more.sum(1, keepdims=True)
+    return np.nonzero(more | equal)[1].reshape(len(scores), m)
+
+
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -> np.ndarray:
     c = x[rng.choice(len(x), k, replace=len(x) < k)].copy()
     for _ in range(rounds):
-        a = np.argmin((c * c).sum(1)[None, :] - 2 * x @ c.T, axis=1)
+        a = _closest(x, c)
         n = np.bincount(a, minlength=k)
         sums = np.stack([np.bincount(a, x[:, d], k) for d in range(x.shape[1])], axis=1)
         c = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], x[rng.integers(0, len(x), k)])
     return c
 
 
-def fit(x: np.ndarray, top: int = 20, coverage: float = 0.985, rounds: int = 4, seed: int = 7) -> Model:
-    """Fit cells, codebooks and the number of probes on a sample."""
+def fit(x: np.ndarray, rows: int, rounds: int = 4, seed: int = 7) -> Model:
+    """Fit cells for ``rows`` vectors and codebooks on a sample of them."""
     rng = np.random.default_rng(seed)
     n, d = x.shape
-    k = int(min(256, max(1, round(n**0.5 / 2))))
-    centres = _kmeans(x, k, rng)
+    want = max(1, rows // CELL_ROWS)
+    first = _kmeans(x, max(1, min(want, MAX_CENTRES, n // 20)), rng)
+    left = x - first[_closest(x, first)]
+    k2 = min(MAX_CENTRES, -(-want // len(first)))
+    second = np.zeros((1, d)) if k2 == 1 or want <= len(first) or n < 20 * k2 else _kmeans(left, k2, rng)
     eta = max(1.0, (d - 1) * THRESHOLD**2 / (1 - THRESHOLD**2))
-    model = Model(centres, np.zeros(0), eta, k)
-    t = _pad(x - centres[model.cells(x)])
+    model = Model(first, second, np.zeros(0), eta)
+    t = _pad(x - model.centres(model.cells(x)))
     t = t.reshape(n, -1, SUB)
     u = _pad(x / np.linalg.norm(x, axis=1, keepdims=True)).reshape(n, -1, SUB)
     books = np.stack([_kmeans(t[:, m], CODES, rng, 8) for m in range(t.shape[1])])
@@ -135,16 +188,7 @@ def fit(x: np.ndarray, top: int = 20, coverage: float = 0.985, rounds: int = 4,
             books[m] = np.where(np.bincount(a, minlength=CODES)[:, None] > 0, new, books[m])
             along = rest + ((tm - books[m][a]) * um).sum(1)
         codes = _assign(t, u, books, eta, codes, 1)
-    model = Model(centres, books, eta, k)
-    asked = rng.choice(n, min(n, 500), replace=False)
-    scores = x[asked] @ x.T
-    scores[np.arange(len(asked)), asked] = -np.inf
-    near = np.argsort(-scores, axis=1)[:, : min(top, n - 1)]
-    place = np.empty((len(asked), k), np.int64)
-    np.put_along_axis(place, np.argsort(-(x[asked] @ centres.T), axis=1, kind="stable"), np.arange(k)[None, :], axis=1)
-    needed = np.take_along_axis(place, model.cells(x)[near], axis=1).ravel()
-    if len(needed):
-        model.probe = int(min(k, np.quantile(needed, coverage) + 1))
+    model.books = books
     return model
 
 
@@ -154,7 +198,7 @@ def valid(v: Column, dims: int) -> Column:
 
 
 def nearest(
-    vectors: DataFrame, queries: Column, top: int = 20, rerank: int = 100, id_col: str = "vec_id", vec_col: str = "embedding",
+    vectors: DataFrame, queries: Column, top: int = 20, rerank: int = 200, id_col: str = "vec_id", vec_col: str = "embedding",
     fit_rows: int = FIT_ROWS,
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``top`` rows of largest inner product for each row of ``queries``.
@@ -170,10 +214,13 @@ def nearest(
     if common is None or common["d"] == 0:
         return empty
     rows = rows.where(valid(F.col("v"), common["d"]))
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(fit_rows).select("v").toPandas()["v"]  # at most fit_rows
+    total = rows.count()
+    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(fit_rows).select("vec_id", "v").toPandas()  # at most fit_rows
     if len(sample) == 0:
         return empty
-    shared = spark.sparkContext.broadcast(fit(np.stack(sample.to_list()), top))  # cells and codebooks: fixed size
+    known = np.stack(sample["v"].to_list())
+    model = fit(known, total)
+    shared = spark.sparkContext.broadcast(model)  # centres and codebooks: fixed size
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value
@@ -185,15 +232,39 @@ def nearest(
                 yield pd.DataFrame({"vec_id": pdf["vec_id"], "cell": cells, "code": [c.tobytes() for c in codes], "v": [r.tobytes() for r in x], "q": pdf["q"]})
 
     indexed = written(rows.mapInPandas(index, "vec_id long, cell int, code binary, v binary, q boolean"), "indexed")
-    held = np.zeros(len(shared.value.centres), np.int64)
-    for r in indexed.groupBy("cell").count().collect():  # at most one row a cell
-        held[r["cell"]] = r["count"]
+    held = indexed.groupBy("cell").count().toPandas()  # at most one row a cell
+    model.held = np.bincount(held["cell"], held["count"], model.size).astype(np.int64)
+    asked_ids, asked_v = sample["vec_id"].to_numpy()[:ASKED], known[:ASKED]
+
+    def exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The best ``top`` of the partition for each sampled vector, by scores on whole vectors."""
+        best = np.full((len(asked_v), top), -np.inf)
+        cells = np.zeros((len(asked_v), top), np.int64)
+        for pdf in batches:
+            for at in range(0, len(pdf), 2048):
+                part = pdf.iloc[at : at + 2048]
+                x = np.frombuffer(b"".join(part["v"])).reshape(len(part), -1)
+                s = asked_v @ x.T
+                s[asked_ids[:, None] == part["vec_id"].to_numpy()[None, :]] = -np.inf
+                s = np.concatenate((best, s), axis=1)
+                c = np.concatenate((cells, np.broadcast_to(part["cell"].to_numpy(), (len(asked_v), len(part)))), axis=1)
+                keep = np.argpartition(-s, top - 1, axis=1)[:, :top]
+                best, cells = np.take_along_axis(s, keep, 1), np.take_along_axis(c, keep, 1)
+        of = np.repeat(np.arange(len(asked_v)), top)
+        found = np.isfinite(best.ravel())
+        yield pd.DataFrame({"of": of[found], "cell": cells.ravel()[found], "score": best.ravel()[found]})
+
+    near = indexed.select("vec_id", "cell", "v").mapInPandas(exact, "of int, cell int, score double")
+    near = near.withColumn("place", F.row_number().over(W.partitionBy("of").orderBy(F.desc("score"), "cell")))
+    near = near.where(F.col("place") <= top).toPandas()  # ASKED x top rows
+    model.calibrate(asked_v, near["of"].to_numpy(), near["cell"].to_numpy(), COVERAGE)
+    probing = spark.sparkContext.broadcast(model)
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
                 x = np.frombuffer(b"".join(pdf["v"])).reshape(len(pdf), -1)
-                yield pdf[["vec_id", "v"]].assign(probes=shared.value.probes(x, held, pdf["own"].to_numpy() + top))
+                yield pdf[["vec_id", "v"]].assign(probes=probing.value.probes(x, pdf["own"].to_numpy() + top))
 
     # A query id that several rows hold is asked once, by the smallest of its vectors (as bytes).
     queries_ = indexed.groupBy("vec_id").agg(F.min(F.when(F.col("q"), F.col("v"))).alias("v"), F.count("*").alias("own")).where("v is not null")
@@ -225,18 +296,13 @@ def nearest(
                     approx = np.zeros((len(q), len(ids)), np.float32)
                     for b in range(len(codes)):
                         approx += np.take(tables[:, b], codes[b], axis=1)
-                    for i in range(len(q)):
-                        row, own = approx[i], qid[at + i]
-                        if len(ids) > rerank + 1:
-                            least = np.partition(row, len(ids) - rerank - 1)[len(ids) - rerank - 1]
-                            more = np.flatnonzero(row > least)
-                            take = np.concatenate((more, np.flatnonzero(row == least)[: rerank + 1 - len(more)]))
-                        else:
-                            take = np.arange(len(ids))
-                        take = take[ids[take] != own]
-                        score = x[take] @ q[i]
-                        best = np.lexsort((ids[take], -score))[:top]
-                        out.append(pd.DataFrame({"query_id": own, "vec_id": ids[take][best], "score": score[best]}))
+                    own, take = qid[at : at + 64, None], _largest(approx, min(rerank + 1, len(ids)))
+                    score = np.einsum("qmd,qd->qm", x[take], q)
+                    score[ids[take] == own] = -np.inf
+                    best = np.argsort(-score, axis=1, kind="stable")[:, :top]  # places rise with the id, so ties do too
+                    score, place = np.take_along_axis(score, best, 1), np.take_along_axis(take, best, 1)
+                    held = np.isfinite(score)
+                    out.append(pd.DataFrame({"query_id": np.broadcast_to(own, held.shape)[held], "vec_id": ids[place][held], "score": score[held]}))
                 if out:
                     yield pd.concat(out)
 

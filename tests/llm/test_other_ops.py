@@ -83,6 +83,42 @@ def test_nearest_recall_and_odd_vectors(spark):
     assert ann.nearest(df.where("vec_id in (0, 20)"), F.lit(True)).count() == 2
 
 
+def test_nearest_recall_on_the_given_table(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    got = {}
+    for r in ann.nearest(df, F.col("vec_id") % 20 == 0, top=20).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    pdf = df.where("embedding is not null").toPandas()
+    x, ids = np.stack(pdf.embedding.to_list()).astype(float), pdf.vec_id.to_numpy()
+    use = np.isfinite(x).all(1) & (x != 0).any(1)
+    x, ids = x[use], ids[use]
+    hits = 0
+    for q in np.flatnonzero(ids % 20 == 0):
+        s = x @ x[q]
+        s[ids == ids[q]] = -np.inf
+        hits += len(got[ids[q]] & set(ids[np.lexsort((ids, -s))[:20]].tolist()))
+    assert hits >= 0.95 * 20 * (ids % 20 == 0).sum()
+
+
+def test_nearest_cells_of_two_levels():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(4000, 8))
+    model = ann.fit(x, rows=3_000_000)
+    assert len(model.second) > 1 and model.size >= 3_000_000 // ann.CELL_ROWS
+    cells = model.cells(x)
+    model.held = np.bincount(cells, minlength=model.size)
+    model.calibrate(x[:50], np.repeat(np.arange(50), 5), np.stack([cells[np.argsort(-(x @ q))[1:6]] for q in x[:50]]).ravel(), 0.9)
+    assert 1 <= model.probe < model.size
+    need = np.full(50, 300)
+    for probes in model.probes(x[:50], need):
+        assert len(set(probes)) == len(probes) and model.held[probes].sum() >= 300 and len(probes) >= model.probe
+
+
+def test_largest_takes_the_first_of_equal_ones():
+    s = np.array([[1.0, 3.0, 3.0, 3.0], [2.0, 2.0, 2.0, 5.0]])
+    assert ann._largest(s, 2).tolist() == [[1, 2], [0, 3]]
+
+
 def test_nearest_gives_every_query_its_number(spark):
     """Outlying and repeated queries among many copies: still min(top, candidates) rows each, of distinct ids."""
     rng = np.random.default_rng(3)

@@ -13,7 +13,8 @@ residual.  The true neighbours of ``ASKED`` sampled vectors among all rows (one
 pass, linear in the rows) set the number of cells probed: the smallest that holds
 ``COVERAGE`` of them.  A query whose cells hold too few vectors for its neighbours
 probes more of them.  Cells are packed in blocks of about ``BLOCK_ROWS`` vectors and
-queries in blocks of ``QUERY_ROWS``, so a crowded cell is many small tasks.
+queries in blocks of ``QUERY_ROWS``, so a crowded cell is many small tasks; a task
+merges what its cells give for one query before the shuffle.
 
 Edge cases: vectors that are null, zero, of another length than most, or hold null
 or non-finite components take no part; ties go to the smaller id; queries without
@@ -40,6 +41,7 @@ ASKED = 256
 COVERAGE = 0.985
 BLOCK_ROWS = 8_192
 QUERY_ROWS = 512
+KEPT_ROWS = 500_000  # found rows that a task holds
 SUB = 2  # dimensions a code
 CODES = 16  # four bits
 THRESHOLD = 0.2
@@ -147,6 +149,12 @@ def _largest(scores: np.ndarray, m: int) -> np.ndarray:
     return np.nonzero(more | equal)[1].reshape(len(scores), m)
 
 
+def _best(found: list[pd.DataFrame], top: int) -> pd.DataFrame:
+    """The ``top`` rows of each query: largest scores, ties to the smaller id."""
+    rows = pd.concat(found).sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
+    return rows[rows.groupby("query_id").cumcount() < top]
+
+
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -> np.ndarray:
     c = x[rng.choice(len(x), k, replace=len(x) < k)].copy()
     for _ in range(rounds):
@@ -284,12 +292,13 @@ def nearest(
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value
+        out: list[pd.DataFrame] = []
+        n = 0
         for pdf in batches:
             for cell, ids, code, v, qid, qv in pdf[["cell", "vec_id", "code", "v", "qid", "qv"]].itertuples(index=False):
                 ids, qid = np.asarray(ids), np.asarray(qid)
                 x = np.frombuffer(b"".join(v)).reshape(len(ids), -1)
                 codes = np.frombuffer(b"".join(code), np.uint8).reshape(len(ids), -1).T.astype(np.intp)
-                out = []
                 for at in range(0, len(qid), 64):
                     q = np.frombuffer(b"".join(qv[at : at + 64])).reshape(-1, x.shape[1])
                     tables = model.tables(q)
@@ -303,10 +312,18 @@ def nearest(
                     score, place = np.take_along_axis(score, best, 1), np.take_along_axis(take, best, 1)
                     held = np.isfinite(score)
                     out.append(pd.DataFrame({"query_id": np.broadcast_to(own, held.shape)[held], "vec_id": ids[place][held], "score": score[held]}))
-                if out:
-                    yield pd.concat(out)
-
-    pairs = candidates.join(asked, "cell").repartition("cell", F.element_at("vec_id", 1), F.element_at("qid", 1))
+                n += len(qid) * top
+                if n > KEPT_ROWS:  # a query's cells in this task merge; what is left of too many queries is sent on
+                    out = [_best(out, top)]
+                    n = len(out[0])
+                    if n > KEPT_ROWS // 2:
+                        yield out[0]
+                        out, n = [], 0
+        if out:
+            yield _best(out, top)
+
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pairs = candidates.join(asked, "cell").repartition(tasks, "cell", F.element_at("vec_id", 1), F.element_at("qid", 1))
     found = pairs.select("cell", "vec_id", "code", "v", "qid", "qv").mapInPandas(scan, "query_id long, vec_id long, score double")
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)

@@ -64,3 +64,21 @@ def mgrs_square(lon: Column, lat: Column) -> Column:
     shift = F.when(zone % 2 == 0, 5).otherwise(0)
     row = F.lit(rows).substr((F.pmod(F.floor(north / 100000) + shift, F.lit(20)) + 1).cast("int"), F.lit(1))
     return F.concat(F.lit("T"), F.lpad(zone.cast("string"), 2, "0"), band, col, row)
+
+
+def _place(letters: Column, letter: Column) -> Column:
+    return F.position(letter, letters)
+
+
+def square_origin(tile: Column) -> tuple[Column, Column, Column]:
+    """Zone, easting and northing of the south-west corner of a northern 100 km square such as T36RUU."""
+    zone = tile.substr(2, 2).cast("int")
+    # Within the lettered zone set, a column letter's place is its 100 km step.
+    letters = F.when(zone % 3 == 1, "ABCDEFGH").when(zone % 3 == 2, "JKLMNPQR").otherwise("STUVWXYZ")
+    east = _place(letters, tile.substr(5, 1)) * 100000.0
+    shift = F.when(zone % 2 == 0, 5).otherwise(0)
+    row = F.pmod(_place(F.lit("ABCDEFGHJKLMNPQRSTUV"), tile.substr(6, 1)) - 1 - shift, F.lit(20)) * 100000.0
+    # Rows repeat each 2,000 km: the first that reaches into the latitude band.
+    south = (_place(F.lit("CDEFGHJKLMNPQRSTUVWX"), tile.substr(4, 1)) - 1) * 8.0 - 80
+    edge = K0 * RECT * (F.radians(south) - 1.5 * N * F.sin(2 * F.radians(south)))
+    return zone, east, row + (F.floor((edge - 100000 - row) / 2000000) + 1) * 2000000.0

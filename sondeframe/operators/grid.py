@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sondeframe import config as C
-from sondeframe.functions import utm
+from sondeframe.functions import geo, names, utm
 from sondeframe.operators.aggregates import cloud_fraction, valid_fraction
 
 
@@ -79,17 +79,64 @@ def utm_template(centres: DataFrame, size: int = C.PATCH, res: float = 30.0) ->
 
 def nearest_label(pixels: DataFrame, labels: DataFrame, lat0: float, dlat: float, n_lat: int, lon0: float, dlon: float, n_lon: int) -> DataFrame:
     """Nearest label ``(lat_i, lon_i, cls)`` of each pixel; 255 outside the source."""
-    iy, ix = F.round((F.col("lat") - lat0) / dlat).cast("int"), F.round((F.col("lon") - lon0) / dlon).cast("int")
+    iy, ix = F.bround((F.col("lat") - lat0) / dlat).cast("int"), F.bround((F.col("lon") - lon0) / dlon).cast("int")
     return pixels.withColumn("lat_i", iy).withColumn("lon_i", ix).join(labels, ["lat_i", "lon_i"], "left").withColumn("cls", F.coalesce("cls", F.lit(C.NODATA)))
 
 
 def squares_in_box(spark: SparkSession, box, step: float = 0.05, buffer: float = 0.1) -> DataFrame:
-    """100 km squares met by a lattice over a buffered box, with the lattice's own extent in each."""
+    """100 km squares met by a lattice over a buffered box, each with the box of its own corners."""
     w, s, e, n = box[0] - buffer, box[1] - buffer, box[2] + buffer, box[3] + buffer
-    nx, ny = int((e - w) / step) + 1, int((n - s) / step) + 1
+    nx, ny = int((e - w) / step + 1e-6) + 1, int((n - s) / step + 1e-6) + 1
     points = spark.range(nx * ny).select((w + (F.col("id") % nx) * step).alias("lon"), (s + F.floor(F.col("id") / nx) * step).alias("lat"))
-    tile = utm.mgrs_square(F.col("lon"), F.col("lat"))
-    return points.groupBy(tile.alias("tile")).agg(*[F.round(f(c), 4).alias(a) for a, f, c in (("w", F.min, "lon"), ("s", F.min, "lat"), ("e", F.max, "lon"), ("n", F.max, "lat"))])
+    tiles = points.select(utm.mgrs_square(F.col("lon"), F.col("lat")).alias("tile")).distinct()
+    return square_boxes(tiles)
+
+
+def square_boxes(tiles: DataFrame) -> DataFrame:
+    """``(tile, w, s, e, n)``: the box of the four corners of each northern 100 km square, to four decimals."""
+    zone, east, north = utm.square_origin(F.col("tile"))
+    corner = F.explode(F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x in (0.0, 99999.0) for y in (0.0, 99999.0)])).alias("c")
+    c = tiles.select("tile", zone.alias("zone"), east.alias("east"), north.alias("north"), corner)
+    lon, lat = utm.inverse(F.col("east") + F.col("c.x"), F.col("north") + F.col("c.y"), F.col("zone"))
+    edges = (("w", F.min, "lon"), ("s", F.min, "lat"), ("e", F.max, "lon"), ("n", F.max, "lat"))
+    return c.select("tile", lon.alias("lon"), lat.alias("lat")).groupBy("tile").agg(*[F.bround(f(v), 4).alias(a) for a, f, v in edges])
+
+
+def patch_rows(pixels: DataFrame, height: int, width: int, east: float, north: float, zone: int, min_valid: float = 0.5, res: float = 30.0) -> DataFrame:
+    """``pixels(mgrs_tile, date, sensor, y, x, red, fmask)`` of one grid to index rows, one a patch.
+
+    ``east, north`` is the grid's upper left corner.  A patch's centre is the pixel centre at
+    half its size; shares keep four decimals and coordinates six.  Remainders and patches
+    with too few valid pixels are dropped.
+    """
+    q = patch_quality(pixels, ["mgrs_tile", "date", "sensor"], min_valid, height=height, width=width)
+    middle = lambda c: F.col(c) * C.PATCH + C.PATCH // 2 + 0.5
+    lon, lat = utm.inverse(east + middle("col") * res, north - middle("row") * res, F.lit(zone))
+    q = q.withColumn("center_lon", lon).withColumn("center_lat", lat)
+    return q.select(
+        names.sample_id(F.col("mgrs_tile"), F.col("date"), F.col("row"), F.col("col")).alias("sample_id"), "mgrs_tile", "date", "row", "col",
+        F.bround("center_lon", 6).alias("center_lon"), F.bround("center_lat", 6).alias("center_lat"), geo.patch_region(F.col("center_lon"), F.col("center_lat")).alias("region"),
+        F.bround("cloud_pct", 4).alias("cloud_pct"), F.bround("valid_pct", 4).alias("valid_pct"), "sensor",
+    )
+
+
+def harmonise(targets: DataFrame, layers: dict[str, tuple[DataFrame, tuple]]) -> DataFrame:
+    """``targets(id, lon, lat)`` with a column for each layer, regridded to them bilinearly.
+
+    A layer is its values ``(lat_i, lon_i, v)`` with the axes (lat0, dlat, n_lat, lon0, dlon, n_lon).
+    """
+    out = targets
+    for name, (values, axes) in layers.items():
+        out = out.join(bilinear(values, targets, *axes).withColumnRenamed("v", name), "id")
+    return out
+
+
+def require_aligned(stack: DataFrame, targets: DataFrame) -> None:
+    """Raise unless every target has exactly one row in the stack."""
+    n = stack.select("id", F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(targets.select("id", F.lit(0).alias("a"), F.lit(1).alias("b")))
+    off = n.groupBy("id").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).where("a <> 1 or b <> 1").count()
+    if off:
+        raise ValueError(f"layers are not aligned: {off} grid points differ")
 
 
 def box_pixels(boxes: DataFrame, x: tuple[float, float, int], y: tuple[float, float, int]) -> DataFrame:

@@ -286,3 +286,41 @@ def report_documents(spark, d):
 @query(f"select sample_id, split from {sql('indexed')} where split <> 'none'")
 def inside_roi(spark, d):
     return dataset.inside(derived(spark, d, "indexed")).select("sample_id", "split")
+
+
+_PATCHES = """(select 'T36RUU' mgrs_tile, date '2023-08-01' + cast(user_id % 3 as int) as day, cast((event_id * 7919) % 700 as int) y, cast((event_id * 104729) % 500 as int) x, fmask, red
+ from (select event_id, user_id, cast(case when event_id % 13 = 0 then 255 else (event_id * 7) % 64 end as int) fmask, cast(case when event_id % 17 = 0 then -9999 else event_id % 3000 end as int) red from events))"""
+
+
+@query(f"""select mgrs_tile || '_' || strftime(day, '%Y-%m-%d') || printf('_r%02dc%02d', cast(y // 224 as int), cast(x // 224 as int)) sample_id, cast(y // 224 as int) as "row", cast(x // 224 as int) col,
+ round_even(count(*) filter (red <> -9999) / count(*), 4) valid_pct, round_even(coalesce(count(*) filter (fmask <> 255 and fmask & 14 <> 0) / nullif(count(*) filter (fmask <> 255), 0), 1), 4) cloud_pct
+ from {_PATCHES} where y < 672 and x < 448 group by mgrs_tile, day, y // 224, x // 224 having count(*) filter (red <> -9999) / count(*) >= 0.5""")
+def patch_rows(spark, d):
+    events = spark.read.parquet(f"{d}/events.parquet")
+    pixels = events.selectExpr(
+        "'T36RUU' as mgrs_tile", "date_add(date'2023-08-01', cast(user_id % 3 as int)) as date", "'S30' as sensor", "cast((event_id * 7919) % 700 as int) as y", "cast((event_id * 104729) % 500 as int) as x",
+        "cast(case when event_id % 13 = 0 then 255 else (event_id * 7) % 64 end as int) as fmask", "cast(case when event_id % 17 = 0 then -9999 else event_id % 3000 end as int) as red",
+    )
+    return grid.patch_rows(pixels, 700, 500, 300000.0, 3500040.0, 36).select("sample_id", "row", "col", "valid_pct", "cloud_pct")
+
+
+def _layer_sql(v: str, hole: int, site: str) -> str:
+    at = f"from (select id, least(floor(lat - 30), 6) iy, least(floor(lon - 22), 13) ix, lat - 30 - least(floor(lat - 30), 6) wy, lon - 22 - least(floor(lon - 22), 13) wx from {site}) t"
+    c = f"(select id, iy + dy iy, ix + dx ix, (case dy when 1 then wy else 1 - wy end) * (case dx when 1 then wx else 1 - wx end) w {at}, (select unnest([0, 0, 1, 1]) dy, unnest([0, 1, 0, 1]) dx))"
+    base = f"(select k // 15 iy, k % 15 ix, cast({v} as double) v from (select unnest(range(120)) k) where k % {hole} <> 5)"
+    return f"(select id, round(case when count(b.v) = count(*) then sum(w * b.v) end, 5) v from {c} c left join {base} b on b.iy = c.iy and b.ix = c.ix where w > 0 group by 1)"
+
+
+@query(f"select s.id, a.v ndvi, b.v t2m from {sql('site')} s join {_layer_sql('(k * k) % 17', 31, sql('site'))} a on a.id = s.id join {_layer_sql('(k * 3) % 11', 43, sql('site'))} b on b.id = s.id")
+def harmonised_stack(spark, d):
+    k, axes = F.col("id"), (30, 1, 8, 22, 1, 15)
+
+    def layer(v, hole: int) -> DataFrame:
+        return spark.range(120).where(k % hole != 5).select(F.floor(k / 15).cast("int").alias("lat_i"), (k % 15).cast("int").alias("lon_i"), v.cast("double").alias("v"))
+
+    sites = derived(spark, d, "site")
+    stack = grid.harmonise(sites, {"ndvi": (layer((k * k) % 17, 31), axes), "t2m": (layer((k * 3) % 11, 43), axes)})
+    grid.require_aligned(stack, sites)
+    path = _folder_of(spark, "stack")
+    stack.select("id", F.round("ndvi", 5).alias("ndvi"), F.round("t2m", 5).alias("t2m")).write.parquet(path)
+    return spark.read.parquet(path)

@@ -75,6 +75,39 @@ def test_tile_counts(spark):
     assert roi.count() == 160 and ood.join(roi, "tile", "left_anti").count() == 238
 
 
+def test_square_boxes(spark):
+    t = spark.createDataFrame([("T36RUU",), ("T35RPN",)], "tile string")
+    zone, east, north = utm.square_origin(F.col("tile"))
+    o = {r.tile: r for r in t.select("tile", zone.alias("zone"), east.alias("east"), north.alias("north")).collect()}
+    assert (o["T36RUU"].zone, o["T36RUU"].east, o["T36RUU"].north) == (36, 300000.0, 3300000.0)
+    boxes = grid.square_boxes(t)
+    middle = boxes.select("tile", ((F.col("w") + F.col("e")) / 2).alias("lon"), ((F.col("s") + F.col("n")) / 2).alias("lat"), (F.col("n") - F.col("s")).alias("high"))
+    for r in middle.select("tile", "high", utm.mgrs_square(F.col("lon"), F.col("lat")).alias("again")).collect():
+        assert r.again == r.tile and 0.85 < r.high < 1.0
+
+
+def test_squares_reach_the_region(spark):
+    w, s, e, n = C.ROI
+    rows = grid.squares_in_box(spark, C.ROI).collect()
+    assert all(r.w < e + 0.2 and r.e > w - 0.2 and r.s < n + 0.2 and r.n > s - 0.2 and 0.85 < r.n - r.s < 1.05 for r in rows)
+
+
+def test_patch_rows_have_centres(spark):
+    px = spark.createDataFrame([("T36RUU", dt.date(2023, 8, 1), "S30", y, x, 5, 0) for y in (0, 230, 449) for x in (0, 225)], "mgrs_tile string, date date, sensor string, y int, x int, red int, fmask int")
+    got = {r.sample_id: r for r in grid.patch_rows(px, 450, 448, 300000.0, 3400020.0, 36).collect()}
+    assert set(got) == {f"T36RUU_2023-08-01_r{r:02d}c{c:02d}" for r in (0, 1) for c in (0, 1)}
+    e, n = utm.forward(F.lit(got["T36RUU_2023-08-01_r01c00"].center_lon), F.lit(got["T36RUU_2023-08-01_r01c00"].center_lat), F.lit(36))
+    east, north = col(spark, e), col(spark, n)
+    assert abs(east - (300000 + 112.5 * 30)) < 0.2 and abs(north - (3400020 - 336.5 * 30)) < 0.2
+
+
+def test_unaligned_layers_raise(spark):
+    t = spark.createDataFrame([(1, 0.5, 0.5), (2, 0.2, 0.2)], "id int, lat double, lon double")
+    grid.require_aligned(t, t)
+    with pytest.raises(ValueError):
+        grid.require_aligned(t.where("id = 1"), t)
+
+
 def test_names(spark):
     s = F.lit("HLS.S30.T36RUU.2023213T082611.v2.0")
     assert col(spark, names.scene_date(s)) == dt.date(2023, 8, 1)

@@ -52,3 +52,7 @@ e as materialized (select a, b from (select p.doc_id a, q.doc_id b, count(*) i f
 r as (select a, b from e union select r.a, e.b from r join e on r.b = e.a)
 select w.doc_id, cast(coalesce(n.n, 0) as bigint) n_shingles, least(w.doc_id, m) component_id, least(w.doc_id, m) = w.doc_id kept
  from w left join n using (doc_id) left join (select a, min(b) m from r group by 1) k on k.a = w.doc_id"""
+
+OP13 = r"""
+with d as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') t from documents)
+select doc_id, min(doc_id) over w keep_id, cast(count(*) over w as bigint) group_size, doc_id = min(doc_id) over w kept, sha256(t) text_sha256 from d window w as (partition by t)"""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sondeframe.llm import oracle, tokencounts
 from sondeframe.llm.ann import nearest
 from sondeframe.llm.common import table, work_path, written
+from sondeframe.llm.exactdup import exact_duplicates
 from sondeframe.llm.idfile import round_trip
 from sondeframe.llm.neardup import near_duplicates
 from sondeframe.llm.packing import pack
@@ -76,6 +77,10 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"), public_path("piece_bpe_32k.model"), with_ids=False)
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_nearest_neighbours": op3_nearest_neighbours,
@@ -87,9 +92,11 @@ QUERIES = {
     "op4_url_filters": op4_url_filters,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_quality_rules": op9_quality_rules,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 ORACLE: dict[str, str] = {
     "op8_minhash_near_dedup": oracle.OP8,
     "op9_quality_rules": oracle.OP9,
     "op10_warc_archives": oracle.OP10,
+    "op13_exact_dedup": oracle.OP13,
 }

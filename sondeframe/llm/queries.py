@@ -12,6 +12,7 @@ from sondeframe.llm.exactdup import exact_duplicates
 from sondeframe.llm.idfile import round_trip
 from sondeframe.llm.neardup import near_duplicates
 from sondeframe.llm.packing import pack
+from sondeframe.llm.periodruns import periodic_runs
 from sondeframe.llm.quality import quality
 from sondeframe.llm.spviterbi import encoded
 from sondeframe.llm.tokens import public_path
@@ -81,6 +82,38 @@ def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def _with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: by a checksum of its id, a tenth of the texts repeat some of their words to the end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    split = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")
+    docs = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, split).alias("words")).withColumn("n", F.size("words"))
+    docs = docs.withColumn("g", F.floor(F.col("h") / 10)).withColumn("a", F.when(F.col("n") > 0, (F.col("g") % F.col("n")).cast("int")))
+    docs = docs.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    repeat = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")))
+    words = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(repeat, F.lit(1), F.col("n") - F.col("a")))
+    return docs.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(words, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _with_planted_periods(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs(docs, least=24, times=3)
+
+    def larger(x, y):
+        """Greater length / period first (as a fraction), then smaller start and period."""
+        first = x["length"] * y["period"] - y["length"] * x["period"]
+        return F.when(first != 0, -F.signum(first)).when(x["start"] != y["start"], F.signum(x["start"] - y["start"])).otherwise(F.signum(x["period"] - y["period"])).cast("int")
+
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    lines = F.concat_ws("", F.transform(line, lambda x: F.concat(x, F.lit("\n"))))
+    top = F.get(F.array_sort("runs", larger), F.lit(0))
+    found = found.select("id", "collapsed", F.size("runs").cast("long").alias("n_runs"), top.alias("top"), lines.alias("lines"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_runs", "top.start", "top.length", "top.period",
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"), F.sha2(F.col("lines").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_nearest_neighbours": op3_nearest_neighbours,
@@ -92,6 +125,7 @@ QUERIES = {
     "op4_url_filters": op4_url_filters,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_quality_rules": op9_quality_rules,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_exact_dedup": op13_exact_dedup,
 }
 ORACLE: dict[str, str] = {

@@ -56,3 +56,11 @@ select w.doc_id, cast(coalesce(n.n, 0) as bigint) n_shingles, least(w.doc_id, m)
 OP13 = r"""
 with d as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') t from documents)
 select doc_id, min(doc_id) over w keep_id, cast(count(*) over w as bigint) group_size, doc_id = min(doc_id) over w kept, sha256(t) text_sha256 from d window w as (partition by t)"""
+
+OP11 = """
+with e as materialized (select vec_id id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end l, list_transform(embedding, lambda x: floor(256 * cast(x as double))) v from embeddings
+ where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as materialized (select a.id a, b.id b, a.l = b.l same, cast(list_dot_product(a.v, b.v) as bigint) x from e a join e b on a.id % 50 = 0 and a.id <> b.id),
+p as (select a, b, x from (select *, row_number() over (partition by a order by x desc, b) n from s where same) where n <= 5),
+r as (select p.a, p.b pos, s.b neg, p.x px, s.x nx, row_number() over (partition by p.a, p.b order by s.x desc, s.b) n from p join s on s.a = p.a and not s.same and 50 * p.x <= 100 * s.x and 100 * s.x <= 95 * p.x)
+select a anchor_id, pos positive_id, cast(n as int) "rank", neg negative_id, px positive_score, nx negative_score from r where n <= 3"""

@@ -18,6 +18,7 @@ from sondeframe.llm.spviterbi import encoded
 from sondeframe.llm.tokens import public_path
 from sondeframe.llm.toxicity import toxicity
 from sondeframe.llm.urlfilter import judge_urls
+from sondeframe.llm.vafile import hard_negatives
 from sondeframe.llm.warczip import archive_round_trip
 
 
@@ -114,6 +115,14 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").where("label is not null and embedding is not null")
+    rows = rows.where(F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select("vec_id", label.alias("label"), F.transform("embedding", lambda x: F.floor(256 * x.cast("double"))).alias("vector"))
+    return hard_negatives(rows, F.col("vec_id") % 50 == 0, positives=5, negatives=3, low=50, high=95)
+
+
 QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_nearest_neighbours": op3_nearest_neighbours,
@@ -125,6 +134,7 @@ QUERIES = {
     "op4_url_filters": op4_url_filters,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_quality_rules": op9_quality_rules,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_exact_dedup": op13_exact_dedup,
 }
@@ -132,5 +142,6 @@ ORACLE: dict[str, str] = {
     "op8_minhash_near_dedup": oracle.OP8,
     "op9_quality_rules": oracle.OP9,
     "op10_warc_archives": oracle.OP10,
+    "op11_hard_negatives": oracle.OP11,
     "op13_exact_dedup": oracle.OP13,
 }

@@ -3,9 +3,9 @@
 Plan
   1. One pass over the texts writes, for each document, its set size, a 128-bit
      fingerprint of its whole shingle set and one hash for each band.
-  2. Equal sets collapse to their smallest id (partial minimum, so thousands of
-     copies cost one row), and only these representatives go on.
-  3. Representatives sharing a band bucket are candidates.  Buckets of at most
+  2. Equal sets collapse to one class, a node (partial minimum, so thousands of
+     copies cost one row), and only these nodes go on.
+  3. Nodes sharing a band bucket are candidates.  Buckets of at most
      ``SMALL_BUCKET`` give their pairs.  A larger bucket gives a star from its
      smallest member only; members that the star leaves in different components
      go through an exact prefix join (below), never through all pairs.
@@ -17,8 +17,8 @@ few partners, and no link is lost (``_prefix_pairs``).
 
 Edge cases: null or empty texts have no set, link with nothing and are kept; rows
 with a null id are passed through with a null component and kept; repeated rows
-are equal sets of one id; rows sharing an id but not a text are one node for
-links.  Extra columns do not matter: only the id and text columns are read.
+are equal sets of one id; rows sharing an id but not a text are nodes of their own,
+linked with each other, in whatever order they come.  Extra columns do not matter: only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -31,12 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sondeframe.llm.common import limited_broadcast, written
+from sondeframe.llm.common import by_bytes, limited_broadcast, written
 from sondeframe.llm.components import connected_components
 from sondeframe.llm.shingles import U64, distinct_sets, mix64
 from sondeframe.llm.superminhash import band_hashes, signatures
 
 SMALL_BUCKET = 16
+#: Parts in which the partners of one node are checked when their number is not known beforehand.
+SALTS = 64
 #: Candidate ids up to this count (8 bytes each) are broadcast when texts are fetched; beyond it, a shuffle join.
 BROADCAST_IDS = 500_000
 
@@ -70,47 +72,48 @@ def sketch(docs: DataFrame, shingle: int, bands: int, rows: int, id_col: str = "
     return source.mapInArrow(run, "id long, n_shingles long, fp1 long, fp2 long, bands array<long>")
 
 
-class _Sets:
-    """Shingle sets of the texts of a batch, keeping the last star centres."""
+def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
+    """Pairs ``(a, b, salt)`` whose full sets have den * |a & b| >= num * |a | b|, as ``(u, v)``.
 
-    def __init__(self, shingle: int) -> None:
-        self.shingle, self.kept = shingle, {}
+    The text of ``a`` is sent once for each salt, ahead of its partners of that salt, so a
+    node of thousands of partners is spread over tasks and no pair carries two texts.
+    """
 
-    def of(self, ids: list[int], texts: pa.Array) -> dict[int, np.ndarray]:
-        new = {x: i for i, x in enumerate(ids) if x not in self.kept}
-        out = {x: self.kept[x] for x in ids if x in self.kept}
-        if new:
-            keys = list(new)
-            for row, elements, offsets in distinct_sets(texts.take(pa.array(list(new.values()))), self.shingle):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centre = np.zeros(0, U64)
+        for batch in by_bytes(batches, 2):
+            a, b = batch.column(0), batch.column(1)
+            partner, good = b.is_valid().to_numpy(zero_copy_only=False), np.zeros(batch.num_rows, bool)
+            for row, elements, offsets in distinct_sets(batch.column(2), shingle):
                 for i in range(len(offsets) - 1):
-                    out[keys[row + i]] = elements[offsets[i] : offsets[i + 1]]
-        self.kept = {x: out[x] for x in ids[-2:]}
-        return out
+                    own = elements[offsets[i] : offsets[i + 1]]
+                    if not partner[row + i]:
+                        centre = own.copy()
+                        continue
+                    p, q = len(centre), len(own)
+                    if p and q and den * min(p, q) >= num * max(p, q):
+                        both = p + q - len(np.union1d(centre, own))
+                        good[row + i] = den * both >= num * (p + q - both)
+            yield pa.RecordBatch.from_arrays([a.filter(pa.array(good)), b.filter(pa.array(good))], ["u", "v"])
+
+    partners = pairs.join(texts.withColumnRenamed("node", "b"), "b").select("a", "salt", "b", "text")
+    centres = pairs.select("a", "salt").distinct().join(texts.withColumnRenamed("node", "a"), "a").select("a", "salt", F.lit(None).cast("long").alias("b"), "text")
+    both = centres.unionByName(partners).repartition("a", "salt").sortWithinPartitions("a", "salt", F.asc_nulls_first("b"))
+    return both.select("a", "b", "text").mapInArrow(run, "u long, v long")
 
 
-def _verified(pairs: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
-    """Pairs ``(a, b, ta, tb)`` whose full sets have den * |a & b| >= num * |a | b|."""
+def _told(rows: DataFrame, shingle: int) -> DataFrame:
+    """``(id, text, n_shingles, fp1, fp2)`` of ``rows(id, text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left, right = _Sets(shingle), _Sets(shingle)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                a, b = part.column(0).to_pylist(), part.column(1).to_pylist()
-                sa, sb = left.of(a, part.column(2)), right.of(b, part.column(3))
-                good = []
-                for x, y in zip(a, b, strict=True):
-                    p, q = sa[x], sb[y]
-                    if len(p) == 0 or len(q) == 0 or den * min(len(p), len(q)) < num * max(len(p), len(q)):
-                        good.append(False)
-                        continue
-                    both = len(p) + len(q) - len(np.union1d(p, q))
-                    good.append(den * both >= num * (len(p) + len(q) - both))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).filter(pa.array(good)), part.column(1).filter(pa.array(good))], ["u", "v"]
-                )
+            for row, elements, offsets in distinct_sets(batch.column(1), shingle):
+                n = len(offsets) - 1
+                fp1, fp2 = _fingerprints(elements, offsets)
+                columns = [*(c.slice(row, n) for c in batch.columns), pa.array(np.diff(offsets), pa.int64()), pa.array(fp1), pa.array(fp2)]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "text", "n_shingles", "fp1", "fp2"])
 
-    return pairs.select("a", "b", "ta", "tb").mapInArrow(run, "u long, v long")
+    return rows.select("id", "text").mapInArrow(run, "id long, text string, n_shingles long, fp1 long, fp2 long")
 
 
 def _elements(docs: DataFrame, shingle: int) -> DataFrame:
@@ -137,7 +140,7 @@ def _prefix_pairs(open_: DataFrame, texts: DataFrame, shingle: int, num: int, de
     n - ceil(2 t / (1 + t) n) + 1 elements, and what follows it must still suffice.
     Elements held by one document only count as positions and never join.
     """
-    found = _elements(open_.join(texts.withColumnRenamed("id", "x"), "x"), shingle)
+    found = _elements(open_.join(texts.withColumnRenamed("node", "x"), "x"), shingle)
     found = written(found.distinct().join(open_, "x"), "elements")
     held = found.groupBy("token").agg(F.count("*").alias("df"), F.min("component").alias("lo"), F.max("component").alias("hi"))
     shared = found.join(held.where("df > 1"), "token")
@@ -156,12 +159,6 @@ def _prefix_pairs(open_: DataFrame, texts: DataFrame, shingle: int, num: int, de
     return one.join(two, "token").where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    a = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
-    b = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(b, "b").join(a, "a")
-
-
 def near_duplicates(
     docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100, bands: int = 32, rows: int = 5,
     id_col: str = "doc_id", text_col: str = "text",
@@ -174,39 +171,60 @@ def near_duplicates(
     """
     sketches = written(sketch(docs, shingle, bands, rows, id_col, text_col), "sketch")
     held = sketches.where("n_shingles > 0 and id is not null")
-    classes = held.groupBy("fp1", "fp2", "n_shingles").agg(F.min("id").alias("rep"))
-    classes = written(classes, "classes")
     key = ["fp1", "fp2", "n_shingles"]
+    classes = held.groupBy(*key).agg(F.min("id").alias("rep")).withColumn("node", F.monotonically_increasing_id())
+    classes = written(classes, "classes")  # from here on a node's number is fixed
     firsts = held.join(classes, key).where("id = rep")
-    slots = firsts.select("rep", F.posexplode("bands").alias("band", "hash")).distinct()
-    stats = slots.groupBy("band", "hash").agg(F.count("*").alias("n"), F.min("rep").alias("c")).where("n > 1")
+    slots = firsts.select("node", F.posexplode("bands").alias("band", "hash")).distinct()
+    stats = slots.groupBy("band", "hash").agg(F.count("*").alias("n"), F.min("node").alias("c")).where("n > 1")
     buckets = written(slots.join(stats, ["band", "hash"]), "buckets")
 
     small = buckets.where(F.col("n") <= SMALL_BUCKET)
-    small = small.groupBy("band", "hash").agg(F.sort_array(F.collect_list("rep")).alias("m"))  # at most SMALL_BUCKET each
-    small = small.select(F.explode("m").alias("a"), "m").select("a", F.explode("m").alias("b")).where("a < b")
-    stars = buckets.where((F.col("n") > SMALL_BUCKET) & (F.col("rep") != F.col("c"))).select(F.col("c").alias("a"), F.col("rep").alias("b"))
-    pairs = written(small.unionByName(stars).distinct(), "pairs")
-
-    wanted = written(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "wanted")
+    small = small.groupBy("band", "hash").agg(F.sort_array(F.collect_list("node")).alias("m"))  # at most SMALL_BUCKET each
+    small = small.select(F.explode("m").alias("a"), "m").select("a", F.explode("m").alias("b"), F.lit(0).cast("long").alias("salt")).where("a < b")
+    away = (F.col("n") > SMALL_BUCKET) & (F.col("node") != F.col("c"))
+    salt = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / SMALL_BUCKET))
+    stars = buckets.where(away).select(F.col("c").alias("a"), F.col("node").alias("b"), salt.alias("salt"))
+    pairs = written(small.unionByName(stars).groupBy("a", "b").agg(F.max("salt").alias("salt")), "pairs")
+
+    # Ids that hold several texts: their classes belong together, and a text of theirs is told by its fingerprint.
+    one = F.struct(*key)
+    several = written(held.groupBy("id").agg(F.min(one).alias("lo"), F.max(one).alias("hi")).where("lo <> hi").select("id"), "several")
+    shared = not several.isEmpty()
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = written(wanted.join(classes, "node").withColumnRenamed("rep", "id"), "wanted")
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    texts = written(source.join(limited_broadcast(wanted, BROADCAST_IDS), "id"), "texts")
-    links = written(_verified(_with_texts(pairs, texts), shingle, num, den), "links")
+    found = source.join(limited_broadcast(wanted.select("id").distinct(), BROADCAST_IDS), "id")
+    single = found.join(several, "id", "left_anti").dropDuplicates(["id"]) if shared else found.dropDuplicates(["id"])
+    texts = single.join(wanted.select("id", "node"), "id").select("node", "text")
+    if shared:
+        told = _told(found.join(several, "id", "left_semi"), shingle).join(wanted, ["id", *key]).dropDuplicates(["node"])
+        texts = texts.unionByName(told.select("node", "text"))
+    texts = written(texts, "texts")
+    links = _verified(pairs, texts, shingle, num, den)
+    if shared:
+        of = held.join(several, "id", "left_semi").select("id", *key).distinct().join(classes, key).select("id", "node")
+        links = links.unionByName(of.join(of.groupBy("id").agg(F.min("node").alias("u")), "id").select("u", F.col("node").alias("v")).where("u <> v"))
+    links = written(links, "links")
     members = connected_components(links)
 
     # What the stars of large buckets left apart.
-    large = buckets.where((F.col("n") > SMALL_BUCKET) & (F.col("rep") != F.col("c"))).select("band", "hash", "c", F.col("rep").alias("x"))
+    large = buckets.where(away).select("band", "hash", "c", F.col("node").alias("x"))
     large = large.join(members.withColumnRenamed("node", "x"), "x", "left").withColumn("component", F.coalesce("component", "x"))
     apart = large.groupBy("c").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
     open_ = written(large.join(apart, "c").select("x", "component").distinct(), "open")
     if not open_.isEmpty():
-        more = written(_prefix_pairs(open_, texts, shingle, num, den).join(pairs, ["a", "b"], "left_anti"), "pairs")
-        found = written(_verified(_with_texts(more, texts), shingle, num, den), "links")
-        if not found.isEmpty():
-            members = connected_components(links.unionByName(found))
-
-    labelled = classes.join(members.withColumnRenamed("node", "rep"), "rep", "left")
-    labelled = labelled.select(*key, F.coalesce("component", "rep").alias("component_id"))
+        more = _prefix_pairs(open_, texts, shingle, num, den).join(pairs, ["a", "b"], "left_anti")
+        more = written(more.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS))), "pairs")
+        added = written(_verified(more, texts, shingle, num, den), "links")
+        if not added.isEmpty():
+            members = connected_components(links.unionByName(added))
+
+    # A component is named by the smallest id of its classes.
+    named = written(members.join(classes.select("node", "rep"), "node"), "members")
+    roots = named.groupBy("component").agg(F.min("rep").alias("root"))
+    labelled = classes.join(named.join(roots, "component").select("node", "root"), "node", "left")
+    labelled = labelled.select(*key, F.coalesce("root", "rep").alias("component_id"))
     rest = sketches.where("n_shingles = 0 or id is null").select("id", "n_shingles", F.col("id").alias("component_id"))
     out = held.join(labelled, key).select("id", "n_shingles", "component_id").unionByName(rest)
     return out.withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))

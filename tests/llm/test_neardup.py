@@ -79,3 +79,25 @@ def test_components_of_a_chain(spark, n):
     df = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(100, 101)], "u long, v long")
     got = {r.node: r.component for r in connected_components(df).collect()}
     assert got == {**{i: 0 for i in range(n + 1)}, 100: 100, 101: 100}
+
+
+def test_rows_that_share_an_id_link_in_any_order(spark):
+    """Document 2 holds a near copy of 1, another text and a copy of 3; the order of rows plays no part."""
+    base, other, third = ([f"{c}{i}" for i in range(100)] for c in "abc")
+    rows = [(1, " ".join(base)), (2, " ".join([*base[:50], "x", *base[51:]])), (2, " ".join(other)), (2, " ".join(third)), (3, " ".join(third)), (4, " ".join([*other[:30], "y", *other[31:]])), (5, "far from all of these words")]
+    for order in (rows, rows[::-1], rows[3:] + rows[:3], sorted(rows, key=lambda r: r[1])):
+        for parts in (1, 4):
+            got = near_duplicates(spark.createDataFrame(order, "doc_id long, text string").repartition(parts), 3, 85, 100, 25, 5).collect()
+            assert sorted((r.id, r.component_id, r.kept) for r in got) == [(1, 1, True), *[(2, 1, False)] * 3, (3, 1, False), (4, 1, False), (5, 5, True)]
+
+
+def test_a_star_is_checked_in_parts(spark):
+    """A node of many partners meets them under several keys, and its text is not sent with each of them."""
+    from sondeframe.llm import neardup
+
+    base = [f"b{i}" for i in range(60)]
+    texts = spark.createDataFrame([(i, " ".join([*base, f"e{i}"])) for i in range(200)], "node long, text string")
+    pairs = spark.range(1, 200).selectExpr("0L as a", "id as b", "id % 13 as salt")
+    plan = neardup._verified(pairs, texts, 3, 85, 100)
+    assert sorted(tuple(r) for r in plan.collect()) == [(0, i) for i in range(1, 200)]
+    assert "hashpartitioning(a" in (text := plan._jdf.queryExecution().executedPlan().toString()) and "salt" in text.split("hashpartitioning(a")[-1][:60]

@@ -38,7 +38,8 @@ from pyspark.sql import functions as F
 
 from sondeframe.llm.common import written
 
-BITS = 6
+#: A code is one byte whatever the number; more cells leave fewer rows open.
+BITS = 8
 FIT_ROWS = 20_000
 BLOCK_ROWS = 2048
 ANCHOR_ROWS = 256

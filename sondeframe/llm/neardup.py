@@ -175,9 +175,10 @@ def near_duplicates(
     classes = held.groupBy(*key).agg(F.min("id").alias("rep")).withColumn("node", F.monotonically_increasing_id())
     classes = written(classes, "classes")  # from here on a node's number is fixed
     firsts = held.join(classes, key).where("id = rep")
-    slots = firsts.select("node", F.posexplode("bands").alias("band", "hash")).distinct()
-    stats = slots.groupBy("band", "hash").agg(F.count("*").alias("n"), F.min("node").alias("c")).where("n > 1")
-    buckets = written(slots.join(stats, ["band", "hash"]), "buckets")
+    slots = firsts.select("node", "rep", F.posexplode("bands").alias("band", "hash")).distinct()
+    # A bucket's centre is its member of smallest id: copies mostly come after what they copy.
+    stats = slots.groupBy("band", "hash").agg(F.count("*").alias("n"), F.min(F.struct("rep", "node")).alias("c")).where("n > 1")
+    buckets = written(slots.join(stats.withColumn("c", F.col("c.node")), ["band", "hash"]).drop("rep"), "buckets")
 
     small = buckets.where(F.col("n") <= SMALL_BUCKET)
     small = small.groupBy("band", "hash").agg(F.sort_array(F.collect_list("node")).alias("m"))  # at most SMALL_BUCKET each

@@ -28,8 +28,8 @@ def zone_of(lon: Column) -> Column:
     return (F.floor((lon + 180) / 6) + 1).cast("int")
 
 
-def _centre(zone: Column) -> Column:
-    return F.radians(zone * 6.0 - 183.0)
+def _centre(zone, m=F):
+    return m.radians(zone * 6.0 - 183.0)
 
 
 def forward(lon: Column, lat: Column, zone: Column) -> tuple[Column, Column]:
@@ -42,15 +42,15 @@ def forward(lon: Column, lat: Column, zone: Column) -> tuple[Column, Column]:
     return FALSE_E + K0 * RECT * east, F.when(lat < 0, FALSE_N).otherwise(0.0) + K0 * RECT * north
 
 
-def inverse(east: Column, north: Column, zone: Column, south: bool = False) -> tuple[Column, Column]:
-    """Longitude and latitude."""
+def inverse(east, north, zone, south: bool = False, m=F):
+    """Longitude and latitude: of columns, or of numbers and arrays with ``m`` as ``math`` or ``numpy``."""
     xi = (north - (FALSE_N if south else 0.0)) / (K0 * RECT)
     eta = (east - FALSE_E) / (K0 * RECT)
-    xi1 = xi - sum(b * F.sin(2 * j * xi) * F.cosh(2 * j * eta) for j, b in enumerate(BETA, 1))
-    eta1 = eta - sum(b * F.cos(2 * j * xi) * F.sinh(2 * j * eta) for j, b in enumerate(BETA, 1))
-    chi = F.asin(F.sin(xi1) / F.cosh(eta1))
-    lat = chi + sum(d * F.sin(2 * j * chi) for j, d in enumerate(DELTA, 1))
-    return F.degrees(_centre(zone) + F.atan2(F.sinh(eta1), F.cos(xi1))), F.degrees(lat)
+    xi1 = xi - sum(b * m.sin(2 * j * xi) * m.cosh(2 * j * eta) for j, b in enumerate(BETA, 1))
+    eta1 = eta - sum(b * m.cos(2 * j * xi) * m.sinh(2 * j * eta) for j, b in enumerate(BETA, 1))
+    chi = m.asin(m.sin(xi1) / m.cosh(eta1))
+    lat = chi + sum(d * m.sin(2 * j * chi) for j, d in enumerate(DELTA, 1))
+    return m.degrees(_centre(zone, m) + m.atan2(m.sinh(eta1), m.cos(xi1))), m.degrees(lat)
 
 
 def mgrs_square(lon: Column, lat: Column) -> Column:

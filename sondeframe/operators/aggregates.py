@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sondeframe import config as C
@@ -40,8 +41,27 @@ def daily_channels(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
     )
 
 
+def moments(value: Column) -> list[Column]:
+    """A mergeable state: how many, their mean, and the sum of squared deviations from it."""
+    n = F.count(value)
+    return [n.alias("n"), F.avg(value).alias("mean"), (F.var_pop(value) * n).alias("m2")]
+
+
 def doy_moments(df: DataFrame, keys: list[str], doy: Column, value: Column) -> DataFrame:
-    return df.groupBy(*keys, doy.alias("doy")).agg(F.sum(value).alias("s1"), F.sum(value * value).alias("s2"), F.count(value).alias("n"))
+    return df.groupBy(*keys, doy.alias("doy")).agg(*moments(value))
+
+
+def merge_moments(states: DataFrame, keys: list[str]) -> DataFrame:
+    """``(keys, n, mean, m2)`` of all values behind some states of each key.
+
+    Means are taken relative to one of their own group, so values far from zero lose no
+    digits; that mean and the sums need one shuffle by the keys.
+    """
+    centre = F.max("mean").over(W.partitionBy(*keys))
+    d = F.col("mean") - F.col("_c")
+    sums = states.where("n > 0").withColumn("_c", centre).groupBy(*keys).agg(
+        F.sum("n").alias("n"), F.max("_c").alias("_c"), F.sum(F.col("n") * d).alias("_s"), F.sum(F.col("m2") + F.col("n") * d * d).alias("_q"))
+    return sums.select(*keys, "n", (F.col("_c") + F.col("_s") / F.col("n")).alias("mean"), F.greatest(F.col("_q") - F.col("_s") * F.col("_s") / F.col("n"), F.lit(0.0)).alias("m2"))
 
 
 def monthly_sum(df: DataFrame, keys: list[str], value: Column, missing_as_zero: bool = False) -> DataFrame:

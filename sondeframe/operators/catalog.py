@@ -36,7 +36,7 @@ def window_of(day: Column, starts: Column, days: int = 16) -> Column:
 
 def one_per_window(items: DataFrame, starts: DataFrame, hrefs: Column, days: int = 16) -> DataFrame:
     """Clearest item a window (missing cloud 100); a winner without all bands drops its window."""
-    held = starts.agg(F.sort_array(F.collect_set("start")).alias("_starts"))  # the dates of some years
+    held = starts.agg(F.sort_array(F.collect_set("start")).alias("_starts"))  # one row: the dates of some years
     df = items.join(F.broadcast(held)).withColumn("window", window_of(F.col("day"), F.col("_starts"), days)).drop("_starts")
     best = first_of(df.where("window is not null"), ["window"], [F.coalesce("cloud", F.lit(100.0)), F.col("day"), F.col("id")])
     return best.withColumn("hrefs", hrefs).where("hrefs is not null")

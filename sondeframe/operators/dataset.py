@@ -11,7 +11,6 @@ from sondeframe import config as C
 from sondeframe.functions.sampling import keep_by_class
 from sondeframe.operators.aggregates import patch_class
 from sondeframe.operators.joins import pairs_within
-from sondeframe.operators.splits import temporal_split
 from sondeframe.operators.windows import trailing_days
 
 
@@ -78,12 +77,6 @@ def spatial_leaks(index: DataFrame, near: str = "test", far: str = "train", km:
     return pairs_within(points.where(F.col("split") == near), points.where(F.col("split") == far), km)
 
 
-def temporal_leaks(index: DataFrame) -> DataFrame:
-    """Dates in more than one of train and test."""
-    df = index.select("day", temporal_split(F.year("day")).alias("part")).where("part in ('train', 'test')")
-    return df.groupBy("day").agg(F.count_distinct("part").alias("parts")).where("parts > 1")
-
-
 def dates_in_both(index: DataFrame, near: str = "test", far: str = "train") -> DataFrame:
     """Dates that samples of two splits share."""
     df = index.where(F.col("split").isin(near, far)).groupBy("day").agg(F.count_distinct("split").alias("parts"), F.count("*").alias("n"))

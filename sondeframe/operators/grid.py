@@ -39,11 +39,12 @@ def patch_quality(pixels: DataFrame, keys: list[str], min_valid: float = 0.5, pa
     return out.where(F.col("valid_pct") >= min_valid)
 
 
-def patch_origins(spark: SparkSession, height: int, width: int, patch: int = C.PATCH) -> DataFrame:
-    """Row-major from the north; remainders are dropped."""
-    n = (height // patch) * (width // patch)
-    across = max(width // patch, 1)
-    return spark.range(n).select((F.floor(F.col("id") / across)).cast("int").alias("row"), (F.col("id") % across).cast("int").alias("col"))
+def patch_origins(sizes: DataFrame, patch: int = C.PATCH) -> DataFrame:
+    """``(id, row, col)`` of the whole patches of each raster ``(id, height, width)``, row by row from the north; remainders are dropped."""
+    rows, cols = F.floor(F.col("height") / patch), F.floor(F.col("width") / patch)
+    fits = sizes.select("id", rows.alias("_r"), cols.alias("_c")).where("_r > 0 and _c > 0")
+    each = fits.select("id", "_c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_r") * F.col("_c") - 1)).alias("k"))
+    return each.select("id", F.floor(F.col("k") / F.col("_c")).cast("int").alias("row"), (F.col("k") % F.col("_c")).cast("int").alias("col"))
 
 
 def box_cells(boxes: DataFrame, n: int = 16) -> DataFrame:
@@ -55,41 +56,24 @@ def box_cells(boxes: DataFrame, n: int = 16) -> DataFrame:
                     (F.col("w") + (F.col("col") + 1) * dx).alias("ce"), (F.col("s") + (F.col("row") + 1) * dy).alias("cn"))
 
 
-def whole_cells(spark: SparkSession, box, size: int = 1) -> DataFrame:
-    """Cells that lie wholly in a box."""
-    from math import ceil, floor
+def whole_cells(boxes: DataFrame, size: int = 1) -> DataFrame:
+    """``(id, cell_lon, cell_lat)``: cells that lie wholly in each box ``(id, w, s, e, n)``."""
 
-    w, s, e, n = box
-    lons = F.explode(F.sequence(F.lit(ceil(w / size) * size), F.lit(floor(e / size) * size - size), F.lit(size))).alias("cell_lon")
-    lats = F.explode(F.sequence(F.lit(ceil(s / size) * size), F.lit(floor(n / size) * size - size), F.lit(size))).alias("cell_lat")
-    return spark.range(1).select(lons).select("cell_lon", lats)
+    def span(low: str, high: str) -> Column:
+        a, b = F.ceil(F.col(low) / size) * size, F.floor(F.col(high) / size) * size - size
+        return F.explode(F.when(a <= b, F.sequence(a, b, F.lit(size).cast("long"))).otherwise(F.array().cast("array<bigint>")))
 
+    lons = boxes.select("id", "s", "n", span("w", "e").alias("x"))
+    return lons.select("id", "x", span("s", "n").alias("y")).select("id", F.col("x").cast("int").alias("cell_lon"), F.col("y").cast("int").alias("cell_lat"))
 
-def utm_template(centres: DataFrame, size: int = C.PATCH, res: float = 30.0) -> DataFrame:
-    """Pixel centres of a north-up square around each ``(id, lon, lat)``: easting, northing and their lon, lat."""
-    zone = utm.zone_of(F.col("lon"))
-    e, n = utm.forward(F.col("lon"), F.col("lat"), zone)
-    k = F.explode(F.sequence(F.lit(0), F.lit(size * size - 1))).alias("k")
-    p = centres.select("id", zone.alias("zone"), e.alias("e0"), n.alias("n0"), k)
-    y, x = F.floor(F.col("k") / size).cast("int"), (F.col("k") % size).cast("int")
-    p = p.select("id", "zone", y.alias("y"), x.alias("x"), (F.col("e0") + (x - (size - 1) / 2) * res).alias("east"), (F.col("n0") - (y - (size - 1) / 2) * res).alias("north"))
-    lon, lat = utm.inverse(F.col("east"), F.col("north"), F.col("zone"))
-    return p.withColumn("lon", lon).withColumn("lat", lat)
 
-
-def nearest_label(pixels: DataFrame, labels: DataFrame, lat0: float, dlat: float, n_lat: int, lon0: float, dlon: float, n_lon: int) -> DataFrame:
-    """Nearest label ``(lat_i, lon_i, cls)`` of each pixel; 255 outside the source."""
-    iy, ix = F.bround((F.col("lat") - lat0) / dlat).cast("int"), F.bround((F.col("lon") - lon0) / dlon).cast("int")
-    return pixels.withColumn("lat_i", iy).withColumn("lon_i", ix).join(labels, ["lat_i", "lon_i"], "left").withColumn("cls", F.coalesce("cls", F.lit(C.NODATA)))
-
-
-def squares_in_box(spark: SparkSession, box, step: float = 0.05, buffer: float = 0.1) -> DataFrame:
-    """100 km squares met by a lattice over a buffered box, each with the box of its own corners."""
-    w, s, e, n = box[0] - buffer, box[1] - buffer, box[2] + buffer, box[3] + buffer
-    nx, ny = int((e - w) / step + 1e-6) + 1, int((n - s) / step + 1e-6) + 1
-    points = spark.range(nx * ny).select((w + (F.col("id") % nx) * step).alias("lon"), (s + F.floor(F.col("id") / nx) * step).alias("lat"))
-    tiles = points.select(utm.mgrs_square(F.col("lon"), F.col("lat")).alias("tile")).distinct()
-    return square_boxes(tiles)
+def squares_in_boxes(boxes: DataFrame, step: float = 0.05, buffer: float = 0.1) -> DataFrame:
+    """``(id, tile, w, s, e, n)``: 100 km squares met by a lattice over each buffered box ``(id, w, s, e, n)``, with the box of their own corners."""
+    axis = lambda a, b: F.sequence(F.lit(0).cast("long"), F.floor((F.col(b) - F.col(a) + 2 * buffer) / step + 1e-6))
+    x = boxes.select("id", "w", "s", "n", F.explode(axis("w", "e")).alias("i")).select("id", (F.col("w") - buffer + F.col("i") * step).alias("lon"), "s", "n")
+    points = x.select("id", "lon", "s", F.explode(axis("s", "n")).alias("j")).select("id", "lon", (F.col("s") - buffer + F.col("j") * step).alias("lat"))
+    met = points.select("id", utm.mgrs_square(F.col("lon"), F.col("lat")).alias("tile")).distinct()
+    return met.join(square_boxes(met.select("tile").distinct()), "tile").select("id", "tile", "w", "s", "e", "n")
 
 
 def square_boxes(tiles: DataFrame) -> DataFrame:

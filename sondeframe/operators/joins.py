@@ -10,49 +10,88 @@ from sondeframe import config as C
 from sondeframe.functions import geo
 
 
-def as_of(left: DataFrame, right: DataFrame, keys: list[str], on: str, out: str) -> DataFrame:
+#: Rows up to which a table whose size is not fixed is broadcast.
+BROADCAST_ROWS = 500_000
+#: Days in a bucket of the as-of joins.
+BUCKET_DAYS = 64
+
+
+def sized(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast only when the counted rows are within ``most``; beyond, Spark shuffles both sides."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def _bucket(at: Column, days: int) -> Column:
+    return F.floor(F.unix_date(at.cast("date")) / days)
+
+
+def _with_carried(marks: DataFrame, wanted: DataFrame, keys: list[str], days: int) -> DataFrame:
+    """``(keys, _bucket, _at, _mark, _side, _before, _after)``: marks (side 0) and wanted times (side 1) by bucket of days.
+
+    ``_before`` is the last mark of all earlier buckets and ``_after`` the first of all
+    later ones, carried over by a window with one row a bucket.  So no task holds
+    more of a key than one bucket and one row for each other bucket.
+    """
+    both = marks.select(*keys, "_at", "_mark", F.lit(0).alias("_side")).unionByName(wanted.select(*keys, "_at", F.lit(None).cast(marks.schema["_mark"].dataType).alias("_mark"), F.lit(1).alias("_side")))
+    both = both.withColumn("_bucket", _bucket(F.col("_at"), days))
+    ends = both.groupBy(*keys, "_bucket").agg(F.max_by("_mark", F.when(F.col("_side") == 0, F.struct("_at", "_mark"))).alias("_last"), F.min_by("_mark", F.when(F.col("_side") == 0, F.struct("_at", "_mark"))).alias("_first"))
+    order = W.partitionBy(*keys).orderBy("_bucket")
+    ends = ends.withColumn("_before", F.last("_last", True).over(order.rowsBetween(W.unboundedPreceding, -1)))
+    ends = ends.withColumn("_after", F.first("_first", True).over(order.rowsBetween(1, W.unboundedFollowing)))
+    names = [*keys, "_bucket"]
+    ends = ends.select(*[F.col(k).alias(f"_e{i}") for i, k in enumerate(names)], "_before", "_after")
+    same = [both[k].eqNullSafe(ends[f"_e{i}"]) for i, k in enumerate(names)]
+    return both.join(ends, same).select(*names, "_at", "_mark", "_side", "_before", "_after")
+
+
+def as_of(left: DataFrame, right: DataFrame, keys: list[str], on: str, out: str, days: int = BUCKET_DAYS) -> DataFrame:
     """The latest right value at or before the left one, else the earliest of the key.
 
-    A union and one window per key: linear in both sides, no pair is formed.
-    ``right`` holds the keys and ``on``; the match is NULL for a key without any.
+    ``right`` holds the keys and ``on`` (dates or timestamps); the match is NULL for a
+    key without any.  Only distinct (key, time) take part, in buckets of ``days``; rows get
+    their match by an equi-join.  No pair is formed, and a key of any size is split.
     """
-    marks = right.select(*keys, F.col(on).alias("_at"), F.col(on).alias("_mark"), F.lit(0).alias("_side"))
-    rows = left.select(F.struct("*").alias("_row"), *keys, F.col(on).alias("_at"), F.lit(1).alias("_side"))
-    both = rows.withColumn("_mark", F.lit(None).cast(right.schema[on].dataType)).unionByName(marks.withColumn("_row", F.lit(None).cast(rows.schema["_row"].dataType)))
-    upto = W.partitionBy(*keys).orderBy("_at", "_side").rowsBetween(W.unboundedPreceding, 0)
-    whole = W.partitionBy(*keys)
-    match = F.coalesce(F.last("_mark", True).over(upto), F.min("_mark").over(whole))
-    return both.withColumn(out, match).where("_side = 1").select("_row.*", out)
+    marks = right.where(F.col(on).isNotNull()).select(*keys, F.col(on).alias("_at"), F.col(on).alias("_mark")).distinct()
+    wanted = left.select(*keys, F.col(on).alias("_at")).distinct()
+    both = _with_carried(marks, wanted, keys, days)
+    upto = W.partitionBy(*keys, "_bucket").orderBy("_at", "_side").rowsBetween(W.unboundedPreceding, 0)
+    onward = W.partitionBy(*keys, "_bucket").orderBy(F.desc("_at"), F.desc("_side")).rowsBetween(W.unboundedPreceding, 0)
+    first = F.coalesce(F.last("_mark", True).over(onward), F.col("_after"))
+    both = both.withColumn(out, F.coalesce(F.last("_mark", True).over(upto), F.col("_before"), first)).where("_side = 1")
+    found = both.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_at").alias("_t"), out)
+    same = [left[k].eqNullSafe(found[f"_k{i}"]) for i, k in enumerate(keys)] + [left[on].eqNullSafe(found["_t"])]
+    return left.join(found, same, "left").select(*[left[c] for c in left.columns], out)
 
 
 def as_of_small(left: DataFrame, dates: DataFrame, on: str, out: str) -> DataFrame:
     """As ``as_of`` without keys, for a date list of bounded size (dates of some years): one array, searched in each row."""
-    held = dates.agg(F.sort_array(F.collect_set(on)).alias("_d"))
+    held = dates.agg(F.sort_array(F.collect_set(on)).alias("_d"))  # one row
     before = F.filter("_d", lambda d: d <= F.col(on))
     match = F.coalesce(F.array_max(before), F.array_min("_d"))
     return left.join(F.broadcast(held)).withColumn(out, match).drop("_d")
 
 
-def nearest_date(left: DataFrame, right: DataFrame, keys: list[str], day: str, path: str) -> DataFrame:
+def nearest_date(left: DataFrame, right: DataFrame, keys: list[str], day: str, path: str, days: int = BUCKET_DAYS) -> DataFrame:
     """The right row nearest in days in either direction; ties go to the smaller path.
 
-    Two as-of passes over a union, back and forth: linear in both sides, no pair is
-    formed.  A key without right rows gives no rows.
+    Two passes over buckets of ``days``, back and forth: linear in both sides, no pair is
+    formed, and a key of any size is split.  A key without right rows gives no rows.
     """
-    marks = right.groupBy(*keys, day).agg(F.min(path).alias("_path"))
-    marks = marks.select(*keys, F.col(day).alias("_day"), F.struct(F.col(day).alias("d"), F.col("_path").alias("p")).alias("_mark"), F.lit(0).alias("_side"))
-    rows = left.select(*keys, F.col(day).alias("_day"), F.lit(None).cast(marks.schema["_mark"].dataType).alias("_mark"), F.lit(1).alias("_side")).distinct()
-    back = W.partitionBy(*keys).orderBy("_day", "_side").rowsBetween(W.unboundedPreceding, 0)
-    on = W.partitionBy(*keys).orderBy(F.desc("_day"), "_side").rowsBetween(W.unboundedPreceding, 0)
-    both = rows.unionByName(marks).withColumn("_a", F.last("_mark", True).over(back)).withColumn("_b", F.last("_mark", True).over(on)).where("_side = 1")
-    gap = lambda m: F.when(F.col(m).isNotNull(), F.struct(F.abs(F.datediff("_day", F.col(m)["d"])).alias("n"), F.col(m)["p"].alias("p")))
+    marks = right.where(F.col(day).isNotNull()).groupBy(*keys, day).agg(F.min(path).alias("_path"))
+    marks = marks.select(*keys, F.col(day).alias("_at"), F.struct(F.col(day).alias("d"), F.col("_path").alias("p")).alias("_mark"))
+    both = _with_carried(marks, left.select(*keys, F.col(day).alias("_at")).distinct(), keys, days)
+    of = W.partitionBy(*keys, "_bucket")
+    back = of.orderBy("_at", "_side").rowsBetween(W.unboundedPreceding, 0)
+    on = of.orderBy(F.desc("_at"), "_side").rowsBetween(W.unboundedPreceding, 0)
+    both = both.withColumn("_a", F.coalesce(F.last("_mark", True).over(back), F.col("_before"))).withColumn("_b", F.coalesce(F.last("_mark", True).over(on), F.col("_after"))).where("_side = 1")
+    gap = lambda m: F.when(F.col(m).isNotNull(), F.struct(F.abs(F.datediff("_at", F.col(m)["d"])).alias("n"), F.col(m)["p"].alias("p")))
     near = F.least(gap("_a"), gap("_b"))
-    return both.where("_a is not null or _b is not null").select(*keys, F.col("_day").alias(day), near["p"].alias(path))
+    return both.where("_a is not null or _b is not null").select(*keys, F.col("_at").alias(day), near["p"].alias(path))
 
 
 def grid_index(value: Column, first: float, step: float, n: int) -> Column:
-    """Nearest index on a regular axis, clamped to it."""
-    return F.greatest(F.lit(0), F.least(F.lit(n - 1), F.round((value - first) / step).cast("int")))
+    """Nearest index on a regular axis (the even one of two as near), clamped to it."""
+    return F.greatest(F.lit(0), F.least(F.lit(n - 1), F.bround((value - first) / step).cast("int")))
 
 
 def boxes_to_points(boxes: DataFrame, points: DataFrame, box_id: str, cell: float = 1.0) -> DataFrame:
@@ -97,5 +136,9 @@ def require_same_months(left: DataFrame, right: DataFrame) -> None:
 
 
 def work_left(tiles: DataFrame, years: DataFrame, done: DataFrame, labelled: DataFrame) -> DataFrame:
-    """Tile-year pairs to do: a product of two short lists, less what is done or has no labels."""
-    return tiles.join(F.broadcast(years)).join(done, ["tile", "year"], "left_anti").join(labelled, "year", "left_semi")
+    """Tile-year pairs to do: each tile with each labelled year of the list, less what is done.
+
+    The years become one array (some tens), so tiles are exploded and never joined with them.
+    """
+    wanted = years.join(labelled, "year", "left_semi").agg(F.sort_array(F.collect_set("year")).alias("_years"))  # one row
+    return tiles.join(F.broadcast(wanted)).select(*tiles.columns, F.explode("_years").alias("year")).join(done, ["tile", "year"], "left_anti")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sondeframe import config as C
 from sondeframe.functions import geo
+from sondeframe.operators.joins import sized
 
 
 def assign_cells(roi: list[tuple[int, int]], ood: list[tuple[int, int]] = (), seed: int = C.SEED, ratio=C.SPLIT_RATIO) -> dict[tuple[int, int], str]:
@@ -35,14 +36,14 @@ def cells_frame(spark: SparkSession, cells: dict[tuple[int, int], str]) -> DataF
 def split_points(points: DataFrame, cells: DataFrame, buffer_km: float = C.BUFFER_KM) -> DataFrame:
     """``split`` of ``(id, lon, lat)``: the cell's, ``none`` without a cell, ``buffer`` near a different one.
 
-    ``cells`` is a short table of whole degrees and is broadcast; each point looks
+    ``cells`` is a table of whole degrees, broadcast when its counted rows allow; each point looks
     up its cell and the eight around it.
     """
     x, y = geo.cell(F.col("lon"), F.col("lat"))
     ring = F.array(*[F.struct(F.lit(a).alias("dx"), F.lit(b).alias("dy")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
     p = points.select("id", "lon", "lat", x.alias("x"), y.alias("y"), F.explode(ring).alias("o"))
     p = p.select("id", "lon", "lat", "o", (F.col("x") + F.col("o.dx")).alias("cell_lon"), (F.col("y") + F.col("o.dy")).alias("cell_lat"))
-    p = p.join(F.broadcast(cells), ["cell_lon", "cell_lat"], "left")
+    p = p.join(sized(cells, 64_800), ["cell_lon", "cell_lat"], "left")
     p = p.withColumn("km", geo.to_cell_km(F.col("lon"), F.col("lat"), F.col("cell_lon"), F.col("cell_lat")))
     own = F.max(F.when((F.col("o.dx") == 0) & (F.col("o.dy") == 0), F.col("split")))
     near = F.collect_set(F.when(F.col("km") < buffer_km, F.col("split")))  # at most nine

@@ -7,16 +7,30 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sondeframe import config as C
+from sondeframe.operators.joins import sized
 
 
-def circular_doy(moments: DataFrame, keys: list[str], window: int = C.DOY_WINDOW) -> DataFrame:
-    """Mean and deviation pooled over a centred window that wraps around the year's 366 days."""
+def circular_doy(states: DataFrame, keys: list[str], window: int = C.DOY_WINDOW) -> DataFrame:
+    """Mean and deviation pooled over a centred window that wraps around the year's 366 days.
+
+    ``states(keys, doy, n, mean, m2)`` as of ``aggregates.doy_moments``.  A year is laid out
+    once for each key with its ends repeated, and a window's sums are the difference of two running sums: some
+    400 rows a key, however wide the window.  Means count relative to the key's own, so an offset loses no digits.
+    """
     half = window // 2
-    target = F.explode(F.transform(F.sequence(F.lit(-half), F.lit(half)), lambda k: (F.pmod(F.col("doy") - 1 + k, F.lit(366)) + 1).cast("int")))
-    pooled = moments.withColumn("to", target).groupBy(*keys, F.col("to").alias("doy")).agg(F.sum("s1").alias("s1"), F.sum("s2").alias("s2"), F.sum("n").alias("n"))
-    mean = F.try_divide(F.col("s1"), F.col("n"))
-    var = F.try_divide(F.col("s2"), F.col("n")) - mean * mean
-    return pooled.select(*keys, "doy", "n", mean.alias("mean"), F.sqrt(F.when(var.isNotNull(), F.greatest(var, F.lit(0.0)))).alias("std"))
+    width = 2 * half + 1
+    line = F.explode(F.sequence(F.lit(1 - half), F.lit(366 + half))).alias("_at")
+    year = states.groupBy(*keys).agg(F.avg("mean").alias("_c")).select(*keys, "_c", line)
+    year = year.withColumn("doy", (F.pmod(F.col("_at") - 1, F.lit(366)) + 1).cast("int"))
+    d = F.col("mean") - F.col("_c")
+    full = year.join(states.where("n > 0"), [*keys, "doy"], "left")
+    parts = {"n": F.coalesce("n", F.lit(0).cast("long")), "_s": F.coalesce(F.col("n") * d, F.lit(0.0)), "_q": F.coalesce(F.col("m2") + F.col("n") * d * d, F.lit(0.0))}
+    order = W.partitionBy(*keys).orderBy("_at")
+    full = full.select(*keys, "_c", "_at", *[F.sum(v).over(order.rowsBetween(W.unboundedPreceding, 0)).alias(k) for k, v in parts.items()])
+    full = full.select(*keys, "_c", (F.col("_at") - half).alias("doy"), *[(F.col(k) - F.coalesce(F.lag(k, width).over(order), F.lit(0))).alias(k) for k in parts])
+    s, n = F.col("_s"), F.col("n")
+    var = (F.col("_q") - s * s / n) / n
+    return full.where("doy between 1 and 366 and n > 0").select(*keys, "doy", "n", (F.col("_c") + s / n).alias("mean"), F.sqrt(F.greatest(var, F.lit(0.0))).alias("std"))
 
 
 def rolling_sum(df: DataFrame, keys: list[str], order: str, value: str, size: int = 3) -> DataFrame:
@@ -41,7 +55,7 @@ def three_months(day: Column) -> Column:
 def balance_on(days: DataFrame, monthly: DataFrame, keys: list[str]) -> DataFrame:
     """Three-month balance ending in each day's month; NULL if any of the months is missing."""
     wanted = days.select("day", F.explode(three_months(F.col("day"))).alias("ym"))
-    got = F.broadcast(wanted).join(monthly.select(*keys, "ym", "wb"), "ym")
+    got = monthly.select(*keys, "ym", "wb").join(sized(wanted), "ym")
     return got.groupBy(*keys, "day").agg(F.when(F.count("wb") == 3, F.sum("wb")).alias("wb3"))
 
 

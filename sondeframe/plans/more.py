@@ -252,7 +252,7 @@ def appended_index(spark, d):
     path = _folder_of(spark, "index")
     sinks.append_index(s.where("split = 'train'"), path)
     sinks.append_index(s, path)
-    return spark.read.parquet(path).select("sample_id", "region")
+    return sinks.read_index(spark, path, s.schema).select("sample_id", "region")
 
 
 @query(f"""select cls "class", cast(count(*) as bigint) pixels, round(count(*) / sum(count(*)) over (), 6) fraction from {sql('label')} where cls <= 3 group by 1""")
@@ -307,19 +307,20 @@ def patch_rows(spark, d):
 def _layer_sql(v: str, hole: int, site: str) -> str:
     at = f"from (select id, least(floor(lat - 30), 6) iy, least(floor(lon - 22), 13) ix, lat - 30 - least(floor(lat - 30), 6) wy, lon - 22 - least(floor(lon - 22), 13) wx from {site}) t"
     c = f"(select id, iy + dy iy, ix + dx ix, (case dy when 1 then wy else 1 - wy end) * (case dx when 1 then wx else 1 - wx end) w {at}, (select unnest([0, 0, 1, 1]) dy, unnest([0, 1, 0, 1]) dx))"
-    base = f"(select k // 15 iy, k % 15 ix, cast({v} as double) v from (select unnest(range(120)) k) where k % {hole} <> 5)"
+    base = f"(select cast(l_partkey % 8 as int) iy, cast(l_orderkey % 15 as int) ix, avg({v}) v from lineitem where (l_partkey % 8 * 15 + l_orderkey % 15) % {hole} <> 5 group by 1, 2)"
     return f"(select id, round(case when count(b.v) = count(*) then sum(w * b.v) end, 5) v from {c} c left join {base} b on b.iy = c.iy and b.ix = c.ix where w > 0 group by 1)"
 
 
-@query(f"select s.id, a.v ndvi, b.v t2m from {sql('site')} s join {_layer_sql('(k * k) % 17', 31, sql('site'))} a on a.id = s.id join {_layer_sql('(k * 3) % 11', 43, sql('site'))} b on b.id = s.id")
+@query(f"select s.id, a.v ndvi, b.v t2m from {sql('site')} s join {_layer_sql('l_quantity', 31, sql('site'))} a on a.id = s.id join {_layer_sql('l_tax * 100', 43, sql('site'))} b on b.id = s.id")
 def harmonised_stack(spark, d):
-    k, axes = F.col("id"), (30, 1, 8, 22, 1, 15)
+    y, x, axes = F.col("l_partkey") % 8, F.col("l_orderkey") % 15, (30, 1, 8, 22, 1, 15)
+    line = spark.read.parquet(f"{d}/lineitem.parquet")
 
     def layer(v, hole: int) -> DataFrame:
-        return spark.range(120).where(k % hole != 5).select(F.floor(k / 15).cast("int").alias("lat_i"), (k % 15).cast("int").alias("lon_i"), v.cast("double").alias("v"))
+        return line.where((y * 15 + x) % hole != 5).groupBy(y.cast("int").alias("lat_i"), x.cast("int").alias("lon_i")).agg(F.avg(v).alias("v"))
 
     sites = derived(spark, d, "site")
-    stack = grid.harmonise(sites, {"ndvi": (layer((k * k) % 17, 31), axes), "t2m": (layer((k * 3) % 11, 43), axes)})
+    stack = grid.harmonise(sites, {"ndvi": (layer(F.col("l_quantity"), 31), axes), "t2m": (layer(F.col("l_tax") * 100, 43), axes)})
     grid.require_aligned(stack, sites)
     path = _folder_of(spark, "stack")
     stack.select("id", F.round("ndvi", 5).alias("ndvi"), F.round("t2m", 5).alias("t2m")).write.parquet(path)

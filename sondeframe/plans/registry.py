@@ -112,12 +112,13 @@ def product_rules(spark, d):
     return spark.read.parquet(f"{d}/part.parquet").select("p_partkey", names.is_terra(F.col("p_name")).alias("terra"), indices.valid_product(product, F.col("p_size")).alias("valid"), names.pick_asset(keys, "NDVI").alias("asset"))
 
 
-@query("""select y.y as year, cast(count(*) as bigint) n, cast(max(d) as date) last_day, case when y.y between 2017 and 2022 then 'train' when y.y = 2023 then 'test' when y.y = 2024 then 'ood_time' else 'none' end part
- from (select cast(unnest(generate_series(2015, 2026)) as int) y) y, lateral (select unnest(generate_series(make_date(y.y, 1, 1), make_date(y.y, 12, 31), interval 16 day)) d) where dayofyear(d) <= 365 group by 1""")
+@query("""select y as year, cast(count(*) as bigint) n, cast(max(d) as date) last_day, case when y + 22 between 2017 and 2022 then 'train' when y + 22 = 2023 then 'test' when y + 22 = 2024 then 'ood_time' else 'none' end part
+ from (select distinct cast(year(o_orderdate) as int) y from orders), lateral (select unnest(generate_series(make_date(y, 1, 1), make_date(y, 12, 31), interval 16 day)) d) where dayofyear(d) <= 365 group by 1""")
 def composite_dates(spark, d):
-    y = spark.range(2015, 2027).select(F.col("id").cast("int").alias("year"))
-    days = F.explode(F.sequence(F.make_date("year", F.lit(1), F.lit(1)), F.make_date("year", F.lit(12), F.lit(31)), F.expr("interval 16 days"))).alias("d")
-    return y.select("year", days).where(F.dayofyear("d") <= 365).groupBy("year").agg(F.count("*").alias("n"), F.max("d").alias("last_day"), splits.temporal_split(F.col("year")).alias("part"))
+    """Composite starts of every year in the table, with the split that the year 22 later belongs to."""
+    y = spark.read.parquet(f"{d}/orders.parquet").select(F.year("o_orderdate").alias("year"))
+    starts = _composite_starts(y, "d").where(F.dayofyear("d") <= 365).groupBy(F.year("d").alias("year"))
+    return starts.agg(F.count("*").alias("n"), F.max("d").alias("last_day")).withColumn("part", splits.temporal_split(F.col("year") + 22))
 
 
 @query("""select cast(year(o_orderdate) as int) "year", cast(month(o_orderdate) as int) "month", cast(min(day(last_day(o_orderdate))) as int) n_days, cast(list_sort(list(distinct cast(day(o_orderdate) as int))) as varchar) "days" from orders group by 1, 2""")
@@ -272,13 +273,15 @@ def mosaic(spark, d):
     return A.mosaic_max(derived(spark, d, "raster").withColumn("cell", F.col("pixel") % 50), ["cell"], "ndvi")
 
 
-_COMP = "(select cast(unnest(generate_series(make_date(1996, 1, 1), make_date(1996, 12, 31), interval 16 day)) as date) cd)"
+_COMP = "(select cast(unnest(generate_series(make_date(y, 1, 1), make_date(y, 12, 31), interval 16 day)) as date) cd from (select distinct cast(year(o_orderdate) as int) y from orders where o_orderdate is not null and year(o_orderdate) % 2 = 0))"
 
 
 @query(f"""select o_orderkey, cast(coalesce((select max(cd) from {_COMP} where cd <= cast(o_orderdate as date)), (select min(cd) from {_COMP})) as date) label_date from orders""")
 def as_of_label(spark, d):
-    dates = spark.range(1).select(F.explode(F.expr("sequence(date'1996-01-01', date'1996-12-31', interval 16 days)")).alias("day"))
-    return joins.as_of_small(spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey", F.to_date("o_orderdate").alias("day")), dates, "day", "label_date").select("o_orderkey", "label_date")
+    """The label active at each order's day: composites of every other year, so days before and between count too."""
+    o = spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+    dates = _composite_starts(o.select(F.year("day").alias("year")).where("year % 2 = 0"), "day")
+    return joins.as_of_small(o, dates, "day", "label_date").select("o_orderkey", "label_date")
 
 
 @query("""with r as (select distinct user_id % 16 k, cast(ts as date) rd from events where event_id % 9 = 0), l as (select event_id, user_id % 16 k, cast(ts as date) ld from events)
@@ -297,7 +300,7 @@ def nearest_composite(spark, d):
     return joins.nearest_date(o.select(one, F.to_date("o_orderdate").alias("day")).distinct(), r, ["k"], "day", "path").select("day", "path")
 
 
-@query(f"""select id, cast(greatest(0, least(69, round((lat - 30) / 0.1))) as int) lat_i, cast(greatest(0, least(139, round((lon - 22) / 0.1))) as int) lon_i from {sql('site')}""")
+@query(f"""select id, cast(greatest(0, least(69, round_even((lat - 30) / 0.1, 0))) as int) lat_i, cast(greatest(0, least(139, round_even((lon - 22) / 0.1, 0))) as int) lon_i from {sql('site')}""")
 def nearest_grid_cell(spark, d):
     return derived(spark, d, "site").select("id", joins.grid_index(F.col("lat"), 30, 0.1, 70).alias("lat_i"), joins.grid_index(F.col("lon"), 22, 0.1, 140).alias("lon_i"))
 
@@ -323,10 +326,10 @@ def boxes_with_points(spark, d):
 _HAV = "2 * 6371.0088 * asin(least(1, sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2))))"
 
 
-@query(f"""select a.id near_id, b.id far_id, round({_HAV}, 5) km from {sql('site')} a join {sql('site')} b on a.id % 4 = 0 and b.id % 4 = 1 and {_HAV} < 25""")
+@query(f"""select a.id near_id, b.id far_id, round({_HAV}, 5) km from {sql('site')} a join {sql('site')} b on a.id % 2 = 0 and b.id % 2 = 1 and {_HAV} < 25""")
 def distance_pairs(spark, d):
     s = derived(spark, d, "site")
-    return joins.pairs_within(s.where("id % 4 = 0"), s.where("id % 4 = 1")).select("near_id", "far_id", F.round("km", 5).alias("km"))
+    return joins.pairs_within(s.where("id % 2 = 0"), s.where("id % 2 = 1")).select("near_id", "far_id", F.round("km", 5).alias("km"))
 
 
 _CELLS = splits.assign_cells(splits.box_cells(C.ROI), splits.box_cells(C.OOD))
@@ -343,18 +346,11 @@ def spatial_split(spark, d):
 
 @query()
 def split_cells(spark, d):
-    return splits.cells_frame(spark, _CELLS)
-
-
-_WIN = f"(select *, 1 + cast(floor((dayofyear(day) - 1) / 16) as int) win from {sql('scene')} where year(day) = 1996)"
-
-
-@query(f"""select cast(make_date(1996, 1, 1) + (win - 1) * 16 as date) as "window", id, day as "day" from (select *, row_number() over (partition by win order by coalesce(cloud, 100), day, id) rn, substr(id, 5, 3) se from {_WIN}) where rn = 1 and se = 'S30'""")
-def one_scene_per_window(spark, d):
-    starts = spark.range(1).select(F.explode(F.expr("sequence(date'1996-01-01', date'1996-12-31', interval 16 days)")).alias("start"))
-    links = F.when(names.sensor_of(F.col("id")) == "S30", F.lit("x"))
-    s = derived(spark, d, "scene").where(F.year("day") == 1996)
-    return catalog.one_per_window(s, starts, links).select("window", "id", "day")
+    """The seeded split of the whole-degree cells that hold sites, with their number of sites."""
+    x, y = geo.cell(F.col("lon"), F.col("lat"))
+    held = derived(spark, d, "site").groupBy(x.alias("cell_lon"), y.alias("cell_lat")).agg(F.count("*").alias("n"))
+    cells = [(r["cell_lon"], r["cell_lat"]) for r in held.select("cell_lon", "cell_lat").collect()]  # 64,800 on the whole globe
+    return splits.cells_frame(spark, splits.assign_cells(cells)).join(held, ["cell_lon", "cell_lat"])
 
 
 def _composite_starts(years: DataFrame, name: str) -> DataFrame:
@@ -399,19 +395,6 @@ def work_left(spark, d):
     return joins.work_left(tiles, years, done, t("lineitem").select(F.year("l_shipdate").alias("year")))
 
 
-_SAMPLES = "(select cast(c_custkey as varchar) sample_id, cast(c_custkey % 16 as int) cell, date '2024-01-20' + cast(c_custkey % 10 as int) endd from customer where c_custkey % 25 = 0)"
-
-
-@query(f"""with daily as (select cell, cast(ts as date) dd, avg(t2m) t2m, sum(tp) tp from {sql('hourly')} group by 1, 2), s as (select sample_id, cell, unnest(generate_series(endd - 89, endd, interval 1 day)) dd from {_SAMPLES})
- select sample_id, round((count(t2m) + count(tp)) / 180, 6) coverage, cast(count(*) as bigint) "days" from s left join daily on daily.cell = s.cell and daily.dd = s.dd group by 1""")
-def meteo_coverage(spark, d):
-    s = spark.read.parquet(f"{d}/customer.parquet").where("c_custkey % 25 = 0").select(F.col("c_custkey").cast("string").alias("sample_id"), (F.col("c_custkey") % 16).cast("int").alias("cell"),
-        F.expr("date_add(date'2024-01-20', cast(c_custkey % 10 as int))").alias("end"))
-    series = dataset.meteo_series(s, A.daily_channels(derived(spark, d, "hourly"), ["cell"], "ts"), ["cell"])
-    n = series.groupBy("sample_id").agg(F.count("*").alias("days"))
-    return dataset.coverage(series, ["t2m", "tp"]).join(n, "sample_id").select("sample_id", r6("coverage", "coverage"), "days")
-
-
 _DAILY = f"(select cell, cast(ts as date) dd, avg(t2m) t2m, max(t2m) tmax, min(t2m) tmin, avg(swvl1) swvl1, sum(e) e, sum(tp) tp from {sql('hourly')} group by 1, 2)"
 
 
@@ -432,21 +415,24 @@ def patch_quality(spark, d):
     return q.select("patch", r6("valid_pct", "valid_pct"), r6("cloud_pct", "cloud_pct"))
 
 
-_BASE = "(select cast(k / 15 as int) iy, cast(k % 15 as int) ix, cast((k * k) % 17 as double) v from (select unnest(range(120)) k) where k % 31 <> 5)"
+_BASE = "(select cast(l_partkey % 8 as int) iy, cast(l_orderkey % 15 as int) ix, avg(l_quantity) v from lineitem where (l_partkey % 8 * 15 + l_orderkey % 15) % 31 <> 5 group by 1, 2)"
 _BIL = "from (select id, least(floor(lat - 30), 6) iy, least(floor(lon - 22), 13) ix, lat - 30 - least(floor(lat - 30), 6) wy, lon - 22 - least(floor(lon - 22), 13) wx from {0}) t".format(sql("site"))
 
 
 @query(f"""with c as (select id, iy + dy iy, ix + dx ix, (case dy when 1 then wy else 1 - wy end) * (case dx when 1 then wx else 1 - wx end) w {_BIL}, (select unnest([0, 0, 1, 1]) dy, unnest([0, 1, 0, 1]) dx))
- select id, round(case when count(b.v) = count(*) then sum(w * b.v) end, 5) v from c left join (select k // 15 iy, k % 15 ix, cast((k * k) % 17 as double) v from (select unnest(range(120)) k) where k % 31 <> 5) b on b.iy = c.iy and b.ix = c.ix where w > 0 group by 1""")
+ select id, round(case when count(b.v) = count(*) then sum(w * b.v) end, 5) v from c left join {_BASE} b on b.iy = c.iy and b.ix = c.ix where w > 0 group by 1""")
 def bilinear_regrid(spark, d):
-    k = F.col("id")
-    base = spark.range(120).where("id % 31 <> 5").select(F.floor(k / 15).cast("int").alias("lat_i"), (k % 15).cast("int").alias("lon_i"), ((k * k) % 17).cast("double").alias("v"))
+    lat_i, lon_i = F.col("l_partkey") % 8, F.col("l_orderkey") % 15
+    line = spark.read.parquet(f"{d}/lineitem.parquet").where((lat_i * 15 + lon_i) % 31 != 5)
+    base = line.groupBy(lat_i.cast("int").alias("lat_i"), lon_i.cast("int").alias("lon_i")).agg(F.avg("l_quantity").alias("v"))
     return grid.bilinear(base, derived(spark, d, "site"), 30, 1, 8, 22, 1, 15).select("id", F.round("v", 5).alias("v"))
 
 
-@query("select cast(k // 16 as int) as \"row\", cast(k % 16 as int) col from (select unnest(range(256)) k)")
+@query("""select s_suppkey id, cast(k // (w // 224) as int) as "row", cast(k % (w // 224) as int) col from (select s_suppkey, 1000 + s_suppkey % 900 h, 1500 + s_suppkey * 7 % 1100 w from supplier), lateral (select unnest(range((h // 224) * (w // 224))) k)""")
 def patch_origins(spark, d):
-    return grid.patch_origins(spark, 3660, 3660)
+    k = F.col("s_suppkey")
+    sizes = spark.read.parquet(f"{d}/supplier.parquet").select(k.alias("id"), (1000 + k % 900).alias("height"), (1500 + k * 7 % 1100).alias("width"))
+    return grid.patch_origins(sizes)
 
 
 @query(f"""select bid id, cast(k // 16 as int) as "row", cast(k % 16 as int) col, round(w + (k % 16) * (e - w) / 16, 6) cw, round(s + (k // 16) * (n - s) / 16, 6) cs from {_BOXES}, (select unnest(range(256)) k)""")
@@ -454,9 +440,13 @@ def box_cells(spark, d):
     return grid.box_cells(_boxes(spark, d).withColumnRenamed("bid", "id")).select("id", "row", "col", r6("cw", "cw"), r6("cs", "cs"))
 
 
-@query("select cast(x as int) cell_lon, cast(y as int) cell_lat from (select unnest(range(22, 36)) x), (select unnest(range(30, 37)) y)")
+@query("""select b.id, cast(x as int) cell_lon, cast(y as int) cell_lat from (select s_suppkey id, 22 + s_suppkey % 13 / 2.0 w, 30 + s_suppkey % 7 / 2.0 s, 25 + s_suppkey % 11 / 3.0 e, 33 + s_suppkey % 5 / 4.0 n from supplier) b,
+ lateral (select unnest(generate_series(cast(ceil(w) as bigint), cast(floor(e) as bigint) - 1)) x), lateral (select unnest(generate_series(cast(ceil(s) as bigint), cast(floor(n) as bigint) - 1)) y)""")
 def whole_cells(spark, d):
-    return grid.whole_cells(spark, C.ROI)
+    k = F.col("s_suppkey")
+    edges = {"w": 22 + k % 13 / 2.0, "s": 30 + k % 7 / 2.0, "e": 25 + k % 11 / 3.0, "n": 33 + k % 5 / 4.0}
+    boxes = spark.read.parquet(f"{d}/supplier.parquet").select(k.alias("id"), *[v.alias(c) for c, v in edges.items()])
+    return grid.whole_cells(boxes)
 
 
 @query()
@@ -471,17 +461,10 @@ def utm_round_trip(spark, d):
 
 @query()
 def roi_tiles(spark, d):
-    roi, ood = grid.squares_in_box(spark, C.ROI), grid.squares_in_box(spark, C.OOD)
-    return roi.withColumn("is_ood", F.lit(False)).unionByName(ood.join(roi, "tile", "left_anti").withColumn("is_ood", F.lit(True)))
-
-
-@query()
-def tile_labels(spark, d):
-    # A site becomes 224 x 224 rows: spread them before; a stated number is not coalesced.
-    sites = derived(spark, d, "site").repartition(4 * spark.sparkContext.defaultParallelism, "id")
-    pixels = grid.utm_template(sites, size=C.PATCH)
-    source = spark.range(98 * 400).select((F.col("id") / 280).cast("int").alias("lat_i"), (F.col("id") % 280).cast("int").alias("lon_i"), (F.col("id") % 4).cast("int").alias("cls"))
-    return grid.nearest_label(pixels, source, 30, 0.05, 140, 22, 0.05, 280).groupBy("id", "cls").agg(F.count("*").alias("n"))
+    """100 km squares that each supplier's box meets, with the squares' own boxes and whether they reach the OOD area."""
+    found = grid.squares_in_boxes(_boxes(spark, d).withColumnRenamed("bid", "id"))
+    ood = (F.col("w") <= C.OOD[2]) & (F.col("e") >= C.OOD[0]) & (F.col("s") <= C.OOD[3]) & (F.col("n") >= C.OOD[1])
+    return found.withColumn("is_ood", ood)
 
 
 @query(f"select sample_id from {sql('indexed')} where split in ('train', 'val', 'test', 'ood')")
@@ -499,11 +482,6 @@ def schema_violations(spark, d):
     return dataset.violations(derived(spark, d, "indexed")).select("sample_id", F.array_join("problems", ",").alias("problems"))
 
 
-@query(f"""select "day", cast(2 as bigint) parts from {sql('indexed')} where false group by 1""")
-def temporal_leaks(spark, d):
-    return dataset.temporal_leaks(derived(spark, d, "indexed")).select("day", F.col("parts").cast("bigint").alias("parts"))
-
-
 @query(f"""select sample_id from {sql('indexed')} where cast(sample_id as bigint) % 3 <> 0""")
 def appended_rows(spark, d):
     s = derived(spark, d, "indexed")
@@ -537,18 +515,19 @@ def monthly_pet(spark, d):
     return A.monthly_sum(keyed, ["cell", "ym"], pet).select("cell", "ym", F.round("total", 4).alias("pet"))
 
 
-@query(f"""select cell, cast(dayofyear(dd) as int) doy, cast(count(*) as bigint) n, round(sum(tmax), 5) s1 from (select cell, cast(ts as date) dd, max(t2m - 273.15) tmax from {sql('hourly')} group by 1, 2) group by 1, 2""")
+@query(f"""select cell, cast(dayofyear(dd) as int) doy, cast(count(*) as bigint) n, round(sum(tmax), 5) s1, round(stddev_pop(tmax), 5) std from (select cell, cast(ts as date) dd, max(t2m - 273.15) tmax from {sql('hourly')} group by 1, 2) group by 1, 2""")
 def streamed_doy_fold(spark, d):
     daily = A.hourly_to_daily(derived(spark, d, "hourly"), ["cell"], "ts", "t2m").withColumn("doy", F.dayofyear("day"))
     out = fold.fold_moments(daily.select("cell", "doy", F.col("tmax").alias("value")), ["cell", "doy"])
-    return out.select("cell", "doy", "n", F.round("s1", 5).alias("s1"))
+    return out.select("cell", "doy", "n", F.round(F.col("mean") * F.col("n"), 5).alias("s1"), F.round(F.sqrt(F.col("m2") / F.col("n")), 5).alias("std"))
 
 
 _TMAX = "(select cast(o_custkey % 20 as int) cell, cast(o_orderdate as date) dd, avg(20 + o_totalprice % 25) tmax from orders group by 1, 2)"
 _VEG = "(select cast(l_suppkey % 20 as int) cell, cast(date_trunc('month', l_shipdate) as date) dd, avg(l_quantity / 50) ndvi, avg(290 + l_discount * 300) lst from lineitem group by 1, 2)"
 
 
-@query(f"""with d as (select cast(unnest(generate_series(make_date(1996, 1, 1), make_date(1996, 12, 31), interval 16 day)) as date) dd),
+_DATES_ALL = "select cast(unnest(generate_series(make_date(y, 1, 1), make_date(y, 12, 31), interval 16 day)) as date) dd from (select cast(year(o_orderdate) as int) y from orders union select cast(year(l_shipdate) as int) from lineitem) where y is not null"
+_LABEL_GRID = f"""with d as ({_DATES_ALL}),
  k as (select dd, cast(year(dd - to_months(m)) * 100 + month(dd - to_months(m)) as int) ym from (select dd, cast(date_trunc('month', dd) as date) from d) t(dd, md), (select unnest([0, 1, 2]) m)),
  b as materialized {_BAL}, v as materialized {_VEG},
  w as (select cell, dd, sum(wb) wb3 from k join b using (ym) group by 1, 2 having count(wb) = 3),
@@ -560,9 +539,7 @@ _VEG = "(select cast(l_suppkey % 20 as int) cell, cast(date_trunc('month', l_shi
  n as (select w.cell, w.dd, arg_min(ndvi, abs(v.dd - w.dd) * 1000000 + (v.dd - date '1990-01-01')) ndvi, arg_min(lst, abs(v.dd - w.dd) * 1000000 + (v.dd - date '1990-01-01')) lst from w join v on v.cell = w.cell and year(v.dd) = year(w.dd) group by 1, 2),
  i as (select w.cell, w.dd, case when wb_std > 0 then (wb3 - wb_mean) / wb_std end spei, case when std > 0 then (tmax - mean) / std end tmax_z, 0.5 * {_RATIO.format('ndvi - ndvi_lo', 'ndvi_hi - ndvi_lo')} + 0.5 * {_RATIO.format('lst_hi - lst', 'lst_hi - lst_lo')} vhi
   from w left join bs on bs.cell = w.cell and bs.mm = month(w.dd) left join t on t.cell = w.cell and t.dd = w.dd left join ts on ts.cell = w.cell and ts.doy = dayofyear(w.dd) left join n on n.cell = w.cell and n.dd = w.dd left join lim on lim.cell = w.cell)
- select cell, dd as "day", round(spei, 4) spei3, round(tmax_z, 4) tmax_z, round(vhi, 4) vhi, {_MASKED} cls from i""")
-def label_grid(spark, d):
-    return _label_grid(spark, d, spark.range(1).select(F.explode(F.expr("sequence(date'1996-01-01', date'1996-12-31', interval 16 days)")).alias("day")))
+ select cell, dd as "day", round(spei, 4) spei3, round(tmax_z, 4) tmax_z, round(vhi, 4) vhi, {_MASKED} cls from i"""
 
 
 def _label_grid(spark, d, dates):
@@ -577,14 +554,12 @@ def _label_grid(spark, d, dates):
     return out.select("cell", "day", *[F.round(x, 4).alias(x) for x in ("spei3", "tmax_z", "vhi")], "cls")
 
 
-_DATES_1996 = "select cast(unnest(generate_series(make_date(1996, 1, 1), make_date(1996, 12, 31), interval 16 day)) as date) dd"
-_DATES_ALL = "select cast(unnest(generate_series(make_date(y, 1, 1), make_date(y, 12, 31), interval 16 day)) as date) dd from (select cast(year(o_orderdate) as int) y from orders union select cast(year(l_shipdate) as int) from lineitem) where y is not null"
 
 
-@query(ORACLE["label_grid"].replace(_DATES_1996, _DATES_ALL))
+@query(_LABEL_GRID)
 def label_grid_all_years(spark, d):
     years = [spark.read.parquet(f"{d}/{t}.parquet").select(F.year(c).alias("year")) for t, c in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"))]
     return _label_grid(spark, d, _composite_starts(years[0].union(years[1]), "day"))
 
 
-from sondeframe.plans import more  # noqa: E402, F401  (registers its queries)
+from sondeframe.plans import more, rasters  # noqa: E402, F401  (register their queries)

@@ -2,28 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sondeframe import config as C
 from sondeframe.operators.dataset import new_rows
+from sondeframe.sources.published import publish, read_published
 
 
-def append_index(rows: DataFrame, path: str, partitions: tuple[str, ...] = ("mgrs_tile", "year")) -> int:
-    """Append samples that the index doesn't hold; how many were new."""
-    spark = rows.sparkSession
-    try:
-        rows = new_rows(rows, spark.read.parquet(path))
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        rows = rows.dropDuplicates(["sample_id"])
-    rows = rows.cache()
-    n = rows.count()
-    if n:
-        rows.write.mode("append").partitionBy(*partitions).parquet(path)
-    rows.unpersist()
-    return n
+def append_index(rows: DataFrame, path: str, partitions: tuple[str, ...] = ("mgrs_tile", "year"), batch_id: str | None = None) -> int:
+    """Append samples that the index doesn't hold, as one published batch; how many were new.
+
+    With a batch id of its own a replay of the same append adds nothing, whatever it reads.
+    """
+    known = read_index(rows.sparkSession, path, rows.schema)
+    return publish(new_rows(rows, known), path, batch_id, partitions) or 0
+
+
+def read_index(spark: SparkSession, path: str, schema) -> DataFrame:
+    return read_published(spark, path, schema)
 
 
 def overwrite_partitions(rows: DataFrame, path: str, partitions: tuple[str, ...]) -> None:

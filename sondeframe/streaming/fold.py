@@ -7,6 +7,7 @@ never read again.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -14,6 +15,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sondeframe.operators.aggregates import merge_moments, moments
+from sondeframe.sources.published import publish, read_published
+
 
 def _folder(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -38,16 +42,13 @@ def upsert_fold(spark: SparkSession, source: str, schema, keys: list[str], parti
     stream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-
 def fold_moments(values: DataFrame, keys: list[str]) -> DataFrame:
-    """Sum, sum of squares and count of ``value`` by key, folded file by file through a checkpointed stream."""
+    """``(keys, n, mean, m2)`` of ``value``, folded file by file through a checkpointed stream."""
     spark = values.sparkSession
     base = _folder(spark)
     values.write.parquet(f"{base}/in")
-    v = F.col("value")
-    partials = [F.sum(v).alias("s1"), F.sum(v * v).alias("s2"), F.count(v).alias("n")]
-    upsert_fold(spark, f"{base}/in", values.schema, keys, partials, f"{base}/state", f"{base}/checkpoint")
-    return merged(spark, f"{base}/state", keys, {"s1": "sum", "s2": "sum", "n": "sum"})
+    upsert_fold(spark, f"{base}/in", values.schema, keys, moments(F.col("value")), f"{base}/state", f"{base}/checkpoint")
+    return merge_moments(spark.read.parquet(f"{base}/state").drop("batch"), keys)
 
 
 def fold_min_max(values: DataFrame, keys: list[str]) -> DataFrame:
@@ -64,17 +65,15 @@ def merged(spark: SparkSession, state: str, keys: list[str], how: dict[str, str]
 
 
 def append_new(spark: SparkSession, source: str, schema, target: str, checkpoint: str, key: str = "sample_id") -> None:
-    """Append rows whose key the target doesn't hold; a replayed batch adds nothing."""
+    """Append rows whose key the published table ``target`` doesn't hold, a published batch for each micro-batch.
+
+    A replayed micro-batch finds its id published and adds nothing; one that died before is written anew.
+    """
+    stream_id = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        df = df.dropDuplicates([key])
-        try:
-            known = spark.read.parquet(target).select(key)
-        except Exception as e:  # the first batch finds no table
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            known = None
-        (df.join(known, key, "left_anti") if known is not None else df).write.mode("append").parquet(target)
+        known = read_published(df.sparkSession, target, df.schema).select(key)
+        publish(df.dropDuplicates([key]).join(known, key, "left_anti"), target, f"{stream_id}-{batch_id:09d}")
 
     stream = _stream(spark, source, schema, 16).writeStream.foreachBatch(batch)
     stream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

@@ -1,6 +1,5 @@
 import datetime as dt
 import math
-from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,8 +10,7 @@ from sondeframe.operators import aggregates as A
 from sondeframe.operators import dataset, grid, joins, splits
 from sondeframe.operators import windows as Wn
 from sondeframe.plans import registry
-from sondeframe.plans.derived import derived
-from sondeframe.sources import readers, sinks
+from sondeframe.sources import published, readers, sinks
 from sondeframe.streaming import fold
 
 
@@ -70,8 +68,20 @@ def test_utm_and_squares(spark):
     assert r.t == "T36RUU" and r.epsg == 32636
 
 
+def box_frame(spark, *boxes):
+    return spark.createDataFrame([(i, *map(float, b)) for i, b in enumerate(boxes)], "id int, w double, s double, e double, n double")
+
+
+def test_cells_and_origins_of_each_row(spark):
+    got = {tuple(r) for r in grid.whole_cells(box_frame(spark, C.ROI, (0.5, 0.5, 2.5, 1.4), (0.0, 0.0, 2.0, 1.0))).collect()}
+    assert got == {(0, x, y) for x in range(22, 36) for y in range(30, 37)} | {(2, 0, 0), (2, 1, 0)}
+    sizes = spark.createDataFrame([(1, 3660, 3660), (2, 224, 500), (3, 223, 900)], "id int, height int, width int")
+    got = sorted(tuple(r) for r in grid.patch_origins(sizes).collect())
+    assert got == [(1, y, x) for y in range(16) for x in range(16)] + [(2, 0, 0), (2, 0, 1)]
+
+
 def test_tile_counts(spark):
-    roi, ood = grid.squares_in_box(spark, C.ROI), grid.squares_in_box(spark, C.OOD)
+    roi, ood = (grid.squares_in_boxes(box_frame(spark, b)) for b in (C.ROI, C.OOD))
     assert roi.count() == 160 and ood.join(roi, "tile", "left_anti").count() == 238
 
 
@@ -88,7 +98,7 @@ def test_square_boxes(spark):
 
 def test_squares_reach_the_region(spark):
     w, s, e, n = C.ROI
-    rows = grid.squares_in_box(spark, C.ROI).collect()
+    rows = grid.squares_in_boxes(box_frame(spark, C.ROI)).collect()
     assert all(r.w < e + 0.2 and r.e > w - 0.2 and r.s < n + 0.2 and r.n > s - 0.2 and 0.85 < r.n - r.s < 1.05 for r in rows)
 
 
@@ -123,7 +133,7 @@ def test_cloud_fraction(spark):
 
 
 def test_circular_window(spark):
-    m = spark.createDataFrame([(1, 366, 15.0, 225.0, 1), (1, 1, 25.0, 625.0, 1)], "cell int, doy int, s1 double, s2 double, n long")
+    m = spark.createDataFrame([(1, 366, 15.0, 0.0, 1), (1, 1, 25.0, 0.0, 1)], "cell int, doy int, mean double, m2 double, n long")
     got = {r.doy: (r.mean, r["std"], r.n) for r in Wn.circular_doy(m, ["cell"], 3).collect()}
     assert got[366] == (20.0, 5.0, 2) and got[1] == (20.0, 5.0, 2) and got[2][0] == 25.0
 
@@ -154,7 +164,7 @@ def test_stream_fold_equals_batch(spark, tmp_path):
     schema = spark.read.parquet(str(tmp_path / "in")).schema
     for _ in range(2):
         fold.append_new(spark, str(tmp_path / "in"), schema, str(tmp_path / "out"), str(tmp_path / "ck"))
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 7
+    assert published.read_published(spark, str(tmp_path / "out"), schema).count() == 7
 
 
 def test_violations_name_the_column(spark):
@@ -163,17 +173,6 @@ def test_violations_name_the_column(spark):
     assert {r.sample_id: r.problems for r in dataset.violations(row).collect()} == {"a": ["center_lon"], "c": ["center_lon", "region"]}
 
 
-def test_tile_labels_cover_whole_patches(spark, tmp_path):
-    """Every site, every pixel of its patch, against a label picked pixel by pixel."""
-    spark.createDataFrame([(1,), (7,), (100,)], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
-    got = {(r.id, r.cls): r.n for r in registry.QUERIES["tile_labels"](spark, str(tmp_path)).collect()}
-    want = Counter()
-    for p in grid.utm_template(derived(spark, str(tmp_path), "site"), size=224).select("id", "lon", "lat").collect():
-        iy, ix = math.floor((p.lat - 30) / 0.05 + 0.5), math.floor((p.lon - 22) / 0.05 + 0.5)
-        want[p.id, (iy * 280 + ix) % 4 if 0 <= iy < 140 and 0 <= ix < 280 else 255] += 1
-    assert sum(want.values()) == 3 * 224 * 224 and got == dict(want)
-
-
 def test_meteo_coverage_takes_every_sample_and_channel(spark, tmp_path):
     """A gap in one channel counts, of a customer of any number."""
     spark.createDataFrame([(1,), (2,)], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
@@ -183,4 +182,5 @@ def test_meteo_coverage_takes_every_sample_and_channel(spark, tmp_path):
 
 
 def test_all_years_have_windows_and_labels():
-    assert "1996" not in registry.ORACLE["label_grid_all_years"] and "1996" not in registry.ORACLE["one_scene_per_window_all_years"]
+    assert all("1996" not in registry.ORACLE[n] for n in ("label_grid_all_years", "one_scene_per_window_all_years", "as_of_label"))
+    assert not {"label_grid", "one_scene_per_window", "meteo_coverage", "temporal_leaks"} & set(registry.QUERIES)

@@ -1,25 +1,29 @@
 """Toxicity: a character n-gram linear classifier with naive-Bayes log-count ratios.
 
-Features are the distinct hashed n-grams (of bytes, A-Z lower-cased, runs of white
-space as one space) of a text.  Each feature is scaled by the log ratio of its
-smoothed document counts in toxic and other training texts, as far as that ratio
-exceeds ``MARGIN`` standard errors of its own: what chance explains scales by zero.
-A logistic regression with an L2 penalty is fitted on the scaled features.  All
-buckets take part, however many there are.
+Features are the distinct hashed n-grams (of code points, A-Z lower-cased, runs of
+ASCII white space as one space) of a text.  Each feature is scaled by the log ratio of its
+smoothed document counts in toxic and other training texts, damped by how sure that ratio is: by
+z^2 / (z^2 + DAMP^2), with z its value over its standard error.  Every feature of the training
+texts keeps its part, however weak.  A logistic regression with an L2 penalty is
+fitted on the scaled features.
 
 Toxic is a score of at least 0.5.  The fit alone would call few documents toxic, as
 most labels are clean and weak evidence in a rare language stays below one half; so
 its intercept is moved.  Each training row is scored by a model that saw neither the
-row nor its copies (``FOLDS`` folds by text, features chosen anew in each), and the
+row nor its copies (``FOLDS`` folds by text), and the
 intercept moves until at most ``MAX_FALSE`` of the clean training rows would be
 called toxic.  Scores rank as before, but are no probabilities.
 
+The model and those of the folds are fitted by one task each, which reads the
+sample's texts; the driver gets the weights, four bytes a bucket, and a number a row.
+
 Only text enters a score.  The fit uses at most ``FIT_ROWS`` labelled rows, drawn
 by a hash of the id, with weights that restore the true class shares; everything
 else covers whole texts of all rows.
 
 Edge cases: a label whose id several rows hold teaches the smallest of their texts, so
-the bound holds for texts too; columns other than id and text play no part and may have any name; null and empty texts score the intercept; without labelled rows of both
+the bound holds for texts too; columns other than id and text play no part and may have any name; null and empty texts score the intercept; very long texts
+are hashed in slices of ``SLICE`` bytes, so scratch memory doesn't grow with them; without labelled rows of both
 classes every score is the share of toxic labels (0 without labels); folds that leave
 one class only are not scored, and without scores of both classes the intercept stays; null labels
 and null ids teach nothing; repeated label rows count once for each.
@@ -41,10 +45,13 @@ GRAMS = (4, 6, 8)
 BITS = 18
 #: Bound of the fit: labelled rows.
 FIT_ROWS = 6_000
-#: Standard errors that a log ratio must exceed, its smoothing in toxic rows, and the size of the scaled features.
-MARGIN = 3.0
+#: Standard errors at which a log ratio counts by half, its smoothing in toxic rows, and the length of a mean scaled row.
+DAMP = 3.0
 SMOOTHING = 0.3
 SIZE = 2.0
+#: Bytes of one text that are hashed at once, and features that a pass of the fit holds in scratch.
+SLICE = 1 << 19
+PASS = 1 << 20
 #: Folds of the training rows, and the share of clean ones that may score as toxic out of fold.
 FOLDS = 5
 MAX_FALSE = 0.005
@@ -56,7 +63,7 @@ _FOLD[9:14] = 32
 
 
 def _buckets(data: np.ndarray, n: int) -> np.ndarray:
-    """Bucket of the n-gram that starts at each byte; each n has a part of the table of its own."""
+    """Bucket of the n-gram that starts at each code point; each n has a part of the table of its own."""
     h = np.zeros(len(data) - n + 1, U64)
     for j in range(n):
         h *= U64(0x100000001B3)
@@ -66,6 +73,13 @@ def _buckets(data: np.ndarray, n: int) -> np.ndarray:
     return h.astype(np.int64) + (GRAMS.index(n) << BITS)
 
 
+def _points(data: np.ndarray) -> np.ndarray:
+    """Folded code points of UTF-8 bytes, white space not yet joined."""
+    text = data.tobytes().decode("utf-8", "replace").encode("utf-32-le")
+    points = np.frombuffer(text, np.uint32)
+    return np.where(points < 128, _FOLD[np.minimum(points, 127)], points)
+
+
 class _Distinct:
     """Distinct values of small-integer arrays by a stamp table, without sorting."""
 
@@ -78,11 +92,35 @@ class _Distinct:
         return values[self.stamp[values] == at]
 
 
+def _sliced(data: np.ndarray) -> list[np.ndarray]:
+    """For each n, the distinct buckets of one long text, hashed slice by slice."""
+    seen = np.zeros(len(GRAMS) << BITS, bool)
+    held, at = np.zeros(0, np.uint32), 0
+    while at < len(data):
+        end = min(len(data), at + SLICE)
+        while end < len(data) and data[end] & 0xC0 == 0x80:  # a code point stays whole
+            end += 1
+        points = np.concatenate((held, _points(data[at:end])))
+        keep = np.ones(len(points), bool)
+        keep[1:] = (points[1:] != 32) | (points[:-1] != 32)
+        points = points[keep]
+        for n in GRAMS:
+            if len(points) >= n:
+                seen[_buckets(points.astype(U64), n)] = True
+        held, at = points[-(max(GRAMS) - 1) :], end
+    return [np.flatnonzero(seen[i << BITS : (i + 1) << BITS]) + (i << BITS) for i in range(len(GRAMS))]
+
+
 def features(texts: pa.Array) -> Iterator[list[np.ndarray]]:
     """For each n, the distinct buckets of each text."""
     distinct = _Distinct()
     for _, data, offsets in text_chunks(texts):
-        data = _FOLD[data]
+        if len(offsets) == 2 and len(data) > SLICE:
+            yield _sliced(data)
+            continue
+        begins = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
+        offsets = begins[offsets]
+        data = _points(data)
         keep = np.ones(len(data), bool)
         keep[1:] = (data[1:] != 32) | (data[:-1] != 32)
         inner = offsets[:-1][offsets[:-1] < len(data)]
@@ -104,37 +142,79 @@ def _shift(z: np.ndarray, toxic: np.ndarray) -> float:
     return float((last + above[0]) / 2) if len(above) else float(np.nextafter(last, np.inf))
 
 
-def _logistic(sets: list[np.ndarray], scale: np.ndarray, toxic: np.ndarray, weight: np.ndarray, l2: float, rounds: int) -> tuple[float, np.ndarray]:
-    """Adam on the weighted logistic loss with an L2 penalty; intercept and weights of scaled features.
-
-    The features are held by row and, sorted, by feature, so each pass sums runs.
-    """
-    sizes = np.array([len(x) for x in sets])
-    index = np.concatenate(sets)
-    by_feature = np.argsort(index, kind="stable")
-    row_of = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)[by_feature]
-    there, feature_starts = np.unique(index[by_feature], return_index=True)
-    filled = np.flatnonzero(sizes)
-    row_starts = (np.cumsum(sizes) - sizes)[filled]
-    share = (toxic * weight).sum() / weight.sum()
+def scales(toxic_rows: np.ndarray, clean_rows: np.ndarray, n_toxic: float, n_clean: float) -> np.ndarray:
+    """Damped log ratio of each feature, from how many toxic and clean rows hold it; zero only for equal shares."""
+    ratio = np.log((toxic_rows + SMOOTHING) / n_toxic) - np.log(clean_rows / n_clean + SMOOTHING / n_toxic)
+    z2 = ratio**2 / (1 / (toxic_rows + 0.5) + 1 / (clean_rows + 0.5))
+    return ratio * z2 / (z2 + DAMP**2)
+
+
+class _Rows:
+    """Sorted features of the rows of a sample, four bytes each, held in passes of about ``PASS`` features."""
+
+    def __init__(self, texts: pa.Array) -> None:
+        self.index: list[np.ndarray] = []
+        self.passes: list[tuple[int, int, np.ndarray, np.ndarray]] = []  # from row, to row, features, their number by row
+        held, n = [], 0
+
+        def close() -> None:
+            whole, sizes = np.concatenate(held) if held else np.zeros(0, np.int32), np.array([len(x) for x in held], np.int64)
+            ends = np.cumsum(sizes)
+            first = len(self.index)
+            self.index.extend(whole[e - k : e] for e, k in zip(ends.tolist(), sizes.tolist(), strict=True))
+            self.passes.append((first, len(self.index), whole, sizes))
+
+        for found in features(texts):
+            held.append(np.sort(np.concatenate(found).astype(np.int32)))  # in order, so that look-ups run through the tables
+            n += len(held[-1])
+            if n >= PASS:
+                close()
+                held, n = [], 0
+        if held:
+            close()
+
+    def sums(self, use: np.ndarray, of_feature: np.ndarray) -> np.ndarray:
+        """For each row in ``use`` the sum of its features' values."""
+        return np.array([of_feature.take(self.index[i]).sum(dtype=np.float64) for i in use])
+
+    def gathered(self, of_row: np.ndarray, size: int) -> np.ndarray:
+        """For each feature the sum of its rows' values."""
+        out = np.zeros(size)
+        for a, b, whole, sizes in self.passes:
+            if of_row[a:b].any():
+                out += np.bincount(whole, np.repeat(of_row[a:b], sizes), size)
+        return out
+
+
+def _logistic(rows: _Rows, use: np.ndarray, scale: np.ndarray, toxic: np.ndarray, weight: np.ndarray, l2: float, rounds: int) -> tuple[float, np.ndarray]:
+    """Adam on the weighted logistic loss of the rows ``use`` with an L2 penalty; intercept and weights of scaled features."""
+    total, share = weight[use].sum(), (toxic[use] * weight[use]).sum() / weight[use].sum()
     w, b = np.zeros(len(scale)), float(np.log(share / (1 - share)))
-    total = weight.sum()
     m = v = np.zeros(len(scale) + 1)
     for t in range(1, rounds + 1):
-        z = np.full(len(sets), b)
-        if len(index):
-            z[filled] += np.add.reduceat((scale * w).astype(np.float32)[index], row_starts)
-        err = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - toxic)
-        slope = l2 * w
-        if len(index):
-            slope[there] += scale[there] * np.add.reduceat(err.astype(np.float32)[row_of], feature_starts)
-        g = np.append(slope, err.sum()) / total
+        z = b + rows.sums(use, (scale * w).astype(np.float32))
+        err = np.zeros(len(toxic))
+        err[use] = weight[use] * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - toxic[use])
+        g = np.append(l2 * w + scale * rows.gathered(err, len(scale)), err.sum()) / total
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         step = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-9)
         w, b = w - step[:-1], b - float(step[-1])
     return b, w
 
 
+def _fitted(rows: _Rows, use: np.ndarray, toxic: np.ndarray, weight: np.ndarray, l2: float, rounds: int) -> tuple[float, np.ndarray]:
+    """Intercept and a weight for each bucket, from the rows ``use``."""
+    size = len(GRAMS) << BITS
+    there = np.zeros((2, len(toxic)))
+    there[toxic[use].astype(int), use] = 1.0
+    clean, bad = (rows.gathered(x, size) for x in there)
+    scale = scales(bad, clean, there[1].sum(), there[0].sum())
+    length = rows.sums(use, (scale**2).astype(np.float32)).mean()
+    scale *= SIZE / np.sqrt(max(length, 1e-12))
+    b, w = _logistic(rows, use, scale, toxic, weight, l2, rounds)
+    return b, w * scale
+
+
 def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
@@ -165,14 +245,12 @@ def fit(
 ) -> tuple[float, np.ndarray]:
     """Intercept and a weight for each bucket.
 
-    Executors turn the sampled texts into counts by fold and then into the features
-    whose scale is not zero; the driver holds at most a scale for each bucket, for the
-    model and for each fold left out, and those features of at most ``fit_rows`` rows.
+    The sample (at most ``fit_rows`` texts) goes to one task for each model: that of all its
+    rows, and one for each fold left out, which scores the rows of its fold.
     """
-    size = len(GRAMS) << BITS
-    table = np.zeros(size)
-    rows = sample(docs, labels, id_col, text_col, fit_rows)
-    found = rows.groupBy("toxic", "fold").agg(F.count("*").alias("n"), F.max("weight").alias("weight")).collect()
+    table = np.zeros(len(GRAMS) << BITS)
+    sampled = sample(docs, labels, id_col, text_col, fit_rows)
+    found = sampled.groupBy("toxic", "fold").agg(F.count("*").alias("n"), F.max("weight").alias("weight")).collect()
     sizes, weight = np.zeros((2, FOLDS)), np.ones(2)  # the weight is one for each class
     for r in found:
         sizes[r["toxic"], r["fold"]], weight[r["toxic"]] = r["n"], r["weight"]
@@ -181,80 +259,26 @@ def fit(
         share = min(max(1.0 if totals[1] else 0.0, 1e-9), 1 - 1e-9)
         return float(np.log(share / (1 - share))), table
 
-    names = [f"{c}{k}" for c in "qp" for k in range(FOLDS)]
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2 * FOLDS, size), np.int32)
-        for batch in batches:
-            for kind, fold, made in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist(), features(batch.column(0)), strict=True):
-                for x in made:
-                    sums[kind * FOLDS + fold, x] += 1
-        there = np.flatnonzero(sums.any(0))
-        yield pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), *(pa.array(r[there]) for r in sums)], ["f", *names])
-
-    counts = rows.coalesce(4).mapInArrow(count, "f int, " + ", ".join(f"{c} int" for c in names)).groupBy("f").agg(*[F.sum(c).alias(c) for c in names])
+    def train(data: pa.Table) -> pa.Table:
+        data = data.combine_chunks()
+        out = data.column("model")[0].as_py()
+        toxic, weights, folds = (data.column(c).to_numpy() for c in ("toxic", "weight", "fold"))
+        toxic = toxic.astype(float)
+        rows = _Rows(data.column("text").chunk(0))
+        b, w = _fitted(rows, np.flatnonzero(folds != out), toxic, weights, l2, rounds)
+        own = np.flatnonzero(folds == out)
+        z = b + rows.sums(own, w.astype(np.float32)) if len(own) else np.zeros(0)
+        weights_ = w.astype(np.float32).tobytes() if out < 0 else b""
+        return pa.table({"model": pa.array([out], pa.int32()), "b": [b], "w": pa.array([weights_], pa.binary()), "z": pa.array([z.tolist()], pa.list_(pa.float64())), "toxic": pa.array([toxic[own].tolist()], pa.list_(pa.float64()))})
 
     scored = [k for k in range(FOLDS) if sizes[:, k].any() and (sizes.sum(1) > sizes[:, k]).all()]
-    models = [None, *scored]
-
-    def scales(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The scale of each feature for each model, without the fold left out: its ratio beyond the margin, or zero."""
-        for batch in batches:
-            q, p = (np.stack([batch.column(1 + i * FOLDS + k).to_numpy() for k in range(FOLDS)]).astype(float) for i in (0, 1))
-            made = []
-            for out in models:
-                use = [k for k in range(FOLDS) if k != out]
-                (n0, n1), b, a = sizes[:, use].sum(1), q[use].sum(0), p[use].sum(0)
-                ratio = np.log(a / n1 + SMOOTHING / n1) - np.log(b / n0 + SMOOTHING / n1)
-                made.append(np.sign(ratio) * np.maximum(0, np.abs(ratio) - MARGIN * np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))))
-            some = np.flatnonzero(np.any(made, 0))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(some)), *(pa.array(x[some]) for x in made)], ["f", *shown])
-
-    shown = [f"s{i}" for i in range(len(models))]
-    found = counts.mapInArrow(scales, "f int, " + ", ".join(f"{c} double" for c in shown)).toPandas().sort_values("f")
-    chosen = {}
-    for i, k in enumerate(models):
-        part = found[found[f"s{i}"] != 0]
-        chosen[k] = part["f"].to_numpy(np.int64), part[f"s{i}"].to_numpy(float)
-    keep = np.unique(np.concatenate([f for f, _ in chosen.values()]))
-
-    def restrict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        column = np.full(size, -1, np.int32)
-        column[keep] = np.arange(len(keep), dtype=np.int32)
-        for batch in batches:
-            made = [column[np.concatenate(x)] for x in features(batch.column(0))]
-            made = pa.array([x[x >= 0].tobytes() for x in made], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), batch.column(3), made], ["toxic", "weight", "fold", "f"])
-
-    data = rows.mapInArrow(restrict, "toxic int, weight double, fold int, f binary").collect()  # at most fit_rows
-    sets = [np.frombuffer(r["f"], np.int32) for r in data]
-    toxic, weights, folds = np.array([r["toxic"] for r in data], float), np.array([r["weight"] for r in data]), np.array([r["fold"] for r in data])
-
-    def model(out: int | None) -> tuple[float, np.ndarray]:
-        """Intercept and weights of the features in ``keep``, without the rows of fold ``out``."""
-        use = np.flatnonzero(folds != (-1 if out is None else out))
-        at = np.searchsorted(keep, chosen[out][0])
-        if not len(at):
-            n0, n1 = (weights[use] * (toxic[use] == c) for c in (0, 1))
-            return float(np.log(n1.sum() / n0.sum())), np.zeros(len(keep))
-        column = np.full(len(keep), -1, np.int32)
-        column[at] = np.arange(len(at), dtype=np.int32)
-        own = [x[x >= 0] for x in (column[sets[i]] for i in use)]
-        scale = SIZE * chosen[out][1] / np.sqrt(max(1.0, sum(map(len, own)) / len(own)))
-        b, w = _logistic(own, scale, toxic[use], weights[use], l2, rounds)
-        full = np.zeros(len(keep))
-        full[at] = w * scale
-        return b, full
-
-    b, w = model(None)
-    z = np.full(len(data), np.nan)
-    for k in scored:
-        bk, wk = model(k)
-        for i in np.flatnonzero(folds == k):
-            z[i] = bk + wk[sets[i]].sum()
-    there = ~np.isnan(z)
-    table[keep] = w
-    return b - _shift(z[there], toxic[there]), table
+    models = F.explode(F.array(*[F.lit(k) for k in (-1, *scored)])).alias("model")
+    jobs = sampled.select(models, "text", "toxic", "weight", "fold").repartition(FOLDS + 1, "model").groupBy("model")
+    made = jobs.applyInArrow(train, "model int, b double, w binary, z array<double>, toxic array<double>").collect()  # FOLDS + 1 rows
+    z = np.array([x for r in made for x in r["z"]])
+    toxic = np.array([x for r in made for x in r["toxic"]])
+    (whole,) = (r for r in made if r["model"] < 0)
+    return whole["b"] - _shift(z, toxic), np.frombuffer(whole["w"], np.float32).astype(float)
 
 
 def score(docs: DataFrame, model: tuple[float, np.ndarray], text_col: str = "text", carry: list[str] | None = None) -> DataFrame:

@@ -16,7 +16,9 @@ from sondeframe.llm.quality import keep_quality, quality
 from sondeframe.llm.queries import op1_token_counts
 from sondeframe.llm.spviterbi import Encoder, StreamingViterbi, encoded
 from sondeframe.llm.tokens import UnitEncoder, public_path
+from sondeframe.llm import toxicity as toxicity_module
 from sondeframe.llm.toxicity import _shift, features, fit, sample, toxicity
+from sondeframe.llm.toxicity import scales as toxicity_scales
 
 TEXT = st.text(st.sampled_from(list("abZ .,'st\n\t19éÀß|#<$|>½ \u0301\x1c\u2003ü中")) | st.characters(codec="utf-8"), max_size=60)
 _made = {}
@@ -376,10 +378,16 @@ def test_toxicity_scores_match_a_plain_recount(spark):
     sets = dict(zip([r[0] for r in rows], [set(np.concatenate(f).tolist()) for f in features(pa.array([r[1] for r in rows]))], strict=True))
     n1 = sum(r[2] for r in train)
     n0 = len(train) - n1
+    kept = 0
     for f in set().union(*sets.values()):
         p, q = (sum(f in sets[r[0]] for r in train if r[2] == c) for c in (1, 0))
-        ratio = np.log(p / n1 + 0.3 / n1) - np.log(q / n0 + 0.3 / n1)
-        assert (table[f] != 0) <= (abs(ratio) > 3 * np.sqrt(1 / (p + 0.5) + 1 / (q + 0.5)))
+        ratio = np.log((p + 0.3) / n1) - np.log(q / n0 + 0.3 / n1)
+        z = ratio / np.sqrt(1 / (p + 0.5) + 1 / (q + 0.5))
+        scale = toxicity_scales(np.array([float(p)]), np.array([float(q)]), n1, n0)[0]
+        assert abs(scale - ratio * z**2 / (z**2 + 9)) < 1e-12
+        assert (table[f] != 0) == (p + q > 0 and abs(scale) > 1e-12)  # every feature of the training texts keeps its part
+        kept += table[f] != 0
+    assert kept > 0.95 * len(set().union(*(sets[r[0]] for r in train)))
     for r in toxicity(docs, labels).collect():
         assert abs(r.score - 1 / (1 + np.exp(-(b + sum(table[f] for f in sets[r.doc_id]))))) < 1e-5
 
@@ -390,3 +398,28 @@ def test_quality_keeps_columns_of_any_name(spark):
     got = keep_quality(docs)
     assert got.columns == docs.columns and sorted(r["_q"] for r in got.collect()) == [5, 7]
     assert keep_quality(docs.where("false")).count() == 0 and quality(docs.where("false")).count() == 0
+
+
+def test_toxicity_features_of_long_texts_do_not_depend_on_slices(monkeypatch):
+    """Slices cut inside words, runs of white space and code points of several bytes give the same features."""
+    rng = np.random.default_rng(8)
+    text = "".join(rng.choice(["a", "B", "é", "ж", "中", " ", "  \n", "\t", "x y"], 3000))
+    whole = [np.sort(x) for x in next(features(pa.array([text])))]
+    for size in (7, 64, 1001):
+        monkeypatch.setattr(toxicity_module, "SLICE", size)
+        (sliced,) = features(pa.array([text]))
+        assert all((a == b).all() for a, b in zip(whole, sliced, strict=True))
+    monkeypatch.undo()
+    assert len(next(features(pa.array(["жжжж"])))[0]) == 1 and len(next(features(pa.array(["жжж"])))[0]) == 0  # code points, not bytes
+
+
+def test_toxicity_memory_stays_bounded_for_a_long_text():
+    """A text of 40 MB is hashed within a tenth of what whole arrays of it would take."""
+    import tracemalloc
+
+    text = pa.array([" ".join(f"w{i % 5000}" for i in range(6_500_000))])
+    tracemalloc.start()
+    (found,) = features(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6 and all(len(x) for x in found)

@@ -9,13 +9,14 @@ marker file, named by the batch id, into ``commits``; totals read what markers n
 and nothing else, so an attempt in flight or dead halfway is never seen.  A marker
 holds a digest of the batch's sums: committing a known id again with equal sums
 changes nothing, with other sums it is an error.  ``compact`` folds committed batches
-into one and carries their ids, by which they are skipped from then on.  One committer at a time works on a
+into the base of a new folder, with their ids and digests, so both still hold for them, and closes the
+old folder: a later commit there is an error and not a change that no total shows.  One committer at a time works on a
 rollup; a lost one is followed by another that commits the same batch again.
 
 Edge cases: "base" is no batch id, as it names the folded batch; a null text has no tokens; null sources and languages are groups of
 their own; totals that return to zero stay as zero rows; repeated rows each count; an
 empty batch is committed like any other; columns of the documents called ``tokenizer``
-or ``n_tokens`` give way to the new ones.
+or ``n_tokens`` give way to the new ones, others may have any name.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from sondeframe.llm.files import open_fs
 from sondeframe.llm.tokens import encoder
 
 KEYS = ["source", "lang", "tokenizer"]
-BASE = "base"
+BASE, CLOSED = "base", "closed"
 DELTA = "source string, lang string, tokenizer string, d_docs long, d_tokens long"
 
 
@@ -44,8 +45,11 @@ def count_tokens(docs: DataFrame, tokenizers: dict[str, tuple[str, str]], text_c
     """``docs`` columns other than the text, with ``tokenizer`` (a version name) and ``n_tokens``; one row for each version."""
     keep = [F.col(f"`{c}`") for c in docs.columns if c != text_col and c not in ("tokenizer", "n_tokens")]
     width = len(keep)
-    source = docs.select(*keep, F.col(f"`{text_col}`").cast("string").alias("_text"))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in source.drop("_text").schema] + ["tokenizer string", "n_tokens long"])
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema] + ["tokenizer string", "n_tokens long"])
+    free = "_text"
+    while free in docs.columns:
+        free += "_"
+    source = docs.select(*keep, F.col(f"`{text_col}`").cast("string").alias(free))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, width):
@@ -99,23 +103,32 @@ def _attempt(df: DataFrame, rollup: str) -> str:
 
 
 def _folded(spark: SparkSession, rollup: str, markers: dict[str, dict]) -> DataFrame:
-    """``(batch_id)`` of the batches that the base holds."""
-    schema = "batch_id string"
+    """``(batch_id, digest)`` of the batches that the base holds."""
+    schema = "batch_id string, digest string"
     return spark.read.schema(schema).parquet(f"{rollup}/{markers[BASE]['folded']}") if BASE in markers else spark.createDataFrame([], schema)
 
 
+def _digest(sums: DataFrame) -> str:
+    """Of sums by key, whatever their order.  Each column counts with its place and whether it is null."""
+    parts = [F.struct(F.lit(i), F.col(c).isNull(), F.coalesce(F.col(c).cast("string"), F.lit(""))) for i, c in enumerate((*KEYS, "d_docs", "d_tokens"))]
+    made = sums.agg(F.count("*"), F.bit_xor(F.xxhash64(*parts)), F.bit_xor(F.xxhash64(F.lit(1), *parts))).first()
+    return ":".join(map(str, made))
+
+
 def commit(changes: DataFrame, rollup: str, batch_id: str) -> bool:
     """Commit signed changes under ``batch_id``; False when it is committed already, also when it is folded."""
-    if batch_id == BASE:
-        raise ValueError(f"{BASE} is the name of the folded batch")
+    if batch_id in (BASE, CLOSED):
+        raise ValueError(f"{batch_id} is no name for a batch")
     spark, markers = changes.sparkSession, _markers(rollup)
-    if not _folded(spark, rollup, markers).where(F.col("batch_id") == batch_id).isEmpty():
-        return False
+    if CLOSED in markers:
+        raise ValueError(f"this rollup went on in {markers[CLOSED]['into']}")
     sums = changes.groupBy(*KEYS).agg(F.sum("d_docs").alias("d_docs"), F.sum("d_tokens").alias("d_tokens"))
     name = _attempt(sums, rollup)
-    made = spark.read.schema(DELTA).parquet(f"{rollup}/{name}").agg(F.count("*"), F.bit_xor(F.xxhash64(*KEYS, "d_docs", "d_tokens"))).first()
-    digest = f"{made[0]}:{made[1]}"
+    digest = _digest(spark.read.schema(DELTA).parquet(f"{rollup}/{name}"))
     known = markers[batch_id]["digest"] if batch_id in markers else None
+    if known is None:
+        folded = _folded(spark, rollup, markers).where(F.col("batch_id") == batch_id).first()
+        known = folded["digest"] if folded else None
     if known is None:
         _publish(rollup, batch_id, {"path": name, "digest": digest})
         return True
@@ -125,7 +138,7 @@ def commit(changes: DataFrame, rollup: str, batch_id: str) -> bool:
 
 
 def _sums(spark: SparkSession, rollup: str, markers: dict[str, dict]) -> DataFrame:
-    paths = [f"{rollup}/{m['path']}" for m in markers.values()]
+    paths = [f"{rollup}/{m['path']}" for m in markers.values() if "path" in m]
     deltas = spark.read.schema(DELTA).parquet(*paths) if paths else spark.createDataFrame([], DELTA)
     return deltas.groupBy(*KEYS).agg(F.sum("d_docs").alias("n_docs"), F.sum("d_tokens").alias("n_tokens"))
 
@@ -136,9 +149,17 @@ def totals(spark: SparkSession, rollup: str) -> DataFrame:
 
 
 def compact(spark: SparkSession, rollup: str, into: str) -> None:
-    """Publish the present totals as the base of a new rollup folder, with the ids of all batches in it."""
+    """Publish the present totals as the base of a new rollup folder, with the ids and digests of all batches in it.
+
+    The old folder is closed first; a compaction that died after that is done again with the same ``into``.
+    """
     markers = _markers(rollup)
-    new = spark.createDataFrame([(b,) for b in markers if b != BASE], "batch_id string")
+    if CLOSED in markers and markers[CLOSED]["into"] != into:
+        raise ValueError(f"this rollup went on in {markers[CLOSED]['into']}")
+    if BASE in _markers(into):
+        return
+    _publish(rollup, CLOSED, {"into": into})
+    new = spark.createDataFrame([(b, m["digest"]) for b, m in markers.items() if b not in (BASE, CLOSED)], "batch_id string, digest string")
     folded = _attempt(_folded(spark, rollup, markers).unionByName(new), into)
     sums = _sums(spark, rollup, markers).select(*KEYS, F.col("n_docs").alias("d_docs"), F.col("n_tokens").alias("d_tokens"))
     _publish(into, BASE, {"path": _attempt(sums, into), "digest": "", "folded": folded})

@@ -325,8 +325,10 @@ def test_folded_batches_are_not_counted_again(spark, tmp_path):
     for _ in range(2):
         tokencounts.commit(tokencounts.deletes(counted.where("n_tokens = 7")), second, "b2")
     tokencounts.compact(spark, second, third)
-    for batch in ("b1", "b2"):
-        tokencounts.commit(tokencounts.inserts(counted), third, batch)
+    assert not tokencounts.commit(tokencounts.inserts(counted), third, "b1")
+    assert not tokencounts.commit(tokencounts.deletes(counted.where("n_tokens = 7")), third, "b2")
+    with pytest.raises(ValueError, match="other sums"):  # a folded id keeps its digest
+        tokencounts.commit(tokencounts.inserts(counted), third, "b2")
     assert shown(third) == {("a", "en"): (1, 5), (None, "de"): (1, 2)}
     with pytest.raises(ValueError):
         tokencounts.commit(tokencounts.inserts(counted), third, "base")
@@ -423,3 +425,38 @@ def test_toxicity_memory_stays_bounded_for_a_long_text():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 100e6 and all(len(x) for x in found)
+
+
+def test_token_counts_lose_no_change_silently(spark, tmp_path):
+    """Nulls count in the digest, a compacted folder is closed, a folded id with other sums raises."""
+    schema = "source string, lang string, tokenizer string, n_tokens long"
+    one, other = (tokencounts.inserts(spark.createDataFrame([r], schema)) for r in ((None, "en", "v", 4), ("en", None, "v", 4)))
+    old, new, third = (f"file://{tmp_path}/{x}" for x in ("old", "new", "third"))
+    assert tokencounts.commit(one, old, "b")
+    with pytest.raises(ValueError, match="other sums"):
+        tokencounts.commit(other, old, "b")
+    tokencounts.compact(spark, old, new)
+    tokencounts.compact(spark, old, new)  # done again after a lost acknowledgement
+    with pytest.raises(ValueError, match="went on in"):
+        tokencounts.commit(other, old, "c")
+    with pytest.raises(ValueError, match="went on in"):
+        tokencounts.compact(spark, old, third)
+    assert not tokencounts.commit(one, new, "b") and tokencounts.commit(other, new, "c")
+    with pytest.raises(ValueError, match="other sums"):
+        tokencounts.commit(other, new, "b")
+    tokencounts.compact(spark, new, third)
+    with pytest.raises(ValueError, match="other sums"):
+        tokencounts.commit(other, third, "b")
+    assert not tokencounts.commit(other, third, "c")
+    shown = [(r.source, r.lang, r.n_docs, r.n_tokens) for r in tokencounts.totals(spark, third).collect()]
+    assert sorted(shown, key=str) == sorted([(None, "en", 1, 4), ("en", None, 1, 4)], key=str)
+    assert tokencounts.totals(spark, old).count() == 1  # what it held stays readable
+    for name in (tokencounts.BASE, tokencounts.CLOSED):
+        with pytest.raises(ValueError):
+            tokencounts.commit(one, third, name)
+
+
+def test_token_counts_take_any_column_names(spark):
+    docs = spark.createDataFrame([("a", "x", 1.5, "hello there"), ("b", "y", None, None)], "_text string, _text_ string, n_tokens double, text string")
+    got = tokencounts.count_tokens(docs, {"byte@1": (public_path("byte_bpe_50k.json"), "byte")})
+    assert got.columns == ["_text", "_text_", "tokenizer", "n_tokens"] and sorted((r["_text"], r["_text_"], r.n_tokens > 0) for r in got.collect()) == [("a", "x", True), ("b", "y", False)]

@@ -97,6 +97,18 @@ def dense_series(samples: DataFrame, sources: list[DataFrame], keys: list[str],
     return packed.select("sample_id", F.col("_r.day").alias("days"), F.col("_r.v").alias("meteo"))
 
 
+def in_store_order(index: DataFrame, order: DataFrame) -> DataFrame:
+    """Index rows by the places of an array store: ``order(store, position, sample_id)`` joined with the index, sorted by place.
+
+    Raises, with at most ten of them named, when the store holds samples that the index lacks.
+    Each store's rows come together in one partition, so arrays written from them follow its order.
+    """
+    lost = order.join(index.select("sample_id"), "sample_id", "left_anti").select("sample_id").orderBy("sample_id").limit(10).collect()
+    if lost:
+        raise ValueError(f"not in the index: {', '.join(str(r['sample_id']) for r in lost)}")
+    return order.join(index, "sample_id").repartition("store").sortWithinPartitions("store", "position")
+
+
 def acceptance(index: DataFrame) -> DataFrame:
     """``(check, found, passed)`` for the schema, the distance of test and train, and their dates."""
     kinds = {"schema": violations(index), "spatial": spatial_leaks(index), "temporal": dates_in_both(index)}

@@ -110,6 +110,13 @@ def label_counts(
     return _made(met, keys, lat, lon, size, res, block, pack, "cls int, n long", ["cls", "n"])
 
 
+def patch_pixels(patches: DataFrame, size: int = C.PATCH) -> DataFrame:
+    """``(id, y, x, cls)`` of ``patches(id, patch)``: a row a pixel, for array stores."""
+    byte = F.conv(F.hex(F.substring("patch", F.col("k") + 1, 1)), 16, 10).cast("int")
+    each = patches.select("id", "patch", F.explode(F.sequence(F.lit(0), F.lit(size * size - 1))).alias("k"))
+    return each.select("id", F.floor(F.col("k") / size).alias("y"), (F.col("k") % size).cast("long").alias("x"), byte.alias("cls"))
+
+
 def _patch(zone, east, north, blocks, steps, lat, lon, block: int) -> np.ndarray:
     """The classes of one square."""
     if zone is None or east is None:

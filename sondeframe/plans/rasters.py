@@ -12,6 +12,8 @@ from sondeframe.functions import names, utm
 from sondeframe.operators import joins, patches, prefix, regrid
 from sondeframe.plans.derived import derived, sql
 from sondeframe.plans.registry import _BOXES, _SHA, _boxes, query
+from sondeframe.sources import chunked, clustered, published, readers
+from sondeframe.streaming import fold
 
 _YEARS = "(select distinct cast(year(l_shipdate) as int) y from lineitem where l_shipdate is not null)"
 _STARTS = f"(select cast(unnest(generate_series(make_date(y, 1, 1), make_date(y, 12, 31), interval 16 day)) as date) as day from {_YEARS})"
@@ -188,3 +190,50 @@ def tile_labels(spark, d):
     sites = derived(spark, d, "site").withColumn("day", F.date_add(F.lit("1994-06-01").cast("date"), (F.col("id") * 13 % 3000).cast("int")))
     dated = joins.as_of_small(sites, labels.select(F.col("label_date").alias("day")).distinct(), "day", "label_date")
     return patches.label_counts(dated, labels, ["label_date"], (30.0, 0.05, 140), (22.0, 0.05, 280))
+
+
+# --- stores and streams -------------------------------------------------------------------------------------------
+_BASE_YEAR = 1990
+
+
+@query(f"""select cast(year(day) as int) "year", yi // 20 * 20 lat_from, cast(cls as int) cls, cast(count(*) as bigint) n from (select day, yi, xi, max(cls) cls from {_YEARLY} where cls <> 255 group by 1, 2, 3)
+ where yi between 10 and 95 and xi between 100 and 219 group by 1, 2, 3""")
+def label_store(spark, d):
+    """Label rasters as a chunked array of (year, lat, lon), written, and read by the data source: a box touches some chunks only."""
+    line = _line(spark, d).where("l_linenumber <> 7")
+    labels = line.select((F.year("l_shipdate") - _BASE_YEAR).cast("long").alias("year"), ((F.col("l_partkey") * 31 + F.col("l_linenumber")) % 140).alias("lat"),
+                         ((F.col("l_orderkey") * 17 + F.col("l_suppkey")) % 280).alias("lon"), (F.col("l_quantity") % 4).cast("int").alias("value")).where("year is not null")
+    store = fold._folder(spark)
+    chunked.create_array(store, "label", ["year", "lat", "lon"], [40, 140, 280], [1, 70, 70], "u1", C.NODATA)
+    chunked.write_array(labels, store, "label")
+    box = chunked.read_array(spark, store, "label").where("lat >= 10 and lat <= 95 and lon >= 100 and lon <= 219 and value is not null")
+    year = (F.col("year") + _BASE_YEAR).cast("int").alias("year")
+    return box.groupBy(year, (F.floor(F.col("lat") / 20) * 20).cast("int").alias("lat_from"), F.col("value").cast("int").alias("cls")).agg(F.count("*").alias("n"))
+
+
+@query(f"""select o_orderkey k, o_totalprice v from (select *, 22 + cast((o_custkey * 37) % 1400 as double) / 100 lon, 30 + cast((o_custkey * o_custkey) % 701 as double) / 100 lat from orders)
+ where lon between {C.DELTA[0]} and {C.DELTA[2]} and lat between {C.DELTA[1]} and {C.DELTA[3]}""")
+def clustered_box(spark, d):
+    """Orders as points, written along the curve, and a box read back through the bounds of row groups."""
+    at = {"lon": "22 + cast((o_custkey * 37) % 1400 as double) / 100", "lat": "30 + cast((o_custkey * o_custkey) % 701 as double) / 100"}
+    points = spark.read.parquet(f"{d}/orders.parquet").selectExpr("o_orderkey as k", "o_totalprice as v", *[f"{e} as {c}" for c, e in at.items()])
+    path = fold._folder(spark)
+    clustered.write_clustered(points, path, group_bytes=1 << 20)
+    return readers.read_box(spark, path, C.DELTA).select("k", "v")
+
+
+@query(f"""select cell, cast(ts as date) "day", cast(count(t2m) as bigint) n, round(avg(t2m), 6) "mean", round(min(t2m), 6) low, round(max(t2m), 6) high from {sql('hourly')}
+ group by 1, 2 having cast(ts as date) + 1 <= (select max(ts) - interval 1 day from {sql('hourly')})""")
+def streamed_days(spark, d):
+    """Hourly values that arrive in four files, up to eighteen hours late, as daily windows by event time; days still open are not put out."""
+    h = derived(spark, d, "hourly").select("cell", "ts", F.col("t2m").alias("value"), F.expr("ts + make_interval(0, 0, 0, 0, cast(crc32(cast(cast(ts as string) as binary)) % 19 as int))").alias("_arrived"))
+    ends = h.agg(F.min("_arrived").alias("a"), F.max("_arrived").alias("b")).first()
+    base = fold._folder(spark)
+    if ends["a"] is not None:
+        step = (ends["b"] - ends["a"]) / 4
+        for k in range(4):  # one after the other, so that they arrive in this order
+            own = (F.col("_arrived") >= ends["a"] + k * step) & ((F.col("_arrived") < ends["a"] + (k + 1) * step) if k < 3 else F.lit(True))
+            h.where(own).drop("_arrived").coalesce(1).write.mode("append").parquet(f"{base}/in")
+        fold.stream_days(spark, f"{base}/in", h.drop("_arrived").schema, ["cell"], f"{base}/out", f"{base}/checkpoint")
+    days = published.read_published(spark, f"{base}/out", fold.daily_windows(h, ["cell"]).schema)
+    return days.select("cell", "day", "n", *[F.round(c, 6).alias(c) for c in ("mean", "low", "high")])

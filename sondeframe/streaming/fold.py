@@ -79,7 +79,32 @@ def append_new(spark: SparkSession, source: str, schema, target: str, checkpoint
     stream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def daily_windows(events: DataFrame, ts: str = "ts", value: str = "value", late: str = "1 day") -> DataFrame:
-    """An extension: tumbling days with a watermark, for batch or streaming input."""
+def daily_windows(events: DataFrame, keys: list[str], ts: str = "ts", value: str = "value", late: str = "1 day") -> DataFrame:
+    """``(keys, day, n, mean, low, high)``: tumbling days, for a batch or a stream; a stream drops rows later than ``late``.
+
+    Days are those of UTC; times without a zone are taken as they stand, whatever the session's zone.
+    """
+    if events.schema[ts].dataType.typeName() == "timestamp_ntz":
+        events = events.withColumn(ts, F.concat(F.col(ts).cast("string"), F.lit("Z")).cast("timestamp"))
     df = events.withWatermark(ts, late) if events.isStreaming else events
-    return df.groupBy(F.window(ts, "1 day").alias("w")).agg(F.avg(value).alias("mean"), F.max(value).alias("max"), F.min(value).alias("min"))
+    v = F.col(value)
+    g = df.groupBy(*keys, F.window(ts, "1 day").alias("_w")).agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.min(v).alias("low"), F.max(v).alias("high"))
+    day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("_w.start")) / 86400).cast("int")).alias("day")
+    return g.select(*keys, day, "n", "mean", "low", "high")
+
+
+def stream_days(spark: SparkSession, source: str, schema, keys: list[str], target: str, checkpoint: str, ts: str = "ts", value: str = "value", late: str = "1 day", files: int = 1) -> None:
+    """Daily values of hourly files as they arrive, by event time, into the published table ``target``.
+
+    A day is put out once, when the watermark (the latest time seen less ``late``) has passed its end, so rows that
+    come late within the bound still count in it.  State and progress lie in ``checkpoint``:
+    a restart goes on with new files only, and a replayed micro-batch finds itself published.
+    """
+    stream_id = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        publish(df, target, f"{stream_id}-{batch_id:09d}")
+
+    days = daily_windows(_stream(spark, source, schema, files), keys, ts, value, late)
+    out = days.writeStream.outputMode("append").foreachBatch(batch).option("checkpointLocation", checkpoint)
+    out.trigger(availableNow=True).start().awaitTermination()

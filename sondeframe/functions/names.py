@@ -93,5 +93,5 @@ def pick_asset(keys: Column, pattern: str) -> Column:
 
 
 def clean_text(c: Column) -> Column:
-    """Replace what isn't valid UTF-8."""
-    return F.decode(F.encode(c, "UTF-8"), "UTF-8")
+    """Text with every part that isn't valid UTF-8 replaced by the replacement character."""
+    return F.make_valid_utf8(c)

@@ -54,11 +54,21 @@ def disk_scenes(paths: DataFrame) -> DataFrame:
     return df.groupBy("day").agg(F.max_by("sensor", "path").alias("sensor"), F.max("path").alias("path"))
 
 
+def resolve_scenes(scenes: DataFrame, source: str, hrefs: Column | None = None, starts: DataFrame | None = None) -> DataFrame:
+    """``(day, sensor, item)`` by a strategy over one frame of scenes.
+
+    ``disk`` takes ``scenes(path)`` as they lie there; ``catalog`` takes items ``(id, day,
+    cloud)``: the clearest of each window when ``starts`` are given, else the first of each date, only those with all ``hrefs``.
+    """
+    if source == "disk":
+        return disk_scenes(scenes).select("day", "sensor", F.col("path").alias("item"))
+    if source != "catalog" or hrefs is None:
+        raise ValueError(f"no such source of scenes, or no links: {source}")
+    found = first_per_date(scenes, hrefs) if starts is None else one_per_window(scenes, starts, hrefs)
+    return found.select("day", names.sensor_of(F.col("id")).alias("sensor"), F.col("id").alias("item"))
+
+
 def find_reference(paths: DataFrame, want: str | None = None) -> DataFrame:
     """The first file of a date, else the first in name order."""
     df = paths.withColumn("day", names.scene_date(F.col("path")))
     return (df.where(F.col("day") == F.lit(want).cast("date")) if want else df).orderBy("path").limit(1)
-
-
-def manifest(scenes: DataFrame, tile: str) -> DataFrame:
-    return scenes.select(F.lit(tile).alias("tile"), "day", names.sensor_of(F.col("id")).alias("sensor"), F.col("id").alias("item_id"), "cloud", "hrefs")

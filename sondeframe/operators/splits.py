@@ -58,10 +58,15 @@ def temporal_split(year: Column) -> Column:
 
 
 def split_documents(cells: dict, seed: int = C.SEED) -> tuple[dict, dict]:
-    """The spatial and the temporal split as plain documents."""
+    """The spatial and the temporal split as plain documents, with all that is needed to make them again."""
     counts: dict[str, int] = {}
     for v in cells.values():
         counts[v] = counts.get(v, 0) + 1
-    spatial = {"seed": seed, "buffer_km": C.BUFFER_KM, "counts": counts, "cells": {f"{x}_{y}": s for (x, y), s in sorted(cells.items())}}
-    spans = (("train", C.TRAIN_YEARS), ("test", C.TEST_YEARS), ("ood_time", C.OOD_TIME_YEARS))
-    return spatial, {"years": {str(y): s for s, (a, b) in spans for y in range(a, b + 1)}}
+    spatial = {
+        "version": "v1", "kind": "spatial_block_cv", "seed": seed, "cell_size_deg": C.CELL_DEG, "ratio": dict(zip(("train", "val", "test"), C.SPLIT_RATIO, strict=True)),
+        "roi_bbox": list(C.ROI), "ood_bbox": list(C.OOD), "buffer_km": C.BUFFER_KM, "counts": counts, "cells": {f"{x}_{y}": s for (x, y), s in sorted(cells.items())},
+    }
+    spans = {"train": C.TRAIN_YEARS, "test": C.TEST_YEARS, "ood_time": C.OOD_TIME_YEARS}
+    years = {str(y): s for s, (a, b) in spans.items() for y in range(a, b + 1)}
+    temporal = {"version": "v1_temporal", "kind": "temporal_holdout", "rule": "by_calendar_year", **{f"{k}_years": list(range(a, b + 1)) for k, (a, b) in spans.items()}, "assignment": years}
+    return spatial, temporal

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from sondeframe import config as C
 from sondeframe.functions import names, utm
-from sondeframe.operators import joins, patches, prefix, regrid
-from sondeframe.plans.derived import derived, sql
-from sondeframe.plans.registry import _BOXES, _SHA, _boxes, query
-from sondeframe.sources import chunked, clustered, published, readers
+from sondeframe.operators import catalog, joins, patches, prefix, regrid
+from sondeframe.plans.derived import derived, monthly, sql
+from sondeframe.plans.registry import _BOXES, _SHA, ORACLE, QUERIES, _boxes, _composite_starts, query
+from sondeframe.sources import chunked, clustered, published, readers, sinks
 from sondeframe.streaming import fold
 
 _YEARS = "(select distinct cast(year(l_shipdate) as int) y from lineitem where l_shipdate is not null)"
@@ -237,3 +237,34 @@ def streamed_days(spark, d):
         fold.stream_days(spark, f"{base}/in", h.drop("_arrived").schema, ["cell"], f"{base}/out", f"{base}/checkpoint")
     days = published.read_published(spark, f"{base}/out", fold.daily_windows(h, ["cell"]).schema)
     return days.select("cell", "day", "n", *[F.round(c, 6).alias(c) for c in ("mean", "low", "high")])
+
+
+@query(f"""select 'doy' kind, cell, doy "key", mean, std, n from ({ORACLE["circular_doy_stats"]}) union all select 'month', cell, "month", wb_mean, wb_std, null from ({ORACLE["water_balance_stats"]})
+ union all select 'monthly', cast(l_suppkey % 20 as int), cast(year(l_shipdate) * 100 + month(l_shipdate) as int), round(sum(l_extendedprice) / 1e6, 5), null, null from lineitem group by 2, 3""")
+def climatology_tables(spark, d):
+    """Statistics by day of year and month, and monthly sums, written as one climatology and read back."""
+    pet = monthly(spark, d, "pet").withColumnRenamed("pet", "total").withColumn("total", F.round("total", 5))
+    path = fold._folder(spark)
+    sinks.write_climatology(path, QUERIES["circular_doy_stats"](spark, d), QUERIES["water_balance_stats"](spark, d), pet)
+    return readers.read_table(spark, path, "parquet", sinks.CLIMATOLOGY)
+
+
+@query(f"""select 'disk' source, "day", sensor, path item from ({ORACLE["disk_scenes"]}) union all select 'window', "day", 'S30', id from ({ORACLE["one_scene_per_window_all_years"]}) union all select 'date', "day", 'S30', id from ({ORACLE["first_scene_per_date"]})""")
+def resolved_scenes(spark, d):
+    """The three ways to choose scenes, over the same table."""
+    s = derived(spark, d, "scene")
+    links = F.when(names.sensor_of(F.col("id")) == "S30", F.lit("x"))
+    paths = s.select(F.concat("id", F.lit(".B04.tif")).alias("path"))
+    kinds = {"disk": catalog.resolve_scenes(paths, "disk"), "window": catalog.resolve_scenes(s, "catalog", links, _composite_starts(s.select(F.year("day").alias("year")), "start")), "date": catalog.resolve_scenes(s, "catalog", links)}
+    parts = [v.select(F.lit(k).alias("source"), "day", "sensor", "item") for k, v in kinds.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("""with m as (select distinct cast(unnest(generate_series(date_trunc('month', cast(o_orderdate as date) - 89), date_trunc('month', o_orderdate), interval 1 month)) as date) m from orders where o_orderdate is not null)
+ select cast(year(m) as int) "year", cast(month(m) as int) "month", printf('precip.%04d.%02d.nc', cast(year(m) as int), cast(month(m) as int)) file, m in (select cast(date_trunc('month', l_shipdate) as date) from lineitem) there from m""")
+def season_inputs(spark, d):
+    """The month files that the ninety days before any order touch, and whether their data exist."""
+    ends = spark.read.parquet(f"{d}/orders.parquet").select(F.to_date("o_orderdate").alias("end")).where("end is not null")
+    months = readers.months_spanning(ends, "end")
+    held = _line(spark, d).select(F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month")).distinct().withColumn("there", F.lit(True))
+    return months.join(held, ["year", "month"], "left").select("year", "month", names.month_file(F.col("year"), F.col("month")).alias("file"), F.coalesce("there", F.lit(False)).alias("there"))

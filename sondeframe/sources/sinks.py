@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import json
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sondeframe import config as C
+from sondeframe.functions.names import clean_text
 from sondeframe.operators.dataset import new_rows
+from sondeframe.operators.splits import split_documents
 from sondeframe.sources.published import publish, read_published
 
 
@@ -45,5 +50,32 @@ def write_prevalence(counts: DataFrame, path: str) -> None:
 
 
 def report(rows: DataFrame) -> DataFrame:
-    """One JSON document a row."""
-    return rows.select(F.to_json(F.struct("*")).alias("document"))
+    """One JSON document a row; text that isn't valid UTF-8 is mended first."""
+    mended = [clean_text(F.col(f.name)).alias(f.name) if f.dataType.typeName() == "string" else F.col(f.name) for f in rows.schema]
+    return rows.select(F.to_json(F.struct(*mended)).alias("document"))
+
+
+CLIMATOLOGY = "kind string, cell int, key int, mean double, std double, n long"
+
+
+def write_climatology(path: str, doy: DataFrame, month: DataFrame, monthly: DataFrame) -> None:
+    """The three tables of a climatology under one path, a partition for each kind, sorted by cell and key.
+
+    ``doy(cell, doy, mean, std, n)``, ``month(cell, month, wb_mean, wb_std)`` and ``monthly(cell, ym,
+    total)``, whose value is its ``mean``.  A kind that is written again replaces its own partition only.
+    """
+    none = lambda t: F.lit(None).cast(t)
+    parts = [
+        doy.select(F.lit("doy").alias("kind"), "cell", F.col("doy").cast("int").alias("key"), "mean", "std", "n"),
+        month.select(F.lit("month").alias("kind"), "cell", F.col("month").cast("int").alias("key"), F.col("wb_mean").alias("mean"), F.col("wb_std").alias("std"), none("long").alias("n")),
+        monthly.select(F.lit("monthly").alias("kind"), "cell", F.col("ym").cast("int").alias("key"), F.col("total").alias("mean"), none("double").alias("std"), none("long").alias("n")),
+    ]
+    whole = reduce(DataFrame.unionByName, parts)
+    overwrite_partitions(whole.repartitionByRange("kind", "cell", "key").sortWithinPartitions("kind", "cell", "key"), path, ("kind",))
+
+
+def write_split_documents(spark: SparkSession, path: str, cells: dict[tuple[int, int], str]) -> None:
+    """The spatial and the temporal split as JSON documents, a row each: ``(kind, document)``; cells are some hundreds."""
+    spatial, temporal = split_documents(cells)
+    rows = [("spatial", json.dumps(spatial)), ("temporal", json.dumps(temporal))]
+    spark.createDataFrame(rows, "kind string, document string").coalesce(1).write.mode("overwrite").json(path)

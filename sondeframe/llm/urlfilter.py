@@ -124,9 +124,8 @@ def features(host: Column, path: Column) -> Column:
 
 def fit(spark: SparkSession, labelled: Sequence[tuple[str, int]] = LABELLED) -> tuple[float, list[float]]:
     """Intercept and weights from a small labelled table."""
-    rows = spark.sql("select inline(from_json('{}', 'array<struct<url:string,label:double>>'))".format(
-        json.dumps([{"url": u, "label": float(y)} for u, y in labelled]).replace("'", "\\'")
-    ))
+    table = json.dumps([{"url": u, "label": float(y)} for u, y in labelled])
+    rows = spark.range(1).select(F.inline(F.from_json(F.lit(table), "array<struct<url:string,label:double>>")))
     host, path = host_and_path(F.col("url"))
     # Grouping keeps the optimiser from moving the n-grams into the lambda below.
     rows = rows.select("url", "label", F.explode(features(host, path)).alias("b")).groupBy("url", "label").agg(F.collect_set("b").alias("b"))

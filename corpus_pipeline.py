@@ -26,7 +26,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents not predicted toxic; labels are learned from the labelled documents of the whole table."""
+    """Documents not predicted toxic; labels are learned from the labelled documents of the whole table.
+
+    Null and empty texts score the intercept, repeated rows score alike, null ids are judged by their text; without
+    labels of both classes nothing is dropped unless all labels are toxic; very long texts are scored whole, in slices.
+    """
     return drop_toxic(docs, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 

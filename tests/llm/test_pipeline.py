@@ -27,3 +27,9 @@ def test_odd_rows(spark, sf, odd_docs):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf)
     assert {r.doc_id for r in docs.collect()} <= {1, 4, 5, None}
+
+
+def test_stages_take_an_empty_table(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("false")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, sf).count() == 0

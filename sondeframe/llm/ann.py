@@ -9,10 +9,15 @@ with lookup tables and the best ``rerank`` of each block are scored exactly.
 Cells and codebooks are fitted on at most ``FIT_ROWS`` vectors; every vector is
 indexed.  The number of cells grows with the rows, one for about ``CELL_ROWS``: a
 cell is a first centre and, beyond what the sample can place, a second one for the
-residual.  The true neighbours of ``ASKED`` sampled vectors among all rows (one exact
-pass, linear in the rows) set the number of cells probed: the smallest that holds
+residual.  The true neighbours of ``ASKED`` sampled queries among all rows (one exact
+pass, linear in the rows) set the number of cells probed first: the smallest that holds
 ``COVERAGE`` of them.  A query whose cells hold too few vectors for its neighbours
-probes more of them.  Cells are packed in blocks of about ``BLOCK_ROWS`` vectors and
+probes more of them.
+
+Nothing rests on the sample: each row's distance to its code is kept, so its score has an upper
+bound, and rows whose bound reaches the block's last place are scored exactly too.  A cell
+has a bound by its radius and its longest vector; cells whose bound reaches a query's last place of the
+first pass are scanned in a second one.  Rows without clusters leave most cells open.  Cells are packed in blocks of about ``BLOCK_ROWS`` vectors and
 queries in blocks of ``QUERY_ROWS``, so a crowded cell is many small tasks; a task
 merges what its cells give for one query before the shuffle.
 
@@ -45,6 +50,8 @@ KEPT_ROWS = 500_000  # found rows that a task holds
 SUB = 2  # dimensions a code
 CODES = 16  # four bits
 THRESHOLD = 0.2
+PAIRS = 1 << 15  # pairs scored at once
+SLACK = 1e-5  # of the vectors' lengths, for rounding in tables of four-byte numbers
 
 
 class Model:
@@ -99,6 +106,23 @@ class Model:
         u = _pad(x / np.linalg.norm(x, axis=1, keepdims=True)).reshape(len(x), -1, SUB)
         return _assign(t, u, self.books, self.eta, None, sweeps)
 
+    def errors(self, x: np.ndarray, cells: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Distance of each vector to what its codes stand for."""
+        t = _pad(x - self.centres(cells)).reshape(len(x), -1, SUB)
+        return np.sqrt(sum(((t[:, m] - self.books[m][codes[:, m]]) ** 2).sum(1) for m in range(t.shape[1])))
+
+    def open_cells(self, q: np.ndarray, least: np.ndarray, done: list, radius: np.ndarray, norm: np.ndarray) -> list[list[int]]:
+        """For each query the cells beside ``done`` that may hold a score of ``least``; ``radius`` and ``norm`` are the cells' largest."""
+        out = []
+        for row, low, probed in zip(q, least, done, strict=True):
+            long = np.linalg.norm(row)
+            reach = np.minimum(self.scores(row[None])[0] + long * radius, long * norm)
+            # Not below, rather than above: a bound that is no number leaves its cell open.
+            there = (self.held > 0) & ~(reach + SLACK * long * (norm + radius) < low)
+            there[np.asarray(probed, np.int64)] = False
+            out.append(np.flatnonzero(there).tolist())
+        return out
+
     def tables(self, q: np.ndarray) -> np.ndarray:
         """(queries, bytes, 256): a lookup table for each pair of four-bit codes."""
         part = np.einsum("qms,mks->qmk", _pad(q).reshape(len(q), -1, SUB), self.books)
@@ -141,6 +165,12 @@ def _closest(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
 
+def _products(x: np.ndarray, q: np.ndarray, of: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Inner product of the pairs ``(q[of], x[place])``, alike for equal vectors whatever the others are."""
+    parts = [np.einsum("nd,nd->n", x[place[at : at + PAIRS]], q[of[at : at + PAIRS]]) for at in range(0, len(of), PAIRS)]
+    return np.concatenate(parts) if parts else np.zeros(0)
+
+
 def _largest(scores: np.ndarray, m: int) -> np.ndarray:
     """(queries, m): the places of the ``m`` largest of each row, rising; of equal ones the first."""
     least = np.partition(scores, scores.shape[1] - m, axis=1)[:, scores.shape[1] - m, None]
@@ -236,13 +266,19 @@ def nearest(
             if len(pdf):
                 x = np.stack(pdf["v"].to_list())
                 cells = model.cells(x)
-                codes = pack_codes(model.encode(x, cells))
-                yield pd.DataFrame({"vec_id": pdf["vec_id"], "cell": cells, "code": [c.tobytes() for c in codes], "v": [r.tobytes() for r in x], "q": pdf["q"]})
+                codes = model.encode(x, cells)
+                sizes = {"err": model.errors(x, cells, codes), "radius": np.linalg.norm(x - model.centres(cells), axis=1), "norm": np.linalg.norm(x, axis=1)}
+                packed_codes = [c.tobytes() for c in pack_codes(codes)]
+                yield pd.DataFrame({"vec_id": pdf["vec_id"], "cell": cells, "code": packed_codes, "v": [r.tobytes() for r in x], "q": pdf["q"], **sizes})
 
-    indexed = written(rows.mapInPandas(index, "vec_id long, cell int, code binary, v binary, q boolean"), "indexed")
-    held = indexed.groupBy("cell").count().toPandas()  # at most one row a cell
+    indexed = written(rows.mapInPandas(index, "vec_id long, cell int, code binary, v binary, q boolean, err double, radius double, norm double"), "indexed")
+    held = indexed.groupBy("cell").agg(F.count("*").alias("count"), F.max("radius").alias("radius"), F.max("norm").alias("norm")).toPandas()  # at most one row a cell
     model.held = np.bincount(held["cell"], held["count"], model.size).astype(np.int64)
-    asked_ids, asked_v = sample["vec_id"].to_numpy()[:ASKED], known[:ASKED]
+    radius, norm = (np.bincount(held["cell"], held[c], model.size) for c in ("radius", "norm"))
+    first = indexed.where("q").orderBy(F.xxhash64("vec_id"), "vec_id").limit(ASKED).select("vec_id", "v").toPandas()
+    if len(first) == 0:
+        return empty
+    asked_ids, asked_v = first["vec_id"].to_numpy(), np.stack([np.frombuffer(v) for v in first["v"]])
 
     def exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """The best ``top`` of the partition for each sampled vector, by scores on whole vectors."""
@@ -276,7 +312,13 @@ def nearest(
 
     # A query id that several rows hold is asked once, by the smallest of its vectors (as bytes).
     queries_ = indexed.groupBy("vec_id").agg(F.min(F.when(F.col("q"), F.col("v"))).alias("v"), F.count("*").alias("own")).where("v is not null")
-    queries_ = queries_.mapInPandas(probe, "vec_id long, v binary, probes array<int>")
+    queries_ = written(queries_.mapInPandas(probe, "vec_id long, v binary, probes array<int>"), "asked")
+
+    def more(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                x = np.frombuffer(b"".join(pdf["v"])).reshape(len(pdf), -1)
+                yield pdf[["vec_id", "v", "least"]].assign(probes=probing.value.open_cells(x, pdf["least"].to_numpy(), pdf["probes"].to_list(), radius, norm))
 
     def packed(part: DataFrame, size: int, names: list[str]) -> DataFrame:
         """One row for each block of a cell: ids and arrays as bytes; blocks are dealt by a hash of the id."""
@@ -286,18 +328,18 @@ def nearest(
         folded = part.groupBy("cell", "block").agg(F.sort_array(F.collect_list(F.struct("vec_id", *names))).alias("rows"))
         return folded.select("cell", *[F.col(f"rows.{n}").alias(n) for n in ("vec_id", *names)])
 
-    candidates = packed(indexed.select("vec_id", "cell", "code", "v"), BLOCK_ROWS, ["code", "v"])
-    asked = packed(queries_.select("vec_id", F.explode("probes").alias("cell"), "v"), QUERY_ROWS, ["v"])
-    asked = asked.select("cell", F.col("vec_id").alias("qid"), F.col("v").alias("qv"))
+    candidates = packed(indexed.select("vec_id", "cell", "code", "v", "err"), BLOCK_ROWS, ["code", "v", "err"])
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value
         out: list[pd.DataFrame] = []
         n = 0
         for pdf in batches:
-            for cell, ids, code, v, qid, qv in pdf[["cell", "vec_id", "code", "v", "qid", "qv"]].itertuples(index=False):
-                ids, qid = np.asarray(ids), np.asarray(qid)
+            for cell, ids, code, v, err, qid, qv, low in pdf[["cell", "vec_id", "code", "v", "err", "qid", "qv", "least"]].itertuples(index=False):
+                ids, qid, err, low = np.asarray(ids), np.asarray(qid), np.asarray(err), np.asarray(low)
                 x = np.frombuffer(b"".join(v)).reshape(len(ids), -1)
+                centre = model.centres(np.array([cell]))[0]
+                longest = np.linalg.norm(x, axis=1).max() + np.linalg.norm(centre)
                 codes = np.frombuffer(b"".join(code), np.uint8).reshape(len(ids), -1).T.astype(np.intp)
                 for at in range(0, len(qid), 64):
                     q = np.frombuffer(b"".join(qv[at : at + 64])).reshape(-1, x.shape[1])
@@ -305,10 +347,27 @@ def nearest(
                     approx = np.zeros((len(q), len(ids)), np.float32)
                     for b in range(len(codes)):
                         approx += np.take(tables[:, b], codes[b], axis=1)
-                    own, take = qid[at : at + 64, None], _largest(approx, min(rerank + 1, len(ids)))
-                    score = np.einsum("qmd,qd->qm", x[take], q)
-                    score[ids[take] == own] = -np.inf
-                    best = np.argsort(-score, axis=1, kind="stable")[:, :top]  # places rise with the id, so ties do too
+                    own = qid[at : at + 64, None]
+                    ranked_ = approx if np.isfinite(approx).all() else np.nan_to_num(approx)
+                    take = _largest(ranked_, min(rerank + 1, len(ids)))
+                    exact_ = np.full(approx.shape, -np.inf)
+                    of = np.repeat(np.arange(len(q)), take.shape[1])
+                    exact_[of, take.ravel()] = _products(x, q, of, take.ravel())
+                    exact_[ids[None, :] == own] = -np.inf
+                    if take.shape[1] < len(ids):
+                        # Rows whose bound reaches the last place so far, of this block or of the pass before.
+                        best = np.take_along_axis(exact_, take, 1)
+                        place = max(0, best.shape[1] - top)
+                        last = np.maximum(np.partition(best, place, axis=1)[:, place], low[at : at + 64])
+                        long = np.linalg.norm(q, axis=1)
+                        bound = approx + (q @ centre + SLACK * long * longest)[:, None] + long[:, None] * err[None, :]
+                        rest = ~(bound < last[:, None]) & (ids[None, :] != own)
+                        rest[of, take.ravel()] = False
+                        of, place = np.nonzero(rest)
+                        exact_[of, place] = _products(x, q, of, place)
+                    take = _largest(exact_, min(top, len(ids)))
+                    score = np.take_along_axis(exact_, take, 1)
+                    best = np.argsort(-score, axis=1, kind="stable")  # places rise with the id, so ties do too
                     score, place = np.take_along_axis(score, best, 1), np.take_along_axis(take, best, 1)
                     held = np.isfinite(score)
                     out.append(pd.DataFrame({"query_id": np.broadcast_to(own, held.shape)[held], "vec_id": ids[place][held], "score": score[held]}))
@@ -323,8 +382,23 @@ def nearest(
             yield _best(out, top)
 
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pairs = candidates.join(asked, "cell").repartition(tasks, "cell", F.element_at("vec_id", 1), F.element_at("qid", 1))
-    found = pairs.select("cell", "vec_id", "code", "v", "qid", "qv").mapInPandas(scan, "query_id long, vec_id long, score double")
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+
+    def scanned(cells: DataFrame) -> DataFrame:
+        """The rows that ``(vec_id, v, least, probes)`` find in their ``probes``."""
+        asked = packed(cells.select("vec_id", F.explode("probes").alias("cell"), "v", "least"), QUERY_ROWS, ["v", "least"])
+        asked = asked.select("cell", F.col("vec_id").alias("qid"), F.col("v").alias("qv"), "least")
+        pairs = candidates.join(asked, "cell").repartition(tasks, "cell", F.element_at("vec_id", 1), F.element_at("qid", 1))
+        return pairs.select("cell", "vec_id", "code", "v", "err", "qid", "qv", "least").mapInPandas(scan, "query_id long, vec_id long, score double")
+
+    def ranked(found: DataFrame) -> DataFrame:
+        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+
+    none = F.lit(float("-inf"))
+    found = written(ranked(scanned(queries_.withColumn("least", none))), "found")
+    lasts = found.where(F.col("rank") == top).select(F.col("query_id").alias("vec_id"), F.col("score").alias("least"))
+    open_ = queries_.join(lasts, "vec_id", "left").withColumn("least", F.coalesce("least", none))
+    open_ = written(open_.mapInPandas(more, "vec_id long, v binary, least double, probes array<int>").where(F.size("probes") > 0), "open")
+    if not open_.isEmpty():
+        found = ranked(found.drop("rank").unionByName(scanned(open_)))
+    return found.select("query_id", "rank", "vec_id", "score")

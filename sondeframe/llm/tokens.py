@@ -21,6 +21,7 @@ memory does not grow: about 60 MB for a worker, as measured with both generation
 from __future__ import annotations
 
 import itertools
+import json
 import os
 import re
 from array import array
@@ -48,6 +49,8 @@ _CUTS = {
 MAX_UNITS = 200_000
 #: Texts are cut into units in runs of about this many characters.
 RUN_CHARS = 1 << 19
+#: New units that go through the library in one text.
+IN_ONE = 1024
 _SLICE_END = re.compile("[A-Za-z](?= [A-Za-z])")
 
 
@@ -61,16 +64,39 @@ class UnitEncoder:
         self.max_units, self.sliced = max_units, kind != "none"
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        # Where words end in a piece of their own kind, many words go through the library in one text.
-        ends = [i for piece, i in self.tokenizer.get_vocab().items() if piece.endswith("</w>")] if kind == "word" else []
-        self.ends = np.zeros(self.tokenizer.get_vocab_size() if ends else 0, bool)
-        self.ends[ends] = True
-
-    def _in_one(self, units: list[str]) -> bool:
-        """Encode simple words as one text; False when the ids don't fall apart into as many words."""
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(units)], add_special_tokens=False)[0].ids, np.uint32)
-        cuts = np.flatnonzero(self.ends[ids]) + 1
-        if len(cuts) != len(units) or cuts[-1] != len(ids):
+        # New units of simple texts go through the library many in one text; as they are cut (and lower-cased) already,
+        # a split at spaces takes the place of the tokenizer's own patterns.
+        self.bare, self.spaced = self._splitting(kind, "removed"), self._splitting(kind, "merged_with_next")
+        self.sizes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)  # bytes that each id stands for
+        for piece, i in self.tokenizer.get_vocab().items():
+            self.sizes[i] = len(piece.removesuffix("</w>") if kind == "word" else piece)
+
+    def _splitting(self, kind: str, behavior: str):
+        """The same model behind a plain split at spaces; None for a tokenizer whose parts this module doesn't know."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        parts = json.loads(self.tokenizer.to_str())
+        norm, pre = parts["normalizer"] or {}, parts["pre_tokenizer"] or {}
+        last = (pre.get("pretokenizers") or [pre])[-1]
+        if last.get("type") != "ByteLevel" or last["add_prefix_space"]:
+            return None
+        if kind == "byte" and (norm or not last["use_regex"] or last is not pre):
+            return None
+        if kind == "word" and (last["use_regex"] or any(x["type"] not in ("NFC", "Replace", "Lowercase") for x in norm.get("normalizers", [norm]) if x)):
+            return None
+        if kind not in ("byte", "word"):
+            return None
+        out = Tokenizer(self.tokenizer.model)
+        out.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(" ", behavior), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        return out
+
+    def _in_one(self, units: list[str], by, joint: str) -> bool:
+        """Encode cut units as one text; False when the ids don't fall apart at the units' ends."""
+        ids = np.array(by.encode_batch_fast([joint.join(units)], add_special_tokens=False)[0].ids, np.uint32)
+        upto = np.cumsum([len(u.encode()) for u in units])
+        ends = np.cumsum(self.sizes[ids])
+        cuts = np.searchsorted(ends, upto) + 1
+        if not len(ids) or cuts[-1] != len(ids) or (ends[cuts - 1] != upto).any():
             return False
         at, data = 0, ids.tobytes()
         for unit, end in zip(units, (4 * cuts).tolist(), strict=True):
@@ -86,8 +112,15 @@ class UnitEncoder:
                 new.append(unit)
             else:
                 self.young[unit] = ids
-        if simple and len(self.ends):
-            new = [u for at in range(0, len(new), 4096) if not self._in_one(new[at : at + 4096]) for u in new[at : at + 4096]]
+        if simple and self.bare is not None:
+            rest, bare, spaced = [], [], []
+            for u in new:
+                (bare if not u[0].isspace() else spaced if u[0] == " " and u[1:2].strip() else rest).append(u)
+            for part, by, joint in ((bare, self.bare, " "), (spaced, self.spaced, "")):
+                for at in range(0, len(part), IN_ONE):
+                    if not self._in_one(part[at : at + IN_ONE], by, joint):
+                        rest += part[at : at + IN_ONE]
+            new = rest
         for e, unit in zip(self.tokenizer.encode_batch_fast(new, add_special_tokens=False), new, strict=True):
             self.young[unit] = array("I", e.ids).tobytes()
 

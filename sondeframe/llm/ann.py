@@ -354,23 +354,23 @@ def nearest(
                     of = np.repeat(np.arange(len(q)), take.shape[1])
                     exact_[of, take.ravel()] = _products(x, q, of, take.ravel())
                     exact_[ids[None, :] == own] = -np.inf
+                    # The last place so far, of this block or of the pass before.
+                    best = np.take_along_axis(exact_, take, 1)
+                    last = low[at : at + 64]
+                    if best.shape[1] >= top:
+                        last = np.maximum(last, np.partition(best, best.shape[1] - top, axis=1)[:, best.shape[1] - top])
                     if take.shape[1] < len(ids):
-                        # Rows whose bound reaches the last place so far, of this block or of the pass before.
-                        best = np.take_along_axis(exact_, take, 1)
-                        place = max(0, best.shape[1] - top)
-                        last = np.maximum(np.partition(best, place, axis=1)[:, place], low[at : at + 64])
+                        # Rows whose bound reaches it; those that a product shows to stay below are left.
                         long = np.linalg.norm(q, axis=1)
-                        bound = approx + (q @ centre + SLACK * long * longest)[:, None] + long[:, None] * err[None, :]
+                        slack = SLACK * long * longest
+                        bound = approx + (q @ centre + slack)[:, None] + long[:, None] * err[None, :]
                         rest = ~(bound < last[:, None]) & (ids[None, :] != own)
                         rest[of, take.ravel()] = False
+                        rest &= ~(q @ x.T < (last - slack)[:, None])
                         of, place = np.nonzero(rest)
                         exact_[of, place] = _products(x, q, of, place)
-                    take = _largest(exact_, min(top, len(ids)))
-                    score = np.take_along_axis(exact_, take, 1)
-                    best = np.argsort(-score, axis=1, kind="stable")  # places rise with the id, so ties do too
-                    score, place = np.take_along_axis(score, best, 1), np.take_along_axis(take, best, 1)
-                    held = np.isfinite(score)
-                    out.append(pd.DataFrame({"query_id": np.broadcast_to(own, held.shape)[held], "vec_id": ids[place][held], "score": score[held]}))
+                    of, place = np.nonzero((exact_ >= last[:, None]) & np.isfinite(exact_))
+                    out.append(_best([pd.DataFrame({"query_id": qid[at : at + 64][of], "vec_id": ids[place], "score": exact_[of, place]})], top))
                 n += len(qid) * top
                 if n > KEPT_ROWS:  # a query's cells in this task merge; what is left of too many queries is sent on
                     out = [_best(out, top)]

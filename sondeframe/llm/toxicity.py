@@ -15,7 +15,7 @@ intercept moves until at most ``MAX_FALSE`` of the clean training rows would be
 called toxic.  Scores rank as before, but are no probabilities.
 
 The model and those of the folds are fitted by one task each, which reads the
-sample's texts; the driver gets the weights, four bytes a bucket, and a number a row.
+sample's texts batch by batch and keeps their features, at most 96 KB a text; the driver gets the weights, four bytes a bucket, and a number a row.
 
 Only text enters a score.  The fit uses at most ``FIT_ROWS`` labelled rows, drawn
 by a hash of the id, with weights that restore the true class shares; everything
@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sondeframe.llm.common import written
+from sondeframe.llm.common import by_bytes, written
 from sondeframe.llm.shingles import U64, text_chunks
 
 GRAMS = (4, 6, 8)
@@ -52,6 +52,8 @@ SIZE = 2.0
 #: Bytes of one text that are hashed at once, and features that a pass of the fit holds in scratch.
 SLICE = 1 << 19
 PASS = 1 << 20
+#: Features of a row beyond which bits take less than four bytes each.
+DENSE = (len(GRAMS) << BITS) // 32
 #: Folds of the training rows, and the share of clean ones that may score as toxic out of fold.
 FOLDS = 5
 MAX_FALSE = 0.005
@@ -150,39 +152,59 @@ def scales(toxic_rows: np.ndarray, clean_rows: np.ndarray, n_toxic: float, n_cle
 
 
 class _Rows:
-    """Sorted features of the rows of a sample, four bytes each, held in passes of about ``PASS`` features."""
+    """Sorted features of the rows of a sample, held in passes of about ``PASS`` features.
 
-    def __init__(self, texts: pa.Array) -> None:
-        self.index: list[np.ndarray] = []
-        self.passes: list[tuple[int, int, np.ndarray, np.ndarray]] = []  # from row, to row, features, their number by row
-        held, n = [], 0
+    A feature takes four bytes; a row of more than ``DENSE`` features is kept as a bit for each
+    bucket instead, so no row takes more than 96 KB, however long its text is.
+    """
+
+    def __init__(self, texts: Iterator[pa.Array]) -> None:
+        self.index: list[np.ndarray] = []  # of a row in bits those, else its features
+        self.bits: list[bool] = []
+        self.passes: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # rows, features, their number by row
+        held, rows, n = [], [], 0
 
         def close() -> None:
-            whole, sizes = np.concatenate(held) if held else np.zeros(0, np.int32), np.array([len(x) for x in held], np.int64)
-            ends = np.cumsum(sizes)
-            first = len(self.index)
-            self.index.extend(whole[e - k : e] for e, k in zip(ends.tolist(), sizes.tolist(), strict=True))
-            self.passes.append((first, len(self.index), whole, sizes))
-
-        for found in features(texts):
-            held.append(np.sort(np.concatenate(found).astype(np.int32)))  # in order, so that look-ups run through the tables
-            n += len(held[-1])
-            if n >= PASS:
-                close()
-                held, n = [], 0
+            whole, sizes = np.concatenate(held), np.array([len(x) for x in held], np.int64)
+            for row, e, k in zip(rows, np.cumsum(sizes).tolist(), sizes.tolist(), strict=True):
+                self.index[row] = whole[e - k : e]
+            self.passes.append((np.array(rows), whole, sizes))
+
+        for part in texts:
+            for found in features(part):
+                own = np.sort(np.concatenate(found).astype(np.int32))  # in order, so that look-ups run through the tables
+                self.bits.append(len(own) > DENSE)
+                if self.bits[-1]:
+                    there = np.zeros(len(GRAMS) << BITS, bool)
+                    there[own] = True
+                    self.index.append(np.packbits(there))
+                    continue
+                rows.append(len(self.index))
+                self.index.append(own)
+                held.append(own)
+                n += len(own)
+                if n >= PASS:
+                    close()
+                    held, rows, n = [], [], 0
         if held:
             close()
 
+    def of(self, row: int) -> np.ndarray:
+        return np.flatnonzero(np.unpackbits(self.index[row])) if self.bits[row] else self.index[row]
+
     def sums(self, use: np.ndarray, of_feature: np.ndarray) -> np.ndarray:
         """For each row in ``use`` the sum of its features' values."""
-        return np.array([of_feature.take(self.index[i]).sum(dtype=np.float64) for i in use])
+        return np.array([of_feature.take(self.of(i)).sum(dtype=np.float64) for i in use])
 
     def gathered(self, of_row: np.ndarray, size: int) -> np.ndarray:
         """For each feature the sum of its rows' values."""
         out = np.zeros(size)
-        for a, b, whole, sizes in self.passes:
-            if of_row[a:b].any():
-                out += np.bincount(whole, np.repeat(of_row[a:b], sizes), size)
+        for rows, whole, sizes in self.passes:
+            if of_row[rows].any():
+                out += np.bincount(whole, np.repeat(of_row[rows], sizes), size)
+        for row in np.flatnonzero(self.bits):
+            if of_row[row]:
+                out[self.of(row)] += of_row[row]
         return out
 
 
@@ -259,17 +281,24 @@ def fit(
         share = min(max(1.0 if totals[1] else 0.0, 1e-9), 1 - 1e-9)
         return float(np.log(share / (1 - share))), table
 
-    def train(data: pa.Table) -> pa.Table:
-        data = data.combine_chunks()
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # all but the texts, of which a batch is there at a time
+
+        def texts() -> Iterator[pa.Array]:
+            for batch in batches:
+                held.append(batch.select(["model", "toxic", "weight", "fold"]))
+                yield from (x.column("text") for x in by_bytes([batch], 1))
+
+        rows = _Rows(texts())
+        data = pa.Table.from_batches(held)
         out = data.column("model")[0].as_py()
         toxic, weights, folds = (data.column(c).to_numpy() for c in ("toxic", "weight", "fold"))
         toxic = toxic.astype(float)
-        rows = _Rows(data.column("text").chunk(0))
         b, w = _fitted(rows, np.flatnonzero(folds != out), toxic, weights, l2, rounds)
         own = np.flatnonzero(folds == out)
         z = b + rows.sums(own, w.astype(np.float32)) if len(own) else np.zeros(0)
         weights_ = w.astype(np.float32).tobytes() if out < 0 else b""
-        return pa.table({"model": pa.array([out], pa.int32()), "b": [b], "w": pa.array([weights_], pa.binary()), "z": pa.array([z.tolist()], pa.list_(pa.float64())), "toxic": pa.array([toxic[own].tolist()], pa.list_(pa.float64()))})
+        yield pa.RecordBatch.from_pydict({"model": pa.array([out], pa.int32()), "b": pa.array([b], pa.float64()), "w": pa.array([weights_], pa.binary()), "z": pa.array([z.tolist()], pa.list_(pa.float64())), "toxic": pa.array([toxic[own].tolist()], pa.list_(pa.float64()))})
 
     scored = [k for k in range(FOLDS) if sizes[:, k].any() and (sizes.sum(1) > sizes[:, k]).all()]
     models = F.explode(F.array(*[F.lit(k) for k in (-1, *scored)])).alias("model")

@@ -19,7 +19,8 @@ disagree about white space) are one unit too.  A very long text goes in slices c
 before a single space between two ASCII letters, where every kind cuts.
 
 The table of known units keeps two bounded generations, so words in use stay and
-memory does not grow: about 60 MB for a worker, as measured with both generations full.
+memory does not grow: a process with one encoder peaked at 342 MB, tokenizer and a run's
+arrays included, on 104 million characters that filled it.
 """
 
 from __future__ import annotations

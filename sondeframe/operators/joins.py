@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sondeframe import config as C
-from sondeframe.functions import geo
 
 
 #: Rows up to which a table whose size is not fixed is broadcast.
 BROADCAST_ROWS = 500_000
 #: Days in a bucket of the as-of joins.
 BUCKET_DAYS = 64
+#: Ids of one place that share a row in a distance join.
+STACK = 1024
 
 
 def sized(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
@@ -103,23 +107,67 @@ def boxes_to_points(boxes: DataFrame, points: DataFrame, box_id: str, cell: floa
     return b.join(p, ["_x", "_y"]).where(inside).drop("_x", "_y")
 
 
-def pairs_within(near: DataFrame, far: DataFrame, km: float = C.BUFFER_KM) -> DataFrame:
-    """``(near_id, far_id, km)`` closer than ``km``, from tables ``(id, lon, lat)``, anywhere on the globe.
+def _stacked(points: DataFrame) -> DataFrame:
+    """``(lon, lat, ids)`` of ``(id, lon, lat)``: equal places share a row, up to ``STACK`` ids in each; ids are kept as often as they occur."""
+    placed = points.where("lon is not null and lat is not null").select("id", "lon", "lat")
+    chunk = F.floor((F.row_number().over(W.partitionBy("lon", "lat").orderBy("id")) - 1) / STACK)
+    # Ids that are NULL are counted, as collect_list leaves them out.
+    nulls = F.array_repeat(F.lit(None).cast(placed.schema["id"].dataType), F.count_if(F.col("id").isNull()).cast("int"))
+    return placed.withColumn("_c", chunk).groupBy("lon", "lat", "_c").agg(F.concat(nulls, F.collect_list("id")).alias("ids")).drop("_c")
+
+
+def _close(near: DataFrame, far: DataFrame, km: float) -> DataFrame:
+    """Rows of ``near(lon, lat, ...)`` and ``far(lon, lat, ...)`` closer than ``km``, with the distance as ``km``; other columns must differ by name.
 
     Points are dealt to cubes with edges of ``km`` around the globe's centre.  A chord is
     no longer than its arc, so partners lie in the same or a neighbouring cube, at the
-    poles and across 180 degrees too; near points look into 27 and the exact distance decides.
+    poles and across 180 degrees too.  Near points look into those of the 27 that the
+    sphere crosses and a ball of ``km`` reaches.  Chords decide all but a thin band about
+    ``km``, where the distance does.  Sides meet by a merge join: no side is collected.
     """
-    lon, lat = F.radians("lon"), F.radians("lat")
-    axes = {"_x": F.cos(lat) * F.cos(lon), "_y": F.cos(lat) * F.sin(lon), "_z": F.sin(lat)}
-    cube = {k: F.floor(v * C.EARTH_KM / km) for k, v in axes.items()}
-    ring = F.sequence(F.lit(-1), F.lit(1))
-    a = near.select(F.col("id").alias("near_id"), F.col("lon").alias("lon1"), F.col("lat").alias("lat1"), *[v.alias(k) for k, v in cube.items()])
-    for k in cube:
-        a = a.withColumn("_d", F.explode(ring)).withColumn(k, F.col(k) + F.col("_d"))
-    b = far.select(F.col("id").alias("far_id"), F.col("lon").alias("lon2"), F.col("lat").alias("lat2"), *[v.alias(k) for k, v in cube.items()])
-    d = geo.haversine_km(F.col("lon1"), F.col("lat1"), F.col("lon2"), F.col("lat2"))
-    return a.join(b, list(cube)).withColumn("km", d).where(F.col("km") < km).select("near_id", "far_id", "km")
+    axes, unit = "xyz", C.EARTH_KM / km
+    chord = 2 * math.sin(min(km / C.EARTH_KM, math.pi) / 2)
+    surely, most = ((chord * (1 - 1e-9) - 1e-13) ** 2, (chord * (1 + 1e-9) + 1e-13) ** 2) if km < C.EARTH_KM else (-1.0, 5.0)
+
+    def placed(df: DataFrame, side: int) -> DataFrame:
+        lon, lat = F.radians("lon"), F.radians("lat")
+        at = (F.cos(lat) * F.cos(lon), F.cos(lat) * F.sin(lon), F.sin(lat))
+        own = [F.col("lon").alias(f"_lon{side}"), F.col("lat").alias(f"_lat{side}"), F.cos(lat).alias(f"_c{side}"), *[v.alias(f"_{k}{side}") for k, v in zip(axes, at, strict=True)]]
+        return df.select(*own, *[c for c in df.columns if c not in ("lon", "lat")]).withColumns({f"_{k}": F.floor(F.col(f"_{k}{side}") * unit) for k in axes})
+
+    total = lambda f: reduce(lambda a, b: a + b, [f(k, i) * f(k, i) for i, k in enumerate(axes)])
+    step = lambda i: F.floor(F.col("_d") / 3**i) % 3 - 1
+    part = lambda k: F.col(f"_{k}1") * unit - F.col(f"_{k}")
+    gap = lambda k, i: F.when(step(i) < 0, part(k)).when(step(i) > 0, 1 - part(k)).otherwise(0.0)
+    a = placed(near, 1).withColumn("_d", F.explode(F.sequence(F.lit(0), F.lit(26)))).where(total(gap) <= 1.001)
+    a = a.withColumns({f"_{k}": F.col(f"_{k}") + step(i) for i, k in enumerate(axes)}).drop("_d")
+    inner = total(lambda k, i: F.greatest(F.col(f"_{k}"), -1 - F.col(f"_{k}"), F.lit(0)).cast("double"))
+    outer = total(lambda k, i: F.greatest(F.abs(f"_{k}"), F.abs(F.col(f"_{k}") + 1)).cast("double"))
+    a = a.where((inner <= unit**2 * (1 + 1e-9)) & (outer >= unit**2 * (1 - 1e-9)))
+    b = placed(far, 2)
+
+    apart = total(lambda k, i: F.col(f"_{k}1") - F.col(f"_{k}2"))
+    half = lambda c: F.pow(F.sin(F.radians(F.col(f"_{c}2") - F.col(f"_{c}1")) / 2), 2)
+    d = 2 * C.EARTH_KM * F.asin(F.least(F.lit(1.0), F.sqrt(half("lat") + F.col("_c1") * F.col("_c2") * half("lon"))))
+    met = a.join(b.hint("merge"), [f"_{k}" for k in axes]).where((apart <= most) & ((apart <= surely) | (d < km)))
+    return met.select(*[c for c in (*near.columns, *far.columns) if c not in ("lon", "lat")], d.alias("km"))
+
+
+def pairs_within(near: DataFrame, far: DataFrame, km: float = C.BUFFER_KM) -> DataFrame:
+    """``(near_id, far_id, km)`` closer than ``km``, from tables ``(id, lon, lat)``, anywhere on the globe.
+
+    Places are compared once each, and their ids are put out for every pair of places.
+    """
+    a, b = _stacked(near).withColumnRenamed("ids", "_near"), _stacked(far).withColumnRenamed("ids", "_far")
+    met = _close(a, b, km).select(F.explode("_near").alias("near_id"), "_far", "km")
+    return met.select("near_id", F.explode("_far").alias("far_id"), "km")
+
+
+def count_within(near: DataFrame, far: DataFrame, km: float = C.BUFFER_KM) -> DataFrame:
+    """One row ``n``: how many pairs ``pairs_within`` would give, from counts by place; no pair of ids is formed."""
+    counted = lambda df, n: df.where("lon is not null and lat is not null").groupBy("lon", "lat").agg(F.count("*").alias(n))
+    met = _close(counted(near, "_m"), counted(far, "_n"), km)
+    return met.agg(F.coalesce(F.sum(F.col("_m") * F.col("_n")), F.lit(0).cast("long")).alias("n"))
 
 
 def months_must_match(left: DataFrame, right: DataFrame) -> DataFrame:

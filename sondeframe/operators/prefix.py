@@ -80,6 +80,23 @@ def window_counts(windows: DataFrame, prefixes: DataFrame, keys: list[str]) -> D
     return met.groupBy(*keys, "wid").agg(*[F.sum(F.col("sign") * F.col(n)).alias(n) for n in COUNTS])
 
 
+def _shaped_counts(tiles: DataFrame, labels: DataFrame, x: tuple[float, float, int], y: tuple[float, float, int], cells: int) -> tuple[DataFrame, DataFrame]:
+    """``(id, _boxes)`` and ``(_boxes, row, col, day, n0..n3)``: each id with its distinct boxes (one as a rule), and the counts of each such set.
+
+    Windows that hold the same pixels are looked up once, for all days together.  Estimated
+    sizes leave out the cells of a box, so joins are merge joins: no side is collected.
+    """
+    named = tiles.groupBy("id").agg(F.sort_array(F.collect_set(F.struct("w", "s", "e", "n"))).alias("_boxes"))
+    boxes = named.select("_boxes").distinct().select(F.col("_boxes").alias("id"), F.explode("_boxes").alias("b")).select("id", "b.*")
+    windows, span = index_windows(box_cells(boxes, cells), x, y).withColumnRenamed("id", "_boxes"), ["ya", "yb", "xa", "xb"]
+    spans = windows.select(*span).distinct().withColumn("wid", F.struct(*span))
+    counted = window_counts(spans, prefix_counts(labels, ["day"], y[2], x[2]), ["day"])
+    counted = counted.groupBy("wid").agg(F.collect_list(F.struct("day", *COUNTS)).alias("_days")).select("wid.*", "_days")  # one a label date
+    met = windows.join(counted.hint("merge"), span).select("_boxes", "row", "col", F.inline("_days"))
+    summed = met.where(F.size("_boxes") > 1).groupBy("_boxes", "row", "col", "day").agg(*[F.sum(n).alias(n) for n in COUNTS])
+    return named, met.where(F.size("_boxes") == 1).unionByName(summed)
+
+
 def window_class() -> Column:
     """Compound over heat over drought over none by counts; NULL without any."""
     out = F.when(F.col("n0") > 0, 0)
@@ -93,11 +110,11 @@ def decide_windows(tiles: DataFrame, labels: DataFrame, x: tuple[float, float, i
 
     ``labels(day, yi, xi, cls)``; ``sample_id`` makes the id from the columns tile, day,
     row and col.  Classes come from the windows' counts, the decision to keep from the
-    seeded hash of the id; a window of nothing but nodata is dropped.
+    seeded hash of the id; a window of nothing but nodata is dropped.  Counts are made once
+    for each distinct box, so tiles only meet rows that are ready, and only ids that a hash
+    must decide are spelt.
     """
-    boxes = box_cells(tiles, cells)
-    wid = F.struct(F.col("id").alias("tile"), "row", "col")
-    counted = window_counts(index_windows(boxes, x, y).withColumn("wid", wid), prefix_counts(labels, ["day"], y[2], x[2]), ["day"])
-    out = counted.select("wid.tile", "day", "wid.row", "wid.col", *COUNTS).withColumn("cls", window_class())
+    named, held = _shaped_counts(tiles, labels, x, y, cells)
+    out = named.join(held.hint("merge"), "_boxes").select(F.col("id").alias("tile"), "day", "row", "col", *COUNTS).withColumn("cls", window_class())
     out = out.withColumn("sample_id", sample_id)
     return out.withColumn("kept", F.col("cls").isNotNull() & keep_by_class(F.col("sample_id"), F.col("cls"), probs, seed))

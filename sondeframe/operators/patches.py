@@ -94,20 +94,122 @@ def label_counts(
     points: DataFrame, labels: DataFrame, keys: list[str], lat: tuple[float, float, int], lon: tuple[float, float, int],
     size: int = C.PATCH, res: float = 30.0, block: int = BLOCK,
 ) -> DataFrame:
-    """``(id, keys, cls, n)`` of the same squares, counted where they are made: a row for each class that occurs."""
-
-    def pack(patches: list[np.ndarray]):
-        row, cls, n = [], [], []
-        for i, patch in enumerate(patches):
-            counts = np.bincount(patch.ravel(), minlength=256)
-            there = np.flatnonzero(counts)
-            row += [i] * len(there)
-            cls += there.tolist()
-            n += counts[there].tolist()
-        return pa.array(row, pa.int64()), [pa.array(cls, pa.int32()), pa.array(n, pa.int64())]
+    """``(id, keys, cls, n)`` of the same squares: a row for each class that occurs.
 
-    met = _met(points, labels, keys, lat, lon, size, res, block)
-    return _made(met, keys, lat, lon, size, res, block, pack, "cls int, n long", ["cls", "n"])
+    How many pixels of a square have each label pixel as their nearest depends on its place
+    alone, so that is counted once a place; classes are looked up after that.  ``block`` has
+    no effect here, as no label block is gathered.
+    """
+    sites = points.select("id", *keys, "lon", "lat").distinct()
+    made = _place_cells(points, lat, lon, size, res).select(F.col("lon").alias("_lon"), F.col("lat").alias("_lat"), "cells")
+    met = sites.join(made.hint("merge"), sites["lon"].eqNullSafe(made["_lon"]) & sites["lat"].eqNullSafe(made["_lat"]))
+    each = met.select("id", *keys, "lon", "lat", F.inline("cells"))
+    # repeated pixels: the largest class that isn't nodata
+    one = labels.groupBy(*keys, "lat_i", "lon_i").agg(F.max(F.when(F.col("cls") != C.NODATA, F.col("cls").cast("int"))).alias("cls"))
+    found = each.join(sized(one), [*keys, "lat_i", "lon_i"], "left").withColumn("cls", F.coalesce("cls", F.lit(C.NODATA)))
+    return found.groupBy("id", *keys, "lon", "lat", "cls").agg(F.sum("n").alias("n")).select("id", *keys, "cls", "n")
+
+
+def _place_cells(points: DataFrame, lat, lon, size: int, res: float) -> DataFrame:
+    """``(lon, lat, cells)`` of each distinct place: the label pixels of its square with their number of pixels, NULL indices for those outside."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = _Counter(lat, lon, size, res)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                zone, east, north = (part.column(2 + i).cast(pa.float64()).to_numpy(zero_copy_only=False) for i in range(3))
+                rows = count(zone, east, north)
+                flat = [c for r in rows for c in r]
+                y, x = (pa.array([c[i] for c in flat], pa.int32()) for i in (0, 1))
+                cells = pa.StructArray.from_arrays([y, x, pa.array([c[2] for c in flat], pa.int64())], ["lat_i", "lon_i", "n"])
+                ends = pa.array(np.cumsum([0, *map(len, rows)]), pa.int32())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.ListArray.from_arrays(ends, cells)], ["lon", "lat", "cells"])
+
+    zone = utm.zone_of(F.col("lon"))
+    e, n = utm.forward(F.col("lon"), F.col("lat"), zone)
+    spark = points.sparkSession
+    # As in _made: small rows, much work, so the number of tasks is stated.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    places = points.select("lon", "lat").repartition(tasks, "lon", "lat").distinct()
+    placed = places.select("lon", "lat", zone.alias("zone"), e.alias("east"), n.alias("north"))
+    return placed.mapInArrow(run, "lon double, lat double, cells array<struct<lat_i: int, lon_i: int, n: long>>")
+
+
+class _Counter:
+    """Pixels of squares by their nearest label pixel, the same as by projecting each pixel.
+
+    Longitude and latitude are smooth over a square, so they are interpolated from NODES by
+    NODES projected points.  Pixels that come within ``TOL`` of the border of two label
+    pixels are projected themselves; a square whose interpolation is off by more than a
+    hundredth of that at the probed points, corners among them, or that holds many borders, is projected whole.
+    """
+
+    NODES, TOL, BORDERS = 5, 1e-6, 64
+
+    def __init__(self, lat, lon, size: int, res: float):
+        self.axes, self.size, self.steps = (lon, lat), size, (np.arange(size) - (size - 1) / 2) * res
+        half = max((size - 1) / 2 * res, res)
+        nodes = np.cos((2 * np.arange(self.NODES) + 1) * np.pi / (2 * self.NODES))
+        self.nodes, self.probes = nodes * half, np.array([-1.0, -0.55, 0.1, 0.8, 1.0]) * half
+
+        def weights(at: np.ndarray) -> np.ndarray:
+            t = at / half
+            return np.stack([np.prod([(t - m) / (k - m) for m in nodes if m != k], axis=0) for k in nodes], axis=1)
+
+        self.dense, self.sparse = weights(self.steps), weights(self.probes)
+
+    def _exact(self, zone, east, north) -> tuple[np.ndarray, np.ndarray]:
+        return tuple((v - a[0]) / a[1] for v, a in zip(utm.inverse(east, north, zone, m=np), self.axes, strict=True))
+
+    def __call__(self, zone: np.ndarray, east: np.ndarray, north: np.ndarray) -> list[list[tuple]]:
+        z, e, n = (v[:, None, None] for v in (zone, east, north))
+        grid = lambda at: self._exact(z, e + at[None, None, :], n - at[None, :, None])
+        knots, probed = grid(self.nodes), grid(self.probes)
+        off = [np.abs(self.sparse @ k @ self.sparse.T - p).max(axis=(1, 2)) for k, p in zip(knots, probed, strict=True)]
+        good = (off[0] < self.TOL / 100) & (off[1] < self.TOL / 100)  # false for NaN too
+        out = []
+        for i in range(len(zone)):
+            if np.isnan(zone[i]) or np.isnan(east[i]):
+                out.append([(None, None, self.size**2)])
+            else:
+                out.append((good[i] and self._by_borders(zone[i], east[i], north[i], knots[0][i], knots[1][i])) or self._whole(zone[i], east[i], north[i]))
+        return out
+
+    def _by_borders(self, zone, east, north, *knots) -> list[tuple] | None:
+        firsts, above = [], []
+        for a, k in enumerate(knots):
+            f = self.dense @ k @ self.dense.T
+            low, high = np.floor(f.min() - self.TOL + 0.5), np.floor(f.max() + self.TOL + 0.5)
+            if high - low > self.BORDERS:
+                return None
+            masks = [None]  # everything
+            for border in np.arange(low, high) + 0.5:
+                mask, sure = f > border - self.TOL, f > border + self.TOL
+                if np.count_nonzero(mask) != np.count_nonzero(sure):
+                    r, c = np.nonzero(mask & ~sure)
+                    mask[r, c] = np.rint(self._exact(zone, east + self.steps[c], north - self.steps[r])[a]) > border
+                masks.append(mask)
+            firsts.append(int(low))
+            above.append(masks)
+        at_least = np.zeros((len(above[1]) + 1, len(above[0]) + 1), np.int64)
+        for j, y in enumerate(above[1]):
+            for i, x in enumerate(above[0]):
+                at_least[j, i] = self.size**2 if x is None and y is None else np.count_nonzero(x if y is None else y if x is None else x & y)
+        n = at_least[:-1, :-1] - at_least[1:, :-1] - at_least[:-1, 1:] + at_least[1:, 1:]
+        y, x = np.nonzero(n)
+        return self._named(y + firsts[1], x + firsts[0], n[y, x])
+
+    def _whole(self, zone, east, north) -> list[tuple]:
+        x, y = (np.rint(v).astype(np.int64).ravel() for v in self._exact(zone, east + self.steps[None, :], north - self.steps[:, None]))
+        pairs, n = np.unique(np.stack([y, x]), axis=1, return_counts=True)
+        return self._named(pairs[0], pairs[1], n)
+
+    def _named(self, y, x, n) -> list[tuple]:
+        inside = (x >= 0) & (x < self.axes[0][2]) & (y >= 0) & (y < self.axes[1][2])
+        rows = list(zip(y[inside].tolist(), x[inside].tolist(), n[inside].tolist(), strict=True))
+        outside = int(n[~inside].sum())
+        return rows + [(None, None, outside)] if outside else rows
 
 
 def patch_pixels(patches: DataFrame, size: int = C.PATCH) -> DataFrame:

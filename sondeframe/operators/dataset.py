@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sondeframe import config as C
 from sondeframe.functions.sampling import keep_by_class
 from sondeframe.operators.aggregates import patch_class
-from sondeframe.operators.joins import pairs_within
+from sondeframe.operators.joins import count_within, pairs_within
 from sondeframe.operators.windows import trailing_days
 
 
@@ -72,9 +72,18 @@ def violations(index: DataFrame) -> DataFrame:
     return index.select("sample_id", bad.alias("problems")).where(F.size("problems") > 0)
 
 
-def spatial_leaks(index: DataFrame, near: str = "test", far: str = "train", km: float = C.BUFFER_KM) -> DataFrame:
+def _sides(index: DataFrame, near: str, far: str) -> tuple[DataFrame, DataFrame]:
     points = index.select(F.col("sample_id").alias("id"), F.col("center_lon").alias("lon"), F.col("center_lat").alias("lat"), "split")
-    return pairs_within(points.where(F.col("split") == near), points.where(F.col("split") == far), km)
+    return points.where(F.col("split") == near), points.where(F.col("split") == far)
+
+
+def spatial_leaks(index: DataFrame, near: str = "test", far: str = "train", km: float = C.BUFFER_KM) -> DataFrame:
+    return pairs_within(*_sides(index, near, far), km)
+
+
+def count_spatial_leaks(index: DataFrame, near: str = "test", far: str = "train", km: float = C.BUFFER_KM) -> DataFrame:
+    """One row ``n``: the number of rows of ``spatial_leaks``, from counts by place."""
+    return count_within(*_sides(index, near, far), km)
 
 
 def dates_in_both(index: DataFrame, near: str = "test", far: str = "train") -> DataFrame:
@@ -111,8 +120,9 @@ def in_store_order(index: DataFrame, order: DataFrame) -> DataFrame:
 
 def acceptance(index: DataFrame) -> DataFrame:
     """``(check, found, passed)`` for the schema, the distance of test and train, and their dates."""
-    kinds = {"schema": violations(index), "spatial": spatial_leaks(index), "temporal": dates_in_both(index)}
-    parts = [df.agg(F.count("*").alias("found")).select(F.lit(k).alias("check"), "found", (F.col("found") == 0).alias("passed")) for k, df in kinds.items()]
+    count = lambda df: df.agg(F.count("*").alias("n"))
+    kinds = {"schema": count(violations(index)), "spatial": count_spatial_leaks(index), "temporal": count(dates_in_both(index))}
+    parts = [df.select(F.lit(k).alias("check"), F.col("n").alias("found"), (F.col("n") == 0).alias("passed")) for k, df in kinds.items()]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -17,7 +17,7 @@ BROADCAST_ROWS = 500_000
 #: Days in a bucket of the as-of joins.
 BUCKET_DAYS = 64
 #: Ids of one place that share a row in a distance join.
-STACK = 1024
+STACK = 256
 
 
 def sized(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:

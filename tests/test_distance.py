@@ -1,12 +1,13 @@
 """Distance joins: equal places, missing values, counts, and how the sides meet."""
 
+import datetime as dt
 import math
 import random
 from collections import Counter
 
 import pytest
 
-from sondeframe.operators import joins
+from sondeframe.operators import dataset, joins
 
 
 def km(a, b):
@@ -46,3 +47,37 @@ def test_places_are_stacked_in_rows_of_a_bounded_size(spark, monkeypatch):
     rows = joins._stacked(frame(spark, [(i, 1.0, 2.0) for i in range(10)] + [(10, 1.0, 3.0)])).collect()
     assert sorted(len(r.ids) for r in rows) == [1, 2, 4, 4] and sorted(i for r in rows for i in r.ids) == list(range(11))
     assert joins.count_within(frame(spark, []), frame(spark, [])).first().n == 0
+
+
+def index(spark, rows):
+    schema = "sample_id string, center_lon double, center_lat double, split string, day date, cloud_pct double, valid_pct double, region string"
+    return spark.createDataFrame([(*r, dt.date(2020, 1, 1), 0.5, 1.0, "delta") for r in rows], schema)
+
+
+def leaky(spark):
+    rng = random.Random(9)
+    places = [(30 + rng.random(), 31 + rng.random()) for _ in range(6)] + [(30.0, 95.0)]
+    rows = [(f"s{i}", *places[i % 7], rng.choice(["train", "test", "val", None])) for i in range(700)]
+    near, far = ([r for r in rows if r[3] == k] for k in ("test", "train"))
+    return index(spark, rows), Counter((a[0], b[0]) for a in near for b in far if km(a[1:3], b[1:3]) < 25)
+
+
+def test_leaks_of_shared_places_are_compared_once_a_pair_of_places(spark, monkeypatch):
+    """Before, each of some 23,000 pairs of rows had its distance taken; seven places have 49 pairs."""
+    df, want = leaky(spark)
+    sizes, close = [], joins._close
+    monkeypatch.setattr(joins, "_close", lambda a, b, km: sizes.append(close(a, b, km).count()) or close(a, b, km))
+    assert Counter(map(tuple, dataset.spatial_leaks(df).select("near_id", "far_id").collect())) == want
+    assert sizes[0] <= 49 < 1000 < sum(want.values())
+
+
+def test_acceptance_counts_leaks_without_forming_them(spark, monkeypatch):
+    df, want = leaky(spark)
+
+    def refuse(*_):
+        raise AssertionError("pairs of ids were formed")
+
+    monkeypatch.setattr(dataset, "pairs_within", refuse)
+    found = {r.check: (r.found, r.passed) for r in dataset.acceptance(df).collect()}
+    assert found["spatial"] == (sum(want.values()), False) and found["temporal"] == (1, False)
+    assert {r.check: r.found for r in dataset.acceptance(df.where("split = 'val'")).collect()}["spatial"] == 0

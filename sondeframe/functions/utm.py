@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # WGS84 and UTM.
@@ -32,16 +32,39 @@ def _centre(zone, m=F):
     return m.radians(zone * 6.0 - 183.0)
 
 
-def forward(lon: Column, lat: Column, zone: Column) -> tuple[Column, Column]:
-    """Easting and northing in a zone (northern false northing 0)."""
-    phi, lam = F.radians(lat), F.radians(lon) - _centre(zone)
-    t = F.sinh(F.atanh(F.sin(phi)) - ECC * F.atanh(ECC * F.sin(phi)))
-    xi, eta = F.atan2(t, F.cos(lam)), F.atanh(F.sin(lam) / F.sqrt(1 + t * t))
+def _conformal(lat: Column) -> Column:
+    phi = F.radians(lat)
+    return F.sinh(F.atanh(F.sin(phi)) - ECC * F.atanh(ECC * F.sin(phi)))
+
+
+def _sphere(t: Column, lam: Column) -> tuple[Column, Column]:
+    return F.atan2(t, F.cos(lam)), F.atanh(F.sin(lam) / F.sqrt(1 + t * t))
+
+
+def _plane(xi: Column, eta: Column, lat: Column) -> tuple[Column, Column]:
     east = eta + sum(a * F.cos(2 * j * xi) * F.sinh(2 * j * eta) for j, a in enumerate(ALPHA, 1))
     north = xi + sum(a * F.sin(2 * j * xi) * F.cosh(2 * j * eta) for j, a in enumerate(ALPHA, 1))
     return FALSE_E + K0 * RECT * east, F.when(lat < 0, FALSE_N).otherwise(0.0) + K0 * RECT * north
 
 
+def forward(lon: Column, lat: Column, zone: Column) -> tuple[Column, Column]:
+    """Easting and northing in a zone (northern false northing 0)."""
+    return _plane(*_sphere(_conformal(lat), F.radians(lon) - _centre(zone)), lat)
+
+
+def projected(points: DataFrame) -> DataFrame:
+    """``points(lon, lat, ...)`` with ``zone, east, north``, the values of ``forward``.
+
+    Made step by step, a column each: written as one expression, the parts that the series
+    repeat are evaluated anew for each of their terms.
+    """
+    df = points.withColumn("zone", zone_of(F.col("lon"))).withColumn("_t", _conformal(F.col("lat")))
+    df = df.withColumn("_lam", F.radians(F.col("lon")) - _centre(F.col("zone")))
+    xi, eta = _sphere(F.col("_t"), F.col("_lam"))
+    east, north = _plane(F.col("_xi"), F.col("_eta"), F.col("lat"))
+    return df.withColumns({"_xi": xi, "_eta": eta}).withColumns({"east": east, "north": north}).drop("_t", "_lam", "_xi", "_eta")
+
+
 def inverse(east, north, zone, south: bool = False, m=F):
     """Longitude and latitude: of columns, or of numbers and arrays with ``m`` as ``math`` or ``numpy``."""
     xi = (north - (FALSE_N if south else 0.0)) / (K0 * RECT)
@@ -56,7 +79,11 @@ def inverse(east, north, zone, south: bool = False, m=F):
 def mgrs_square(lon: Column, lat: Column) -> Column:
     """100 km square such as T36RUU, for latitudes -80..84 outside the northern exceptions."""
     zone = zone_of(lon)
-    east, north = forward(lon, lat, zone)
+    return square_name(zone, *forward(lon, lat, zone), lat)
+
+
+def square_name(zone: Column, east: Column, north: Column, lat: Column) -> Column:
+    """The 100 km square of a projected point."""
     bands, rows = "CDEFGHJKLMNPQRSTUVWX", "ABCDEFGHJKLMNPQRSTUV"
     band = F.lit(bands).substr((F.least(F.floor((lat + 80) / 8), F.lit(19)) + 1).cast("int"), F.lit(1))
     columns = F.when(zone % 3 == 1, "ABCDEFGH").when(zone % 3 == 2, "JKLMNPQR").otherwise("STUVWXYZ")

@@ -68,12 +68,21 @@ def whole_cells(boxes: DataFrame, size: int = 1) -> DataFrame:
 
 
 def squares_in_boxes(boxes: DataFrame, step: float = 0.05, buffer: float = 0.1) -> DataFrame:
-    """``(id, tile, w, s, e, n)``: 100 km squares met by a lattice over each buffered box ``(id, w, s, e, n)``, with the box of their own corners."""
+    """``(id, tile, w, s, e, n)``: 100 km squares met by a lattice over each buffered box ``(id, w, s, e, n)``, with the box of their own corners.
+
+    The lattice is laid once over each distinct box.
+    """
+    edges = ["w", "s", "e", "n"]
     axis = lambda a, b: F.sequence(F.lit(0).cast("long"), F.floor((F.col(b) - F.col(a) + 2 * buffer) / step + 1e-6))
-    x = boxes.select("id", "w", "s", "n", F.explode(axis("w", "e")).alias("i")).select("id", (F.col("w") - buffer + F.col("i") * step).alias("lon"), "s", "n")
-    points = x.select("id", "lon", "s", F.explode(axis("s", "n")).alias("j")).select("id", "lon", (F.col("s") - buffer + F.col("j") * step).alias("lat"))
-    met = points.select("id", utm.mgrs_square(F.col("lon"), F.col("lat")).alias("tile")).distinct()
-    return met.join(square_boxes(met.select("tile").distinct()), "tile").select("id", "tile", "w", "s", "e", "n")
+    places = boxes.select(*edges).distinct()
+    x = places.select(*edges, F.explode(axis("w", "e")).alias("i")).select(*edges, (F.col("w") - buffer + F.col("i") * step).alias("lon"))
+    points = x.select(*edges, "lon", F.explode(axis("s", "n")).alias("j")).select(*edges, "lon", (F.col("s") - buffer + F.col("j") * step).alias("lat"))
+    square = utm.square_name(F.col("zone"), F.col("east"), F.col("north"), F.col("lat"))
+    # Never NULL here; said so, as a join's filter on NULL would evaluate the whole projection as one expression below the points.
+    met = utm.projected(points).select(*edges, F.coalesce(square, F.lit("")).alias("tile")).distinct()
+    # Estimated sizes leave out the points of a box, so joins are merge joins: no side is collected.
+    named = boxes.select("id", *edges).distinct().join(met.hint("merge"), edges).select("id", "tile").distinct()
+    return named.join(square_boxes(met.select("tile").distinct()).hint("merge"), "tile").select("id", "tile", *edges)
 
 
 def square_boxes(tiles: DataFrame) -> DataFrame:
